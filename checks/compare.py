@@ -53,7 +53,9 @@ def main() -> None:
     from shopmart.session import build_session
 
     sf_dir, *names = sys.argv[1:]
-    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
+    spark = build_session(
+        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false"}
+    )
     spark.sparkContext.setLogLevel("ERROR")
     for name in names or QUERIES:
         start = time.time()

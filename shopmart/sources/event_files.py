@@ -44,12 +44,14 @@ def read_raw_events(spark: SparkSession, path: str | Sequence[str], multi_line:
 
 
 def spread(frame: DataFrame) -> DataFrame:
-    """Even out the partitions of a scan that cannot be split.
+    """Even out a scan that has fewer partitions than there are task slots.
 
     A gzip file is read by one task however large it is. The rebalance hint lets adaptive
-    execution cut its output into partitions of the advisory size, without a fixed count.
+    execution cut the output of a few such tasks into partitions of the advisory size; with
+    files enough to keep every slot busy nothing is shuffled.
     """
-    return frame.hint("rebalance")
+    slots = frame.sparkSession.sparkContext.defaultParallelism
+    return frame if frame.rdd.getNumPartitions() >= slots else frame.hint("rebalance")
 
 
 def typed_events(
@@ -75,57 +77,61 @@ def typed_events(
 
 
 def read_events(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> DataFrame:
-    """Typed events of one or more files; gzip files are spread before the cells are cast."""
-    paths = [path] if isinstance(path, str) else list(path)
-    raw = read_raw_events(spark, paths, multi_line)
-    whole_files = multi_line or any(name.rstrip("/").endswith(".gz") for name in paths)
-    return typed_events(spread(raw) if whole_files else raw)
+    """Typed events of one or more files."""
+    return typed_events(spread(read_raw_events(spark, path, multi_line)))
 
 
 # Number formats that count as numeric when types are inferred.
 INTEGER_CELL = r"^\s*[+-]?[0-9]+\s*$"
-FLOAT_CELL = r"(?i)^\s*[+-]?([0-9]+\.?[0-9]*(e[+-]?[0-9]+)?|\.[0-9]+(e[+-]?[0-9]+)?|inf|infinity)\s*$"
+REAL_CELL = r"(?i)^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?\s*$"
+INFINITE_CELL = "(?i)^[+-]?inf(?:inity)?$"
+
+# What a column was seen to hold, as bits.
+MISSING, SIGNED, NEGATIVE, WIDE, REAL, OTHER = 1, 2, 4, 8, 16, 32
+
+
+def _cell_kind(name: str, tokens: Sequence[str]) -> Column:
+    """Bits of one cell. WIDE is an integer outside the signed 64-bit range."""
+    cell = F.col(name)
+    number = F.expr(f"try_cast(trim(`{name}`) AS decimal(38,0))")
+    sign = F.when(cell.contains("-"), NEGATIVE).otherwise(0)
+    integer = (
+        F.when(F.length(cell) <= 18, sign + SIGNED)
+        .when(number.between(Decimal(-(2**63)), Decimal(2**63 - 1)), sign + SIGNED)
+        .when(number.between(Decimal(-(10**20)), Decimal(2**64 - 1)), sign + WIDE)
+        .otherwise(OTHER)
+    )
+    finite = F.abs(F.expr(f"try_cast(`{name}` AS double)")) < float("inf")
+    return (
+        F.when(cell.isNull() | cell.isin(list(tokens)), MISSING)
+        .when(cell.rlike(INTEGER_CELL), integer)
+        .when(cell.rlike(REAL_CELL) & finite | cell.rlike(INFINITE_CELL), REAL)
+        .otherwise(OTHER)
+    )
 
 
 def infer_types(raw: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
     """Column types (BIGINT, FLOAT, TEXT) that hold every cell of a text frame.
 
-    One pass over the whole input with one partial aggregate per task. An integer column with
-    a missing cell, and a column with no cell at all, is FLOAT; a column with any other cell
-    is TEXT.
+    One pass over the whole input with one bit set per column and task. An integer column
+    with a missing cell, and a column of missing cells only, is FLOAT; a column with any
+    cell that is no number is TEXT.
     """
+    seen = raw.agg(*[F.bit_or(_cell_kind(name, tokens)).alias(name) for name in raw.columns])
+    named = [
+        F.struct(F.lit(position).alias("position"), F.lit(name).alias("column_name"), F.col(name).alias("seen"))
+        for position, name in enumerate(raw.columns)
+    ]
+    rows = seen.select(F.inline(F.array(*named)))
+
+    def has(bits: int) -> Column:
+        return F.col("seen").bitwiseAND(F.lit(bits)) != 0
 
-    def evidence(name: str) -> Column:
-        cell = null_token(F.col(name), tokens)
-        integer = cell.rlike(INTEGER_CELL)
-        number = F.when(integer, F.expr(f"try_cast(trim(`{name}`) AS decimal(38,0))"))
-        fits_signed = number.between(Decimal(-(2**63)), Decimal(2**63 - 1))
-        fits_unsigned = number.between(Decimal(2**63), Decimal(2**64 - 1))
-        real = ~integer & cell.rlike(FLOAT_CELL)
-        return F.struct(
-            F.count_if(cell.isNull()).alias("missing"),
-            F.count_if(cell.isNotNull()).alias("present"),
-            F.count_if(F.coalesce(fits_signed, F.lit(False))).alias("signed"),
-            F.count_if(F.coalesce(fits_unsigned, F.lit(False))).alias("unsigned"),
-            F.count_if(F.coalesce(fits_signed & (number < 0), F.lit(False))).alias("negative"),
-            F.count_if(real).alias("real"),
-        ).alias(name)
-
-    counted = raw.agg(*map(evidence, raw.columns))
-    columns = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(position).alias("position"), F.lit(name).alias("column_name"), F.col(name).alias("seen"))
-                for position, name in enumerate(raw.columns)
-            ]
-        )
-    )
-    rows = counted.select(columns.alias("c")).select("c.position", "c.column_name", "c.seen.*")
-    integral = (F.col("present") > 0) & (F.col("signed") + F.col("unsigned") == F.col("present")) & (
-        (F.col("unsigned") == 0) | (F.col("negative") == 0)
-    )
-    numeric = F.col("signed") + F.col("real") == F.col("present")
     column_type = (
-        F.when(integral & (F.col("missing") == 0), "BIGINT").when(integral | numeric, "FLOAT").otherwise("TEXT")
+        F.when(F.col("seen").isNull() | has(OTHER), "TEXT")
+        .when(has(REAL), "FLOAT")
+        .when(has(WIDE) & has(MISSING | NEGATIVE), "TEXT")
+        .when(has(MISSING), "FLOAT")
+        .otherwise("BIGINT")
     )
     return rows.select("position", "column_name", column_type.alias("column_type"))
