@@ -81,6 +81,11 @@ VIEWS = {
   GROUP BY 1""",
 }
 
+# The final table of the stored warehouse: events whose brand is mapped to their top category.
+BUILT_FINAL_TABLE = """
+  SELECT c.* EXCLUDE (event_id) FROM cleaned c JOIN mapping m
+    ON m.brand = c.brand AND m.category_index = split_part(c.category_code, '.', 1)"""
+
 _USES = {
     "shop_events": ["catalogue"],
     "cleaned": ["shop_events"],
@@ -97,16 +102,23 @@ _USES = {
 }
 
 
-def _query(select: str, *uses: str) -> str:
-    needed: set[str] = set()
-    waiting = list(uses)
-    while waiting:
-        name = waiting.pop()
-        if name not in needed:
-            needed.add(name)
-            waiting += _USES.get(name, [])
-    views = ",\n".join(f"{name} AS ({VIEWS[name]}\n)" for name in VIEWS if name in needed)
-    return (f"WITH {views}\n" if views else "") + select
+def _query(select: str, *uses: str, built: bool = False) -> str:
+    """The select with the views it needs; ``built`` takes the stored warehouse's final table."""
+    texts, links = dict(VIEWS), dict(_USES)
+    if built:
+        texts["final_table"], links["final_table"] = BUILT_FINAL_TABLE, ["cleaned", "mapping"]
+    ordered: list[str] = []
+
+    def add(name: str) -> None:
+        if name not in ordered:
+            for used in links.get(name, []):
+                add(used)
+            ordered.append(name)
+
+    for name in uses:
+        add(name)
+    views = ",\n".join(f"{name} AS ({texts[name]}\n)" for name in ordered)
+    return f"WITH {views}\n{select}"
 
 
 def _merge_metrics(key: str) -> str:
@@ -175,6 +187,10 @@ _PROMPT = (
     + " AS prompt FROM brand_lists"
 )
 
+_EXPANDED = """
+SELECT DISTINCT c.brand, c.category_code FROM cleaned c JOIN mapping m
+  ON m.brand = c.brand AND m.category_index = split_part(c.category_code, '.', 1)"""
+
 _HOLIDAY_COLUMNS = "holiday, event_time, event_type, product_id, user_id, user_session"
 
 ORACLE: dict[str, str] = {
@@ -247,10 +263,7 @@ SELECT (SELECT count(*) FROM mapping WHERE category_index <> 'economy') AS accep
         "mapping",
     ),
     "expand_mapping": _query(
-        f"""
-SELECT DISTINCT c.brand, c.category_code FROM cleaned c JOIN mapping m
-  ON m.brand = c.brand AND m.category_index = split_part(c.category_code, '.', 1)
-WHERE m.category_index IN ({_texts(ALLOWED)})""",
+        _EXPANDED + f" WHERE m.category_index IN ({_texts(ALLOWED)})",
         "cleaned",
         "mapping",
     ),
@@ -283,4 +296,12 @@ SELECT (SELECT count(*) FROM final_table WHERE event_type = 'purchase') AS overa
     "category_conversion": _query(_CATEGORY_CONVERSION, "final_table"),
     "daily_purchases": _query('SELECT "day", purchases FROM days', "days"),
     "black_friday_sales": _query(_BLACK_FRIDAY, "days", "holidays"),
+    "built_unique_brands": _query("SELECT brand FROM brands", "brands"),
+    "built_unique_categories": _query("SELECT DISTINCT category_code FROM cleaned", "cleaned"),
+    "built_mapping": _query("SELECT brand, category_index FROM mapping", "mapping"),
+    "built_final_mapping": _query(_EXPANDED, "cleaned", "mapping"),
+    "built_final_table": _query(_STORED_EVENTS + "final_table", "final_table", built=True),
+    "built_holiday_conversion": _query(_HOLIDAY_CONVERSION, "converted", built=True),
+    "built_category_conversion": _query(_CATEGORY_CONVERSION, "final_table", built=True),
+    "built_black_friday_sales": _query(_BLACK_FRIDAY, "days", "holidays", built=True),
 }

@@ -18,12 +18,31 @@ from shopmart.schemas import EVENT_COLUMNS, NULL_TOKENS
 from shopmart.session import scratch_path
 from shopmart.sources.event_files import infer_types, read_raw_events
 from shopmart.sources.registry import Dataset, registry_rows
-from shopmart.sources.tables import DETAIL, Tables
+from shopmart.sources.tables import DETAIL, MART, Tables
 from shopmart.streaming.incremental import incremental_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 STORED_COLUMNS = [*EVENT_COLUMNS, "dataset_key"]
 
+CATEGORY_OPTIONS = {
+    "cart": CART,
+    "purchase": PURCHASE,
+    "excluded": views.EXCLUDED,
+    "narrow": views.NARROW,
+    "labels": views.LABELS,
+}
+SALES_OPTIONS = {
+    "window": views.SALE_WINDOW,
+    "sale": views.SALE_DAYS,
+    "last_day": views.LAST_SALE_DAY,
+    "purchase": PURCHASE,
+}
+
+
+def as_doubles(mart: DataFrame) -> DataFrame:
+    """Decimal rates to 12 places as doubles, the only form both engines print alike."""
+    return mart.select(*[F.round(name, 12).cast("double").alias(name) for name in mart.columns])
+
 
 # Sources and sinks
 
@@ -119,10 +138,44 @@ def insert_cleaned_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The final table after it has been written twice."""
     tables = Tables(spark, scratch_path(spark, "warehouse"))
     for _ in range(2):
-        tables.replace_partitions(views.final_table(spark, sf_dir), DETAIL, jobs.FINAL, "dataset_key", gather=True)
+        tables.replace_partitions(views.final_table(spark, sf_dir), DETAIL, jobs.FINAL, "dataset_key")
     return tables.read(DETAIL, jobs.FINAL, jobs.STORED_EVENT_SCHEMA)
 
 
+# Stored warehouse, from files to marts
+
+
+def warehouse(spark: SparkSession, sf_dir: str) -> Tables:
+    """All jobs run over the landed files, once per application."""
+
+    def write(path: str) -> None:
+        options = jobs.MartOptions(
+            holiday={"cart": CART, "purchase": PURCHASE},
+            category=CATEGORY_OPTIONS,
+            sales=SALES_OPTIONS,
+        )
+        registry = {dataset.key: dataset for dataset in landed_datasets(landing(spark, sf_dir))}
+        lookup_table = views.dictionary(spark, sf_dir)
+        jobs.build_all(
+            Tables(spark, path), registry, views.holidays(spark), lookup_table, codes=CODES, options=options
+        )
+
+    return Tables(spark, views.stored(spark, sf_dir, "warehouse", write))
+
+
+def built(layer: str, name: str, schema=None) -> Query:
+    return lambda spark, sf_dir: warehouse(spark, sf_dir).read(layer, name, schema)
+
+
+def built_holiday_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_doubles(warehouse(spark, sf_dir).read(MART, "conversion_rates_holidays"))
+
+
+def built_category_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mart = warehouse(spark, sf_dir).read(MART, "categories_conversion_rates")
+    return mart.withColumn("conversion_rate", F.col("conversion_rate").cast("double"))
+
+
 # Cleaning, dimensions, merge
 
 
@@ -255,7 +308,9 @@ def insert_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def insert_cleaned_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = views.cleaned(spark, sf_dir).drop("event_id")
-    return curation.insert_cleaned_semi(staging, views.mapping_final(spark, sf_dir))
+    mapping_pairs = views.mapping_final(spark, sf_dir)
+    rows = views.row_count(spark, sf_dir, "mapping-final", mapping_pairs)
+    return curation.insert_cleaned_semi(staging, mapping_pairs, dimension_rows=rows)
 
 
 def holiday_pairs(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -280,13 +335,11 @@ def holiday_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart = marts.holiday_conversion(
         views.final_table(spark, sf_dir), views.holidays(spark), cart=CART, purchase=PURCHASE
     )
-    return mart.select(*[F.round(name, 12).cast("double").alias(name) for name in mart.columns])
+    return as_doubles(mart)
 
 
 def category_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = marts.category_conversion(
-        views.final_table(spark, sf_dir), CART, PURCHASE, views.EXCLUDED, views.NARROW, views.LABELS
-    )
+    mart = marts.category_conversion(views.final_table(spark, sf_dir), **CATEGORY_OPTIONS)
     return mart.withColumn("conversion_rate", F.col("conversion_rate").cast("double"))
 
 
@@ -295,14 +348,7 @@ def daily_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def black_friday_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.black_friday_sales(
-        views.final_table(spark, sf_dir),
-        views.holidays(spark),
-        views.SALE_WINDOW,
-        views.SALE_DAYS,
-        views.LAST_SALE_DAY,
-        purchase=PURCHASE,
-    )
+    return marts.black_friday_sales(views.final_table(spark, sf_dir), views.holidays(spark), **SALES_OPTIONS)
 
 
 QUERIES: dict[str, Query] = {
@@ -345,4 +391,12 @@ QUERIES: dict[str, Query] = {
     "category_conversion": category_conversion,
     "daily_purchases": daily_purchases,
     "black_friday_sales": black_friday_sales,
+    "built_unique_brands": built(DETAIL, jobs.UNIQUE["brand"]),
+    "built_unique_categories": built(DETAIL, jobs.UNIQUE["category_code"]),
+    "built_mapping": built(DETAIL, jobs.MAPPING),
+    "built_final_mapping": built(DETAIL, jobs.FINAL_MAPPING),
+    "built_final_table": built(DETAIL, jobs.FINAL, jobs.STORED_EVENT_SCHEMA),
+    "built_holiday_conversion": built_holiday_conversion,
+    "built_category_conversion": built_category_conversion,
+    "built_black_friday_sales": built(MART, "black_friday_sales"),
 }

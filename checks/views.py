@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopmart.operators.cleaning import clean_events
 from shopmart.operators.curation import insert_cleaned
+from shopmart.operators.joins import dimension_join
 from shopmart.schemas import EVENT_COLUMNS, HOLIDAY_SCHEMA
 from shopmart.session import scratch_path
 
@@ -34,6 +36,7 @@ HOLIDAY_ROWS = [
 ]
 
 _STORED: dict[tuple[str, str, str], str] = {}
+_ROWS: dict[tuple[str, str, str], int] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +53,14 @@ def stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], N
     return _STORED[key]
 
 
+def row_count(spark: SparkSession, sf_dir: str, name: str, frame: DataFrame) -> int:
+    """Rows of a dimension, counted once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _ROWS:
+        _ROWS[key] = frame.count()
+    return _ROWS[key]
+
+
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per product: three-level category code and a brand with an apostrophe."""
     word = lambda number: F.split_part("p_name", F.lit(" "), F.lit(number))
@@ -77,7 +88,8 @@ def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(day <= 10, "1").when(day <= 20, "2").otherwise("3").alias("dataset_key"),
     )
     products = catalogue(spark, sf_dir).drop("top_category", "maker")
-    joined = events.join(products, "product_id")
+    rows = row_count(spark, sf_dir, "part", products)
+    joined = dimension_join(events, products, ["product_id"], dimension_rows=rows)
     return joined.withColumns(
         {
             "brand": F.when(F.col("event_id") % 10 != 0, F.col("brand")),
@@ -96,16 +108,8 @@ def first_day(events: DataFrame) -> DataFrame:
 
 
 def holidays(spark: SparkSession) -> DataFrame:
-    rows = spark.createDataFrame(HOLIDAY_ROWS, "holiday string, start_date string, end_date string, date string")
-    return rows.select(
-        "holiday", *[F.col(name).cast("date").alias(name) for name in ("start_date", "end_date", "date")]
-    ).to(_holiday_type())
-
-
-def _holiday_type():
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(HOLIDAY_SCHEMA)
+    rows = [(name, *map(date.fromisoformat, days)) for name, *days in HOLIDAY_ROWS]
+    return spark.createDataFrame(rows, HOLIDAY_SCHEMA)
 
 
 def mapping_final(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +125,9 @@ def mapping_final(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def final_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return insert_cleaned(cleaned(spark, sf_dir).drop("event_id"), mapping_final(spark, sf_dir))
+    mapping = mapping_final(spark, sf_dir)
+    rows = row_count(spark, sf_dir, "mapping-final", mapping)
+    return insert_cleaned(cleaned(spark, sf_dir).drop("event_id"), mapping, dimension_rows=rows)
 
 
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,23 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from shopmart.operators.joins import dimension_join
 from shopmart.schemas import EVENT_COLUMNS
 
 PAIR = ["brand", "category_code"]
 
 
-def insert_cleaned(staging: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Event columns of the staging rows that join a mapping pair, once per equal pair.
+def _event_columns(staging: DataFrame) -> list[str]:
+    return [*EVENT_COLUMNS, *(name for name in staging.columns if name not in EVENT_COLUMNS)]
 
-    Whether the mapping is broadcast is left to Spark, which knows the size of a stored
-    mapping. If it is not, both sides are shuffled on the pair and adaptive execution
-    splits a pair that holds a large share of the events.
-    """
-    extra = [name for name in staging.columns if name not in EVENT_COLUMNS]
-    return staging.join(mapping.select(*PAIR), PAIR, "inner").select(*EVENT_COLUMNS, *extra)
 
+def insert_cleaned(staging: DataFrame, mapping: DataFrame, **options) -> DataFrame:
+    """Event columns of the staging rows that join a mapping pair, once per equal pair."""
+    joined = dimension_join(staging, mapping.select(*PAIR), PAIR, "inner", **options)
+    return joined.select(*_event_columns(staging))
 
-def insert_cleaned_semi(staging: DataFrame, mapping: DataFrame) -> DataFrame:
+
+def insert_cleaned_semi(staging: DataFrame, mapping: DataFrame, **options) -> DataFrame:
     """The staging rows that have a mapping pair, each once whatever the mapping repeats."""
-    extra = [name for name in staging.columns if name not in EVENT_COLUMNS]
-    return staging.join(mapping.select(*PAIR), PAIR, "left_semi").select(*EVENT_COLUMNS, *extra)
+    joined = dimension_join(staging, mapping.select(*PAIR), PAIR, "left_semi", **options)
+    return joined.select(*_event_columns(staging))

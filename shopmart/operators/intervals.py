@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shopmart.operators.joins import dimension_join
 from shopmart.schemas import HOLIDAYS
 
 # A calendar of at most this many rows after binning is sent to every executor.
@@ -35,8 +36,8 @@ def interval_join(
 
     One row of calendar totals is fetched first. It bounds the number of binned intervals:
     up to ``broadcast_bins`` they are broadcast and the events are not shuffled; beyond that
-    the join shuffles on the bin, where adaptive execution splits a crowded bin. It also
-    gives the covered time range, which reaches the event scan as a plain filter.
+    crowded bins are joined apart from the rest. It also gives the covered time range, which
+    reaches the event scan as a plain filter.
 
     A DATE end bound means midnight; ``inclusive_end_day`` counts the whole last day.
     """
@@ -67,9 +68,13 @@ def interval_join(
     most_bins = (totals.days or 0) // width + 2 * totals.intervals
 
     binned = valid.withColumn("_bin", F.explode(F.sequence(_bin(first_day, width), _bin(last_day, width))))
-    if most_bins <= broadcast_bins:
-        binned = F.broadcast(binned)
-    joined = events.withColumn("_bin", _bin(F.to_date(time), width)).join(binned, "_bin")
+    joined = dimension_join(
+        events.withColumn("_bin", _bin(F.to_date(time), width)),
+        binned,
+        ["_bin"],
+        dimension_rows=most_bins,
+        broadcast_rows=broadcast_bins,
+    )
     return joined.filter((F.col(time) >= F.col(start)) & inside).drop("_bin", "_until")
 
 

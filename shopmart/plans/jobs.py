@@ -7,7 +7,7 @@ and the unique sets and the mapping only receive keys they lack.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
@@ -115,17 +115,34 @@ def expand_mapping(tables: Tables) -> None:
 
 
 def insert_cleaned(tables: Tables, key: str | None = None) -> None:
-    """Put the mapped events of one dataset, or of all at once, into the final table."""
+    """Put the mapped events of one dataset, or of all at once, into the final table.
+
+    Staging files hold one dataset each and the join keeps the rows where they are, so every
+    task writes to few partitions without another shuffle.
+    """
     pairs = tables.read(DETAIL, FINAL_MAPPING)
     kept = curation.insert_cleaned(staging_events(tables, key), pairs)
-    tables.replace_partitions(kept, DETAIL, FINAL, "dataset_key", gather=True)
+    tables.replace_partitions(kept, DETAIL, FINAL, "dataset_key")
+
+
+@dataclass(frozen=True)
+class MartOptions:
+    """Arguments for the mart functions where their defaults do not fit."""
+
+    holiday: Mapping[str, object] = field(default_factory=dict)
+    category: Mapping[str, object] = field(default_factory=dict)
+    sales: Mapping[str, object] = field(default_factory=dict)
 
 
-def build_marts(tables: Tables, holidays: DataFrame) -> None:
+def build_marts(
+    tables: Tables, holidays: DataFrame, options: MartOptions = MartOptions(), keep_existing: bool = False
+) -> None:
+    """Store the three marts anew; with ``keep_existing`` a mart that is there is an error."""
     events = tables.read(DETAIL, FINAL, STORED_EVENT_SCHEMA)
-    tables.replace(marts.holiday_conversion(events, holidays), MART, "conversion_rates_holidays")
-    tables.replace(marts.category_conversion(events), MART, "categories_conversion_rates")
-    tables.replace(marts.black_friday_sales(events, holidays), MART, "black_friday_sales")
+    save = tables.save_new if keep_existing else tables.replace
+    save(marts.holiday_conversion(events, holidays, **options.holiday), MART, "conversion_rates_holidays")
+    save(marts.category_conversion(events, **options.category), MART, "categories_conversion_rates")
+    save(marts.black_friday_sales(events, holidays, **options.sales), MART, "black_friday_sales")
 
 
 def pending(tables: Tables, registry: Mapping[str, Dataset], step: str) -> list[str]:
@@ -164,11 +181,13 @@ def build_all(
     holidays: DataFrame,
     dictionary: DataFrame | None = None,
     answer: Callable[[str], str] | None = None,
+    codes: Sequence[str] = CATEGORY_CODES,
+    options: MartOptions = MartOptions(),
 ) -> dict[str, LoadMetrics]:
-    """Everything from files to marts; a rerun handles only what is new."""
+    """Everything from files to marts; a rerun loads and maps only what is new."""
     metrics = load_all(tables, registry)
-    map_brands(tables, dictionary, answer)
+    map_brands(tables, dictionary, answer, codes)
     expand_mapping(tables)
     insert_cleaned(tables)
-    build_marts(tables, holidays)
+    build_marts(tables, holidays, options)
     return metrics

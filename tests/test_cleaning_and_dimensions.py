@@ -1,5 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
+from shopmart.operators import joins
 from shopmart.operators.cleaning import clean_counts, clean_events
 from shopmart.operators.curation import insert_cleaned, insert_cleaned_semi
 from shopmart.operators.dimensions import distinct_keys, merge_keys, merge_metrics, new_keys
@@ -51,21 +53,28 @@ def test_repeated_mapping_pair_repeats_the_event(spark):
     assert insert_cleaned(staging, mapping).columns == [*EVENT_SCHEMA.fieldNames(), "dataset_key"]
 
 
-def test_hot_pair_without_broadcast(spark):
-    """One pair holds a third of the events; the shuffled join gives the same rows."""
+@pytest.mark.parametrize("how", ["inner", "left_semi"])
+@pytest.mark.parametrize("broadcast_rows", [100, 3, 2, 0])
+def test_hot_key_join_equals_plain_join(spark, monkeypatch, how, broadcast_rows):
+    """One pair holds a third of the events; every way to join gives the same rows."""
+    monkeypatch.setattr(joins.hot_keys, "__defaults__", (2,))
     number = F.col("id")
-    columns = {"category_code": F.lit("x"), "brand": F.when(number % 3 == 0, "hot").otherwise(F.concat(F.lit("b"), number % 50))}
-    staging = spark.range(30_000).select(
-        *[columns.get(f.name, number.cast("string").cast(f.dataType) if f.name == "product_id" else F.lit(None).cast(f.dataType)).alias(f.name) for f in EVENT_SCHEMA]
-    )
-    mapping = spark.createDataFrame([("hot", "x"), ("b1", "x"), ("b1", "x")], "brand string, category_code string")
-    expected = sorted(row.product_id for row in insert_cleaned(staging, mapping).collect())
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        found = sorted(row.product_id for row in insert_cleaned(staging, mapping).collect())
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    hot = [n for n in range(30_000) if n % 3 == 0]
-    twice = [n for n in range(30_000) if n % 3 != 0 and n % 50 == 1]
-    assert found == expected == sorted(hot + 2 * twice)
+    brand = F.when(number % 3 == 0, "hot").when(number % 100 == 1, None).otherwise(F.concat(F.lit("b"), number % 50))
+    facts = spark.range(30_000).select("id", brand.alias("brand"), F.lit("x").alias("category_code"))
+    dimension = pairs(spark, ("hot", "x"), ("hot", "x"), ("b1", "x"), ("b2", "x"), ("b2", "y"), (None, "x"), ("b7", None))
+    keys = ["brand", "category_code"]
+    expected = sorted(row.id for row in facts.join(dimension, keys, how).collect())
+    joined = joins.dimension_join(facts, dimension, keys, how, broadcast_rows=broadcast_rows)
+    assert sorted(row.id for row in joined.collect()) == expected
+    assert sorted(joined.columns) == ["brand", "category_code", "id"]
+
+
+def test_hot_keys_are_the_most_frequent(spark, rows):
+    frame = spark.createDataFrame([("a",)] * 5 + [("b",)] * 3 + [("c",)] * 4 + [(None,)] * 9, "k string")
+    assert rows(joins.hot_keys(frame, ["k"], 2)) == [("a",), ("c",)]
+
+
+def test_other_joins_are_refused(spark):
+    frame = spark.createDataFrame([("a",)], "k string")
+    with pytest.raises(ValueError, match="unsupported"):
+        joins.dimension_join(frame, frame, ["k"], "left")
