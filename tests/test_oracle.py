@@ -6,9 +6,8 @@ import pytest
 
 import __spark_entry__ as contract
 from checks import views
-from checks.compare import differences, oracle_frame
-from checks.oracle import ORACLE, _query
-from checks.spark_queries import QUERIES
+from checks.compare import differences
+from checks.spark_queries import QUERIES, cart_then_purchase, holiday_pairs
 
 SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not there")
@@ -35,15 +34,24 @@ def test_events_keep_every_row(spark, sf):
     assert shaped.count() == views.table(spark, sf_dir, "events").count()
 
 
-def test_known_counts():
-    """Totals recorded in FIXTURES.md."""
-    counts = oracle_frame(
-        SF,
-        _query(
-            "SELECT (SELECT count(*) FROM shop_events) a, (SELECT count(*) FROM cleaned) b,"
-            " (SELECT count(*) FROM mapping_final) c, (SELECT count(*) FROM final_table) d",
-            "final_table",
-        ),
-    )
-    assert counts.iloc[0].tolist()[:2] == [10000, 8667]
-    assert ORACLE
+@pytest.mark.parametrize(
+    "sf, expected",
+    [
+        ("0.001", [1000, 867, 114, 461, 3, 50]),
+        ("0.01", [10000, 8667, 1204, 6117, 46, 723]),
+        ("0.1", [100000, 86667, 7261, 80588, 568, 9051]),
+    ],
+)
+def test_fixture_counts(spark, sf, expected):
+    """The counts recorded in FIXTURES.md, from Spark."""
+    sf_dir = f"/root/testdata/sf{sf}"
+    pairs = holiday_pairs(spark, sf_dir)
+    found = [
+        views.shop_events(spark, sf_dir).count(),
+        views.cleaned(spark, sf_dir).count(),
+        views.mapping_final(spark, sf_dir).count(),
+        views.final_table(spark, sf_dir).count(),
+        cart_then_purchase(spark, sf_dir).count(),
+        pairs.filter(pairs.event_type == views.CART).count(),
+    ]
+    assert found == expected
