@@ -74,14 +74,10 @@ def landed_datasets(root: str) -> list[Dataset]:
     ]
 
 
-def load(spark: SparkSession, sf_dir: str) -> tuple[Tables, dict[str, jobs.LoadMetrics]]:
-    tables = Tables(spark, scratch_path(spark, "warehouse"))
-    datasets = landed_datasets(landing(spark, sf_dir))
-    return tables, {dataset.key: jobs.load_dataset(tables, dataset, clean=False) for dataset in datasets}
-
-
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.staging_events(load(spark, sf_dir)[0])
+    tables = Tables(spark, scratch_path(spark, "warehouse"))
+    jobs.load_datasets(tables, landed_datasets(landing(spark, sf_dir)), clean=False)
+    return jobs.staging_events(tables)
 
 
 def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,9 +8,10 @@ from pyspark.sql import Column, functions as F
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Exact decimal quotient of two counts.
 
-    A zero divisor raises under ANSI mode; wrap the divisor in ``nullif`` for a null instead.
+    A zero divisor is an error in every session; wrap it in ``nullif`` for a null instead.
     """
-    return numerator.cast("decimal(20,0)") / denominator.cast("decimal(20,0)")
+    quotient = numerator.cast("decimal(20,0)") / denominator.cast("decimal(20,0)")
+    return F.when(denominator == 0, F.raise_error(F.lit("division by zero")).cast("decimal(38,18)")).otherwise(quotient)
 
 
 def top_category(category_code: Column) -> Column:

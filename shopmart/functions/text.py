@@ -67,7 +67,8 @@ def prompt(
 
 def has_sql_block(reply: Column) -> Column:
     """False when a non-empty reply holds no fenced block; an empty reply has nothing to hold."""
-    return F.coalesce(reply, F.lit("")).rlike("(?s)^$|```sql\n.*?```")
+    text = F.coalesce(reply, F.lit(""))
+    return (text == "") | text.rlike(FENCED_BLOCK)
 
 
 def sql_block(reply: Column, strict: bool = False) -> Column:

@@ -10,15 +10,16 @@ def clean_events(events: DataFrame) -> DataFrame:
     return events.dropna("any", subset=["brand", "category_code"])
 
 
-def deletion_counters() -> list[Column]:
-    """Rows lost to a missing brand, then to a missing category among the rest."""
+def deleted_rows() -> tuple[Column, Column]:
+    """Which rows a missing brand removes, and which of the rest a missing category."""
     brand, category = F.col("brand"), F.col("category_code")
-    return [
-        F.count_if(brand.isNull()).alias("deleted_null_brand"),
-        F.count_if(brand.isNotNull() & category.isNull()).alias("deleted_null_category"),
-    ]
+    return brand.isNull(), brand.isNotNull() & category.isNull()
 
 
 def clean_counts(events: DataFrame) -> DataFrame:
     """Both deletion counts from one pass over two columns."""
-    return events.agg(*deletion_counters())
+    no_brand, no_category = deleted_rows()
+    return events.agg(
+        F.count_if(no_brand).alias("deleted_null_brand"),
+        F.count_if(no_category).alias("deleted_null_category"),
+    )

@@ -7,12 +7,13 @@ and the unique sets and the mapping only receive keys they lack.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from shopmart.operators import curation, dimensions, mapping as mappings
-from shopmart.operators.cleaning import clean_events, deletion_counters
+from shopmart.operators.cleaning import clean_events, deleted_rows
 from shopmart.operators.paging import number_batches
 from shopmart.plans import marts
 from shopmart.schemas import (
@@ -21,7 +22,7 @@ from shopmart.schemas import (
     MAPPING_SCHEMA,
     STORED_EVENT_SCHEMA,
 )
-from shopmart.sources.event_files import read_events, read_raw_events
+from shopmart.sources.event_files import read_raw_events, spread, typed_events
 from shopmart.sources.registry import Dataset, lookup
 from shopmart.sources.tables import DETAIL, MART, STAGING, Tables
 
@@ -32,6 +33,7 @@ MAPPING = "brand_category_mapping"
 FINAL_MAPPING = "brand_category_mapping_final"
 REPLIES = "brand_mapping_replies"
 LEDGER = "finished_steps"
+MARTS = ("conversion_rates_holidays", "categories_conversion_rates", "black_friday_sales")
 
 
 @dataclass(frozen=True)
@@ -41,24 +43,43 @@ class LoadMetrics:
     deleted_null_category: int = 0
 
 
-def load_dataset(tables: Tables, dataset: Dataset, clean: bool = True, multi_line: bool = False) -> LoadMetrics:
-    """Read the file of a dataset, drop events without brand or category, replace its partition.
+def load_datasets(
+    tables: Tables, datasets: Sequence[Dataset], clean: bool = True, multi_line: bool = False
+) -> dict[str, LoadMetrics]:
+    """Read the files of some datasets, drop events without brand or category, replace their partitions.
 
-    Reading, counting, cleaning and writing are one pass; the counters ride along with the
-    write. An input without rows stores nothing.
+    Reading, counting, cleaning and writing are one pass over all files at once, so that
+    unsplittable files are read side by side; the counters ride along with the write. A
+    dataset without rows stores nothing.
     """
     spark = tables.spark
-    if read_raw_events(spark, dataset.dataset_url, multi_line).isEmpty():
-        return LoadMetrics()
-    seen = Observation()
-    events = read_events(spark, dataset.dataset_url, multi_line).observe(
-        seen, F.count("*").alias("rows"), *deletion_counters()
+    raw = reduce(
+        DataFrame.unionByName,
+        [
+            read_raw_events(spark, dataset.dataset_url, multi_line).withColumn("dataset_key", F.lit(dataset.key))
+            for dataset in datasets
+        ],
     )
-    kept = clean_events(events) if clean else events
-    stored = kept.withColumn("dataset_key", F.lit(dataset.key))
-    tables.replace_partitions(stored, STAGING, EVENTS, "dataset_key")
-    found = seen.get
-    return LoadMetrics(**found) if clean else LoadMetrics(found["rows"])
+    if raw.isEmpty():
+        return {dataset.key: LoadMetrics() for dataset in datasets}
+    names = [field.name for field in fields(LoadMetrics)]
+    counters = [
+        F.count_if((F.col("dataset_key") == dataset.key) & condition).alias(f"{name}_{position}")
+        for position, dataset in enumerate(datasets)
+        for name, condition in zip(names, [F.lit(True), *deleted_rows()])
+    ]
+    seen = Observation()
+    events = typed_events(spread(raw)).observe(seen, *counters)
+    tables.replace_partitions(clean_events(events) if clean else events, STAGING, EVENTS, "dataset_key")
+    kept = names if clean else names[:1]
+    return {
+        dataset.key: LoadMetrics(**{name: seen.get[f"{name}_{position}"] for name in kept})
+        for position, dataset in enumerate(datasets)
+    }
+
+
+def load_dataset(tables: Tables, dataset: Dataset, clean: bool = True, multi_line: bool = False) -> LoadMetrics:
+    return load_datasets(tables, [dataset], clean, multi_line)[dataset.key]
 
 
 def staging_events(tables: Tables, key: str | None = None) -> DataFrame:
@@ -140,9 +161,23 @@ def build_marts(
     """Store the three marts anew; with ``keep_existing`` a mart that is there is an error."""
     events = tables.read(DETAIL, FINAL, STORED_EVENT_SCHEMA)
     save = tables.save_new if keep_existing else tables.replace
-    save(marts.holiday_conversion(events, holidays, **options.holiday), MART, "conversion_rates_holidays")
-    save(marts.category_conversion(events, **options.category), MART, "categories_conversion_rates")
-    save(marts.black_friday_sales(events, holidays, **options.sales), MART, "black_friday_sales")
+    frames = (
+        marts.holiday_conversion(events, holidays, **options.holiday),
+        marts.category_conversion(events, **options.category),
+        marts.black_friday_sales(events, holidays, **options.sales),
+    )
+    for frame, name in zip(frames, MARTS):
+        save(frame, MART, name)
+
+
+def register_all(tables: Tables) -> None:
+    """Make events, final table, key sets, mapping and marts queryable as ``layer.name`` in SQL."""
+    tables.register(STAGING, EVENTS, "dataset_key")
+    tables.register(DETAIL, FINAL, "dataset_key")
+    for name in (*UNIQUE.values(), MAPPING, FINAL_MAPPING):
+        tables.register(DETAIL, name)
+    for name in MARTS:
+        tables.register(MART, name)
 
 
 def pending(tables: Tables, registry: Mapping[str, Dataset], step: str) -> list[str]:
@@ -161,17 +196,17 @@ def finish(tables: Tables, step: str, key: str) -> None:
 
 def load_all(tables: Tables, registry: Mapping[str, Dataset]) -> dict[str, LoadMetrics]:
     """Load, extract and merge every dataset that has not been loaded yet."""
-    metrics = {}
-    for key in pending(tables, registry, "load"):
-        dataset = lookup(
-            registry, key, ("dataset_url", "table_name", "brands_table_name", "categories_table_name")
-        )
-        metrics[key] = load_dataset(tables, dataset)
-        if metrics[key].rows:
+    needed = ("dataset_url", "table_name", "brands_table_name", "categories_table_name")
+    datasets = [lookup(registry, key, needed) for key in pending(tables, registry, "load")]
+    if not datasets:
+        return {}
+    metrics = load_datasets(tables, datasets)
+    for dataset in datasets:
+        if metrics[dataset.key].rows:
             extract_dimensions(tables, dataset)
             for column in UNIQUE:
                 merge_unique(tables, dataset, column)
-        finish(tables, "load", key)
+        finish(tables, "load", dataset.key)
     return metrics
 
 

@@ -43,6 +43,12 @@ def read_raw_events(spark: SparkSession, path: str | Sequence[str], multi_line:
     return event_reader(spark.read, multi_line=multi_line).csv(paths)
 
 
+def read_raw(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> DataFrame:
+    """Any CSV with a header: the columns it names, every cell as text."""
+    paths = path if isinstance(path, str) else list(path)
+    return _csv_options(spark.read, multi_line).csv(paths)
+
+
 def spread(frame: DataFrame) -> DataFrame:
     """Even out a scan that has fewer partitions than there are task slots.
 
@@ -62,15 +68,19 @@ def typed_events(
 ) -> DataFrame:
     """Raw cells as event columns: missing-value tokens become null, then cells are cast.
 
-    A cell that does not fit its type stops the load under ANSI mode. Columns outside the
-    schema, such as partition columns, pass through.
+    A cell that does not fit its type stops the load, by ANSI mode or else by the check behind
+    the cast. Columns outside the schema, such as partition columns, pass through.
     """
 
     def cell(field: T.StructField) -> Column:
         value = null_token(F.col(field.name), tokens)
         if isinstance(field.dataType, T.TimestampNTZType):
-            return F.to_timestamp_ntz(value, F.lit(time_format)).alias(field.name)
-        return value.cast(field.dataType).alias(field.name)
+            typed = F.to_timestamp_ntz(value, F.lit(time_format))
+        else:
+            typed = value.cast(field.dataType)
+        misfit = F.concat(F.lit(f"{field.name} cannot hold "), value)
+        refused = F.when(value.isNotNull(), F.raise_error(misfit).cast(field.dataType))
+        return F.coalesce(typed, refused).alias(field.name)
 
     rest = [F.col(name) for name in raw.columns if name not in schema.fieldNames()]
     return raw.select(*map(cell, schema.fields), *rest)
@@ -135,3 +145,19 @@ def infer_types(raw: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFram
         .otherwise("BIGINT")
     )
     return rows.select("position", "column_name", column_type.alias("column_type"))
+
+
+# Spark types of the inferred ones.
+SPARK_TYPES = {"BIGINT": T.LongType(), "FLOAT": T.DoubleType(), "TEXT": T.StringType()}
+
+
+def inferred_schema(raw: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> T.StructType:
+    """Inferred types as a schema for ``typed_events``; one row per column is fetched."""
+    found = infer_types(raw, tokens).orderBy("position").collect()
+    return T.StructType([T.StructField(row.column_name, SPARK_TYPES[row.column_type]) for row in found])
+
+
+def read_inferred(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> DataFrame:
+    """Typed rows of CSV files without a declared schema, from a pass for the types and one for the rows."""
+    raw = read_raw(spark, path, multi_line)
+    return typed_events(spread(raw), inferred_schema(raw))

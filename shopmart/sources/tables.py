@@ -73,6 +73,19 @@ class Tables:
             .parquet(self.path(layer, name))
         )
 
+    def register(self, layer: str, name: str, *keys: str) -> None:
+        """Make a stored table known to SQL as ``layer.name``; ``keys`` are its partition columns."""
+        target, location = f"{layer}.{name.lower()}", self.path(layer, name)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {target}")  # an external table: its files stay
+        columns = [field for field in self.read(layer, name).schema if field.name not in keys]
+        fields = [f"`{field.name}` {field.dataType.simpleString()}" for field in columns]
+        fields += [f"`{key}` string" for key in keys]
+        parts = f"PARTITIONED BY ({', '.join(f'`{key}`' for key in keys)})" if keys else ""
+        self.spark.sql(f"CREATE TABLE {target} ({', '.join(fields)}) USING parquet {parts} LOCATION '{location}'")
+        if keys:
+            self.spark.sql(f"ALTER TABLE {target} RECOVER PARTITIONS")
+
 
 def read_jdbc(
     spark: SparkSession,

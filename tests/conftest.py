@@ -36,3 +36,17 @@ def plan(capsys):
         return capsys.readouterr().out
 
     return text
+
+
+@pytest.fixture()
+def session_conf(spark):
+    """Sets a session option for one test."""
+    before = {}
+
+    def change(key, value):
+        before.setdefault(key, spark.conf.get(key, None))
+        spark.conf.set(key, value)
+
+    yield change
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)

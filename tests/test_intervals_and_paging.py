@@ -109,13 +109,10 @@ def test_ranks_and_batches_equal_a_global_sort(spark):
     assert {row.batch_id: row["count"] for row in batches} == {n: 25 if n < 40 else 3 for n in range(41)}
 
 
-def test_batches_without_adaptive_merging(spark):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        ranked = paging.key_ranks(shuffled_keys(spark, 500), "brand")
-        assert ranked.filter(F.col("brand") != F.format_string("b%05d", "position")).isEmpty()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+def test_batches_without_adaptive_merging(spark, session_conf):
+    session_conf("spark.sql.adaptive.enabled", "false")
+    ranked = paging.key_ranks(shuffled_keys(spark, 500), "brand")
+    assert ranked.filter(F.col("brand") != F.format_string("b%05d", "position")).isEmpty()
 
 
 def test_empty_key_set(spark):

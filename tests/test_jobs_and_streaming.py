@@ -88,6 +88,25 @@ def test_build_all_and_rerun(store, holidays, dictionary, rows):
     assert state(tables, rows) == first
 
 
+def test_sql_over_the_registered_tables(spark, store, holidays, dictionary):
+    tables, registry = store
+    jobs.build_all(tables, registry, holidays, dictionary)
+    for _ in range(2):
+        jobs.register_all(tables)
+    found = spark.sql("SELECT dataset_key, count(*) AS n FROM dds.final_table GROUP BY 1 ORDER BY 1").collect()
+    assert [tuple(row) for row in found] == [("1", 2), ("2", 3)]
+    joined = spark.sql("SELECT count(*) FROM dds_stg.events st JOIN dds.unique_brands b ON b.brand = st.brand").first()
+    assert joined[0] == 6 and spark.table("dm.black_friday_sales").count() == 1
+    assert tables.read(DETAIL, "final_table").count() == 5
+
+
+def test_marts_can_refuse_to_replace(store, holidays, dictionary):
+    tables, registry = store
+    jobs.build_all(tables, registry, holidays, dictionary)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        jobs.build_marts(tables, holidays, keep_existing=True)
+
+
 def test_merge_counts(store):
     tables, registry = store
     for dataset in registry.values():

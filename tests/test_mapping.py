@@ -27,6 +27,7 @@ def test_prompt_lists_sorted_quoted_brands(spark):
         ("", "", True),
         (None, "", True),
         ("no block", "", False),
+        ("\n", "", False),
         ("```python\nx```", "", False),
         ("```sql VALUES (1)```", "", False),
         ("```sql\nnever closed", "", False),

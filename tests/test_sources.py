@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shopmart.functions.text import null_token
 from shopmart.plans import jobs
 from shopmart.schemas import EVENT_COLUMNS, NULL_TOKENS
-from shopmart.sources.event_files import infer_types, read_events, read_raw_events
+from shopmart.sources.event_files import infer_types, read_events, read_inferred, read_raw_events
 from shopmart.sources.registry import Dataset, lookup, monthly_registry, parse_registry, registry_rows
 from shopmart.sources.tables import DETAIL, STAGING, Tables
 
@@ -64,12 +64,31 @@ def test_other_header_is_an_error(spark, tmp_path):
         read_events(spark, path).collect()
 
 
-def test_bad_number_is_an_error(spark, tmp_path):
+@pytest.mark.parametrize("ansi, message", [("true", "CAST_INVALID_INPUT"), ("false", "product_id cannot hold many")])
+def test_bad_number_is_an_error(spark, tmp_path, session_conf, ansi, message):
+    session_conf("spark.sql.ansi.enabled", ansi)
     path = plain_file(tmp_path / "events.csv", [LINES[0].replace("44600062", "many")])
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+    with pytest.raises(Exception, match=message):
         read_events(spark, path).collect()
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_time_is_an_error(spark, tmp_path, session_conf, ansi):
+    session_conf("spark.sql.ansi.enabled", ansi)
+    path = plain_file(tmp_path / "events.csv", [LINES[0].replace(" UTC", " CET")])
+    with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP|event_time cannot hold"):
+        read_events(spark, path).collect()
+
+
+def test_read_inferred(spark, tmp_path):
+    frame = read_inferred(spark, gzip_file(tmp_path / "events.csv.gz"))
+    types = {field.name: field.dataType.simpleString() for field in frame.schema}
+    assert types["product_id"] == "bigint" and types["price"] == "double"
+    assert types["event_time"] == types["brand"] == types["user_session"] == "string"
+    prices = pd.read_csv(tmp_path / "events.csv.gz")["price"].tolist()
+    assert sorted(row.price for row in frame.collect()) == sorted(prices)
+
+
 def test_null_tokens_equal_pandas(spark):
     cells = [*NULL_TOKENS, "none", "Nan", " ", "NA ", "0", "x"]
     csv = "n,cell\n" + "".join(f'{i},"{cell}"\n' for i, cell in enumerate(cells))
