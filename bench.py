@@ -11,7 +11,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from checks import views  # noqa: E402
-from checks.spark_queries import QUERIES, landing  # noqa: E402
+from checks.spark_queries import QUERIES, landing, warehouse  # noqa: E402
 from shopmart.session import build_session  # noqa: E402
 
 
@@ -34,6 +34,7 @@ def main() -> None:
     steps = {
         "write_mapping_final": lambda: views.mapping_final(spark, sf_dir),
         "write_landing_files": lambda: landing(spark, sf_dir),
+        "write_warehouse": lambda: warehouse(spark, sf_dir),
     }
     for name, query in QUERIES.items():
         steps[name] = lambda query=query: query(spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -305,8 +305,8 @@ def insert_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def insert_cleaned_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = views.cleaned(spark, sf_dir).drop("event_id")
     mapping_pairs = views.mapping_final(spark, sf_dir)
-    rows = views.row_count(spark, sf_dir, "mapping-final", mapping_pairs)
-    return curation.insert_cleaned_semi(staging, mapping_pairs, dimension_rows=rows)
+    size = views.measured(spark, sf_dir, "mapping-final", mapping_pairs)
+    return curation.insert_cleaned_semi(staging, mapping_pairs, dimension_bytes=size)
 
 
 def holiday_pairs(spark: SparkSession, sf_dir: str, **options) -> DataFrame:

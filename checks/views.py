@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopmart.operators.cleaning import clean_events
 from shopmart.operators.curation import insert_cleaned
-from shopmart.operators.joins import dimension_join
+from shopmart.operators.joins import dimension_join, value_bytes
 from shopmart.schemas import EVENT_COLUMNS, HOLIDAY_SCHEMA
 from shopmart.session import scratch_path
 
@@ -36,7 +36,7 @@ HOLIDAY_ROWS = [
 ]
 
 _STORED: dict[tuple[str, str, str], str] = {}
-_ROWS: dict[tuple[str, str, str], int] = {}
+_BYTES: dict[tuple[str, str, str], int] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,12 +53,12 @@ def stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], N
     return _STORED[key]
 
 
-def row_count(spark: SparkSession, sf_dir: str, name: str, frame: DataFrame) -> int:
-    """Rows of a dimension, counted once per application."""
+def measured(spark: SparkSession, sf_dir: str, name: str, frame: DataFrame) -> int:
+    """Bytes of a dimension, measured once per application."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _ROWS:
-        _ROWS[key] = frame.count()
-    return _ROWS[key]
+    if key not in _BYTES:
+        _BYTES[key] = value_bytes(frame)
+    return _BYTES[key]
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,8 +88,8 @@ def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(day <= 10, "1").when(day <= 20, "2").otherwise("3").alias("dataset_key"),
     )
     products = catalogue(spark, sf_dir).drop("top_category", "maker")
-    rows = row_count(spark, sf_dir, "part", products)
-    joined = dimension_join(events, products, ["product_id"], dimension_rows=rows)
+    size = measured(spark, sf_dir, "part", products)
+    joined = dimension_join(events, products, ["product_id"], dimension_bytes=size)
     return joined.withColumns(
         {
             "brand": F.when(F.col("event_id") % 10 != 0, F.col("brand")),
@@ -126,8 +126,8 @@ def mapping_final(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def final_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapping = mapping_final(spark, sf_dir)
-    rows = row_count(spark, sf_dir, "mapping-final", mapping)
-    return insert_cleaned(cleaned(spark, sf_dir).drop("event_id"), mapping, dimension_rows=rows)
+    size = measured(spark, sf_dir, "mapping-final", mapping)
+    return insert_cleaned(cleaned(spark, sf_dir).drop("event_id"), mapping, dimension_bytes=size)
 
 
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:

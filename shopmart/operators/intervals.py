@@ -6,12 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shopmart.operators.joins import dimension_join
+from shopmart.operators.joins import BROADCAST_BYTES, dimension_join
 from shopmart.schemas import HOLIDAYS
 
-# A calendar of at most this many rows after binning is sent to every executor.
-BROADCAST_BINS = 200_000
-
 
 def _bin(day: Column, width: int) -> Column:
     return F.floor(F.unix_date(day) / F.lit(width))
@@ -26,7 +23,7 @@ def interval_join(
     *,
     bin_days: int | None = None,
     inclusive_end_day: bool = False,
-    broadcast_bins: int = BROADCAST_BINS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Every pair of an event and an interval that contains it, as an equi-join on a time bin.
 
@@ -34,10 +31,10 @@ def interval_join(
     pair meets once and overlapping intervals repeat the event. ``bin_days`` defaults to the
     average interval length, which keeps the repetition near two bins per interval.
 
-    One row of calendar totals is fetched first. It bounds the number of binned intervals:
-    up to ``broadcast_bins`` they are broadcast and the events are not shuffled; beyond that
-    crowded bins are joined apart from the rest. It also gives the covered time range, which
-    reaches the event scan as a plain filter.
+    One row of calendar totals is fetched first; it gives the bin width and the covered time
+    range, which reaches the event scan as a plain filter. The binned calendar is measured:
+    up to ``broadcast_bytes`` it is broadcast and the events are not shuffled, beyond that
+    crowded bins are joined apart from the rest.
 
     A DATE end bound means midnight; ``inclusive_end_day`` counts the whole last day.
     """
@@ -65,15 +62,13 @@ def interval_join(
         events = events.filter(F.col(time).between(opening, closing))
     else:
         width = bin_days or 1
-    most_bins = (totals.days or 0) // width + 2 * totals.intervals
 
     binned = valid.withColumn("_bin", F.explode(F.sequence(_bin(first_day, width), _bin(last_day, width))))
     joined = dimension_join(
         events.withColumn("_bin", _bin(F.to_date(time), width)),
         binned,
         ["_bin"],
-        dimension_rows=most_bins,
-        broadcast_rows=broadcast_bins,
+        broadcast_bytes=broadcast_bytes,
     )
     return joined.filter((F.col(time) >= F.col(start)) & inside).drop("_bin", "_until")
 

@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shopmart.session import scratch_path
 
-# A dimension of at most this many rows is sent to every executor.
-BROADCAST_ROWS = 1_000_000
+# A dimension whose values take at most this many bytes is sent to every executor.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 # This many of the most frequent keys are joined apart when the dimension is larger.
 HOT_KEYS = 1_000
 
 
+def value_bytes(frame: DataFrame) -> int:
+    """Bytes of all values: text by its length, other columns eight each, and the row itself."""
+
+    def width(field: T.StructField) -> Column:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(field.name), F.lit(0))
+        return F.lit(8)
+
+    row = reduce(lambda left, right: left + right, map(width, frame.schema.fields), F.lit(16))
+    return frame.agg(F.sum(row.cast("long"))).first()[0] or 0
+
+
 def hot_keys(facts: DataFrame, keys: list[str], count: int = HOT_KEYS) -> DataFrame:
     """The most frequent keys, stored so that every use sees the same choice.
 
@@ -38,27 +52,26 @@ def dimension_join(
     keys: list[str],
     how: str = "inner",
     *,
-    dimension_rows: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    dimension_bytes: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Inner or left semi join that does not depend on how the keys are spread.
 
-    Up to ``broadcast_rows`` the dimension is broadcast and the facts are not shuffled; its
-    rows are counted first unless the caller knows them. A larger dimension is joined in two
+    Up to ``broadcast_bytes`` the dimension is broadcast and the facts are not shuffled; its
+    size is measured first unless the caller knows it. A larger dimension is joined in two
     parts: facts with one of the most frequent keys meet only the dimension rows of these
-    keys, which are again counted and broadcast, and the rest is shuffled on the key. No key
-    of the shuffled part holds more than one in ``HOT_KEYS`` rows. Should the frequent keys
-    alone have too many dimension rows, their part is shuffled as well and adaptive
+    keys, which are again measured and broadcast, and the rest is shuffled on the key. No
+    key of the shuffled part holds more than one in ``HOT_KEYS`` rows. Should the frequent
+    keys alone have too many dimension rows, their part is shuffled as well and adaptive
     execution splits it.
     """
     if how not in ("inner", "left_semi"):
         raise ValueError(f"unsupported join {how!r}")
-    rows = dimension.count() if dimension_rows is None else dimension_rows
-    if rows <= broadcast_rows:
+    if (value_bytes(dimension) if dimension_bytes is None else dimension_bytes) <= broadcast_bytes:
         return facts.join(F.broadcast(dimension), keys, how)
     hot = F.broadcast(hot_keys(facts, keys))  # at most HOT_KEYS rows
     hot_dimension = dimension.join(hot, keys, "left_semi")
-    if hot_dimension.count() <= broadcast_rows:
+    if value_bytes(hot_dimension) <= broadcast_bytes:
         frequent = facts.join(F.broadcast(hot_dimension), keys, how)
     else:
         frequent = facts.join(hot, keys, "left_semi").join(hot_dimension, keys, how)

@@ -54,8 +54,8 @@ def test_repeated_mapping_pair_repeats_the_event(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left_semi"])
-@pytest.mark.parametrize("broadcast_rows", [100, 3, 2, 0])
-def test_hot_key_join_equals_plain_join(spark, monkeypatch, how, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [10_000, 80, 50, 0])
+def test_hot_key_join_equals_plain_join(spark, monkeypatch, how, broadcast_bytes):
     """One pair holds a third of the events; every way to join gives the same rows."""
     monkeypatch.setattr(joins.hot_keys, "__defaults__", (2,))
     number = F.col("id")
@@ -64,7 +64,7 @@ def test_hot_key_join_equals_plain_join(spark, monkeypatch, how, broadcast_rows)
     dimension = pairs(spark, ("hot", "x"), ("hot", "x"), ("b1", "x"), ("b2", "x"), ("b2", "y"), (None, "x"), ("b7", None))
     keys = ["brand", "category_code"]
     expected = sorted(row.id for row in facts.join(dimension, keys, how).collect())
-    joined = joins.dimension_join(facts, dimension, keys, how, broadcast_rows=broadcast_rows)
+    joined = joins.dimension_join(facts, dimension, keys, how, broadcast_bytes=broadcast_bytes)
     assert sorted(row.id for row in joined.collect()) == expected
     assert sorted(joined.columns) == ["brand", "category_code", "id"]
 
@@ -78,3 +78,9 @@ def test_other_joins_are_refused(spark):
     frame = spark.createDataFrame([("a",)], "k string")
     with pytest.raises(ValueError, match="unsupported"):
         joins.dimension_join(frame, frame, ["k"], "left")
+
+
+def test_value_bytes(spark):
+    frame = spark.createDataFrame([("ab", 1), ("é", None), (None, 2)], "k string, n long")
+    assert joins.value_bytes(frame) == 3 * 16 + 3 * 8 + 4
+    assert joins.value_bytes(frame.limit(0)) == 0

@@ -23,7 +23,7 @@ def sample(seed, events=400, intervals=12):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("options", [{}, {"bin_days": 1}, {"bin_days": 30}, {"broadcast_bins": 0}])
+@pytest.mark.parametrize("options", [{}, {"bin_days": 1}, {"bin_days": 30}, {"broadcast_bytes": 0}])
 @pytest.mark.parametrize("whole_days", [False, True])
 def test_interval_join_equals_brute_force(spark, seed, options, whole_days):
     times, spans = sample(seed)
