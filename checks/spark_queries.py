@@ -77,7 +77,7 @@ def landed_datasets(root: str) -> list[Dataset]:
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = Tables(spark, scratch_path(spark, "warehouse"))
     jobs.load_datasets(tables, landed_datasets(landing(spark, sf_dir)), clean=False)
-    return jobs.staging_events(tables)
+    return jobs.staging_events(tables, name=jobs.RAW)
 
 
 def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

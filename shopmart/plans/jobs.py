@@ -6,6 +6,8 @@ and the unique sets and the mapping only receive keys they lack.
 
 from __future__ import annotations
 
+import logging
+import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, fields
 from functools import reduce
@@ -26,6 +28,9 @@ from shopmart.sources.event_files import read_raw_events, spread, typed_events
 from shopmart.sources.registry import Dataset, lookup
 from shopmart.sources.tables import DETAIL, MART, STAGING, Tables
 
+log = logging.getLogger(__name__)
+
+RAW = "events_raw"
 EVENTS = "events"
 FINAL = "final_table"
 UNIQUE = {"brand": "unique_brands", "category_code": "unique_categories"}
@@ -46,17 +51,18 @@ class LoadMetrics:
 def load_datasets(
     tables: Tables, datasets: Sequence[Dataset], clean: bool = True, multi_line: bool = False
 ) -> dict[str, LoadMetrics]:
-    """Read the files of some datasets, drop events without brand or category, replace their partitions.
+    """Read the files of some datasets and replace their partitions in ``events``.
 
     Reading, counting, cleaning and writing are one pass over all files at once, so that
     unsplittable files are read side by side; the counters ride along with the write. A
-    dataset without rows stores nothing.
+    dataset without rows stores nothing. With ``clean`` off all rows go to ``events_raw``,
+    from where ``clean_dataset`` takes them.
     """
-    spark = tables.spark
+    started = time.monotonic()
     raw = reduce(
         DataFrame.unionByName,
         [
-            read_raw_events(spark, dataset.dataset_url, multi_line).withColumn("dataset_key", F.lit(dataset.key))
+            read_raw_events(tables.spark, dataset.dataset_url, multi_line).withColumn("dataset_key", F.lit(dataset.key))
             for dataset in datasets
         ],
     )
@@ -70,21 +76,40 @@ def load_datasets(
     ]
     seen = Observation()
     events = typed_events(spread(raw)).observe(seen, *counters)
-    tables.replace_partitions(clean_events(events) if clean else events, STAGING, EVENTS, "dataset_key")
+    if clean:
+        tables.replace_partitions(clean_events(events), STAGING, EVENTS, "dataset_key")
+    else:
+        tables.replace_partitions(events, STAGING, RAW, "dataset_key")
     kept = names if clean else names[:1]
-    return {
+    metrics = {
         dataset.key: LoadMetrics(**{name: seen.get[f"{name}_{position}"] for name in kept})
         for position, dataset in enumerate(datasets)
     }
+    log.info("loaded %s in %.1f s", metrics, time.monotonic() - started)
+    return metrics
 
 
 def load_dataset(tables: Tables, dataset: Dataset, clean: bool = True, multi_line: bool = False) -> LoadMetrics:
     return load_datasets(tables, [dataset], clean, multi_line)[dataset.key]
 
 
-def staging_events(tables: Tables, key: str | None = None) -> DataFrame:
+def clean_dataset(tables: Tables, key: str) -> LoadMetrics:
+    """Copy a dataset from ``events_raw`` to ``events`` without the rows that lack brand or category."""
+    seen = Observation()
+    no_brand, no_category = deleted_rows()
+    events = staging_events(tables, key, RAW).observe(
+        seen,
+        F.count("*").alias("rows"),
+        F.count_if(no_brand).alias("deleted_null_brand"),
+        F.count_if(no_category).alias("deleted_null_category"),
+    )
+    tables.replace_partitions(clean_events(events), STAGING, EVENTS, "dataset_key")
+    return LoadMetrics(**seen.get)
+
+
+def staging_events(tables: Tables, key: str | None = None, name: str = EVENTS) -> DataFrame:
     """Staged events, or those of one dataset, which reads only its partition."""
-    events = tables.read(STAGING, EVENTS, STORED_EVENT_SCHEMA)
+    events = tables.read(STAGING, name, STORED_EVENT_SCHEMA)
     return events if key is None else events.filter(F.col("dataset_key") == key)
 
 
@@ -115,19 +140,27 @@ def map_brands(
     size: int = BATCH_SIZE,
     parallel: int | None = None,
 ) -> None:
-    """Map the unique brands that are not mapped yet, by a model's replies or a dictionary."""
+    """Map the unique brands that are not mapped yet, by a model's replies or a dictionary.
+
+    A reply without a statement is an error, raised after the other replies are stored; its
+    brands are asked for again by the next run.
+    """
     tables.create_if_absent(DETAIL, MAPPING, MAPPING_SCHEMA)
-    known = tables.read(DETAIL, MAPPING)
+    known, failed = tables.read(DETAIL, MAPPING), 0
     brands = dimensions.new_keys(tables.read(DETAIL, UNIQUE["brand"]), known, "brand")
     if answer is not None:
         prompts = mappings.batch_prompts(number_batches(brands, "brand", size), codes)
         tables.replace(mappings.ask(prompts, answer, parallel), DETAIL, REPLIES)
-        found = mappings.parse_replies(tables.read(DETAIL, REPLIES), strict=True)
+        replies = tables.read(DETAIL, REPLIES)
+        failed = mappings.extract_blocks(replies).filter(~F.col("parse_ok")).count()
+        found = mappings.parse_replies(replies)
     elif dictionary is not None:
         found = mappings.classify_brands(brands, dictionary, codes)
     else:
         raise ValueError("give a dictionary or a function that answers prompts")
     tables.append(mappings.valid_mapping(found, codes), DETAIL, MAPPING)
+    if failed:
+        raise ValueError(f"{failed} replies hold no sql block; their brands are not mapped")
 
 
 def expand_mapping(tables: Tables) -> None:

@@ -165,6 +165,20 @@ def test_mapping_by_a_model_asks_once_per_brand(store, rows):
         jobs.map_brands(tables)
 
 
+def test_bad_reply_keeps_the_good_ones(store):
+    tables, registry = store
+    jobs.load_all(tables, registry)
+
+    def answer(prompt):
+        return "```sql\nVALUES ('acme', 'auto')```" if "'acme'" in prompt else "I do not know."
+
+    with pytest.raises(ValueError, match="1 replies"):
+        jobs.map_brands(tables, answer=answer, size=1)
+    assert [tuple(row) for row in tables.read(DETAIL, "brand_category_mapping").collect()] == [("acme", "auto")]
+    jobs.map_brands(tables, answer=lambda prompt: "```sql\nVALUES ('o''neil', 'kids')```")
+    assert tables.read(DETAIL, "brand_category_mapping").count() == 2
+
+
 def test_unregistered_fields_stop_the_load(store):
     tables, registry = store
     broken = {"1": Dataset("1", registry["1"].dataset_url, "t", "", "c")}

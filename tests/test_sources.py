@@ -186,12 +186,31 @@ def test_create_if_absent(tables):
 
 def test_load_counts_and_rerun(spark, tmp_path, tables):
     source = dataset(gzip_file(tmp_path / "events.csv.gz"))
-    raw = jobs.load_dataset(tables, source, clean=False)
-    assert raw == jobs.LoadMetrics(rows=3)
-    assert jobs.staging_events(tables, "1").count() == 3
     for _ in range(2):
         assert jobs.load_dataset(tables, source) == jobs.LoadMetrics(3, 1, 1)
-        assert jobs.staging_events(tables).count() == 1
+        assert jobs.staging_events(tables, "1").count() == 1
+
+
+def test_load_then_clean(spark, tmp_path, tables, rows):
+    source = dataset(gzip_file(tmp_path / "events.csv.gz"))
+    assert jobs.load_dataset(tables, source, clean=False) == jobs.LoadMetrics(rows=3)
+    assert jobs.staging_events(tables, "1", jobs.RAW).count() == 3
+    for _ in range(2):
+        assert jobs.clean_dataset(tables, "1") == jobs.LoadMetrics(3, 1, 1)
+    separate = rows(jobs.staging_events(tables))
+    jobs.load_dataset(tables, source)
+    assert rows(jobs.staging_events(tables)) == separate and len(separate) == 1
+
+
+def test_datasets_side_by_side(spark, tmp_path, tables):
+    sources = [
+        dataset(gzip_file(tmp_path / "a.csv.gz"), "1"),
+        dataset(plain_file(tmp_path / "b.csv", []), "2"),
+        dataset(plain_file(tmp_path / "c.csv", LINES[1:]), "3"),
+    ]
+    found = jobs.load_datasets(tables, sources)
+    assert found == {"1": jobs.LoadMetrics(3, 1, 1), "2": jobs.LoadMetrics(), "3": jobs.LoadMetrics(2, 1, 0)}
+    assert sorted(row.dataset_key for row in jobs.staging_events(tables).collect()) == ["1", "3"]
 
 
 def test_header_only_file_stores_nothing(spark, tmp_path, tables):
