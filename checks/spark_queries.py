@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -256,17 +256,24 @@ def parse_mapping_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping.parse_replies(mapping_replies(spark, sf_dir), strict=True)
 
 
-def digest_answer(prompt: str) -> str:
-    """Stands in for a model: maps each brand in the prompt to a code picked by its MD5 digest."""
-    section = prompt.split("Brands: ", 1)[1].split("\nReply with", 1)[0]
-    names = [text.replace("''", "'") for text in re.findall(r"'((?:[^']|'')*)'", section)]
-    code = {name: CODES[int(hashlib.md5(name.encode()).hexdigest()[:4], 16) % len(CODES)] for name in names}
-    rows = ",\n".join("('{}', '{}')".format(name.replace("'", "''"), code[name]) for name in names)
-    return f"Done.\n```sql\nINSERT INTO brand_category_mapping VALUES\n{rows};\n```"
+def digest_model(codes: Sequence[str]) -> Callable[[str], str]:
+    """Stands in for a model: maps each brand in the prompt to a code picked by its MD5 digest.
+
+    A nested function travels to the workers by value, so they need not import this module.
+    """
+
+    def answer(prompt: str) -> str:
+        section = prompt.split("Brands: ", 1)[1].split("\nReply with", 1)[0]
+        names = [text.replace("''", "'") for text in re.findall(r"'((?:[^']|'')*)'", section)]
+        code = {name: codes[int(hashlib.md5(name.encode()).hexdigest()[:4], 16) % len(codes)] for name in names}
+        rows = ",\n".join("('{}', '{}')".format(name.replace("'", "''"), code[name]) for name in names)
+        return f"Done.\n```sql\nINSERT INTO brand_category_mapping VALUES\n{rows};\n```"
+
+    return answer
 
 
 def ask_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    replies = mapping.ask(batch_prompt(spark, sf_dir), digest_answer, parallel=4)
+    replies = mapping.ask(batch_prompt(spark, sf_dir), digest_model(CODES), parallel=4)
     return mapping.parse_replies(replies, strict=True)
 
 

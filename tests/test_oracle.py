@@ -1,13 +1,18 @@
 """Every registered query against its SQL, and the driver contract."""
 
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
+from pyspark import cloudpickle
 
 import __spark_entry__ as contract
 from checks import views
 from checks.compare import differences
-from checks.spark_queries import QUERIES, cart_then_purchase, holiday_pairs
+from checks.spark_queries import QUERIES, cart_then_purchase, digest_model, holiday_pairs
+from shopmart.operators import joins
+from shopmart.operators.intervals import interval_join
 
 SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not there")
@@ -55,3 +60,21 @@ def test_fixture_counts(spark, sf, expected):
         pairs.filter(pairs.event_type == views.CART).count(),
     ]
     assert found == expected
+
+
+@pytest.mark.parametrize("name", ["holiday_conversion", "insert_cleaned", "insert_cleaned_semi", "expand_mapping"])
+def test_query_without_broadcast_equals_sql(spark, monkeypatch, name):
+    """With no dimension small enough, every join splits off the frequent keys."""
+    monkeypatch.setitem(joins.dimension_join.__kwdefaults__, "broadcast_bytes", 0)
+    monkeypatch.setitem(interval_join.__kwdefaults__, "broadcast_bytes", 0)
+    monkeypatch.setattr(joins.hot_keys, "__defaults__", (20,))
+    assert differences(spark, SF, name) is None
+
+
+def test_stand_in_model_travels_by_value():
+    """Workers have only what is pickled, not this repository."""
+    code = "import sys, pickle; print(pickle.loads(sys.stdin.buffer.read())('Brands: \\'a\\'\\nReply with'))"
+    done = subprocess.run(
+        [sys.executable, "-c", code], input=cloudpickle.dumps(digest_model(("x",))), cwd="/", capture_output=True
+    )
+    assert b"('a', 'x')" in done.stdout, done.stderr
