@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from shopmart.operators import curation, dimensions, mapping as mappings
 from shopmart.operators.cleaning import clean_events, deleted_rows
+from shopmart.operators.joins import BROADCAST_BYTES, value_bytes
 from shopmart.operators.paging import number_batches
 from shopmart.plans import marts
 from shopmart.schemas import (
@@ -171,12 +172,14 @@ def expand_mapping(tables: Tables) -> None:
 def insert_cleaned(tables: Tables, key: str | None = None) -> None:
     """Put the mapped events of one dataset, or of all at once, into the final table.
 
-    Staging files hold one dataset each and the join keeps the rows where they are, so every
-    task writes to few partitions without another shuffle.
+    Staging files hold one dataset each. A broadcast mapping leaves the rows where they are,
+    so every task writes to few partitions; a mapping that is too large for that mixes the
+    datasets, and their rows are gathered again before writing.
     """
     pairs = tables.read(DETAIL, FINAL_MAPPING)
-    kept = curation.insert_cleaned(staging_events(tables, key), pairs)
-    tables.replace_partitions(kept, DETAIL, FINAL, "dataset_key")
+    size = value_bytes(pairs)
+    kept = curation.insert_cleaned(staging_events(tables, key), pairs, dimension_bytes=size)
+    tables.replace_partitions(kept, DETAIL, FINAL, "dataset_key", gather=key is None and size > BROADCAST_BYTES)
 
 
 @dataclass(frozen=True)

@@ -13,6 +13,11 @@ from shopmart.functions.text import null_token
 from shopmart.schemas import EVENT_SCHEMA, EVENT_TIME_FORMAT, NULL_TOKENS, RAW_EVENT_SCHEMA
 
 
+def _column(name: str) -> str:
+    """A header name as one identifier, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _csv_options(reader, multi_line: bool):
     """Quotes are escaped by doubling; a file whose header or row width differs is an error."""
     return (
@@ -73,7 +78,7 @@ def typed_events(
     """
 
     def cell(field: T.StructField) -> Column:
-        value = null_token(F.col(field.name), tokens)
+        value = null_token(F.col(_column(field.name)), tokens)
         if isinstance(field.dataType, T.TimestampNTZType):
             typed = F.to_timestamp_ntz(value, F.lit(time_format))
         else:
@@ -82,7 +87,7 @@ def typed_events(
         refused = F.when(value.isNotNull(), F.raise_error(misfit).cast(field.dataType))
         return F.coalesce(typed, refused).alias(field.name)
 
-    rest = [F.col(name) for name in raw.columns if name not in schema.fieldNames()]
+    rest = [F.col(_column(name)) for name in raw.columns if name not in schema.fieldNames()]
     return raw.select(*map(cell, schema.fields), *rest)
 
 
@@ -102,8 +107,8 @@ MISSING, SIGNED, NEGATIVE, WIDE, REAL, OTHER = 1, 2, 4, 8, 16, 32
 
 def _cell_kind(name: str, tokens: Sequence[str]) -> Column:
     """Bits of one cell. WIDE is an integer outside the signed 64-bit range."""
-    cell = F.col(name)
-    number = F.expr(f"try_cast(trim(`{name}`) AS decimal(38,0))")
+    cell = F.col(_column(name))
+    number = F.trim(cell).try_cast("decimal(38,0)")
     sign = F.when(cell.contains("-"), NEGATIVE).otherwise(0)
     integer = (
         F.when(F.length(cell) <= 18, sign + SIGNED)
@@ -111,7 +116,7 @@ def _cell_kind(name: str, tokens: Sequence[str]) -> Column:
         .when(number.between(Decimal(-(10**20)), Decimal(2**64 - 1)), sign + WIDE)
         .otherwise(OTHER)
     )
-    finite = F.abs(F.expr(f"try_cast(`{name}` AS double)")) < float("inf")
+    finite = F.abs(cell.try_cast("double")) < float("inf")
     return (
         F.when(cell.isNull() | cell.isin(list(tokens)), MISSING)
         .when(cell.rlike(INTEGER_CELL), integer)
@@ -129,7 +134,7 @@ def infer_types(raw: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFram
     """
     seen = raw.agg(*[F.bit_or(_cell_kind(name, tokens)).alias(name) for name in raw.columns])
     named = [
-        F.struct(F.lit(position).alias("position"), F.lit(name).alias("column_name"), F.col(name).alias("seen"))
+        F.struct(F.lit(position).alias("position"), F.lit(name).alias("column_name"), F.col(_column(name)).alias("seen"))
         for position, name in enumerate(raw.columns)
     ]
     rows = seen.select(F.inline(F.array(*named)))

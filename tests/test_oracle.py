@@ -23,6 +23,14 @@ def test_query_equals_sql(spark, name):
     assert differences(spark, SF, name) is None
 
 
+@pytest.mark.parametrize("name", QUERIES)
+def test_no_cross_join_and_no_needless_python(spark, plan, name):
+    text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+    assert ("MapInPandas" in text) == (name == "ask_model")
+    assert "EvalPython" not in text
+
+
 def test_every_query_has_sql():
     assert set(contract.queries()) == set(contract.oracle_sql())
 

@@ -141,6 +141,14 @@ def test_inference_sees_every_row(spark):
     assert infer_types(frame).first().column_type == "TEXT"
 
 
+def test_odd_header_names(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    path.write_text("user.id,a`b,plain name\n1,x,2.5\n2,,NA\n", encoding="utf-8")
+    frame = read_inferred(spark, str(path))
+    assert [tuple(row) for row in frame.collect()] == [(1, "x", 2.5), (2, None, None)]
+    assert frame.columns == ["user.id", "a`b", "plain name"]
+
+
 def test_registry():
     months = monthly_registry("/landing/")
     assert list(months) == list("1234567")
