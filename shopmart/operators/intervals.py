@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shopmart.operators.joins import BROADCAST_BYTES, dimension_join
+from shopmart.operators.joins import BROADCAST_BYTES, dimension_join, row_bytes
 from shopmart.schemas import HOLIDAYS
 
 
@@ -31,10 +31,10 @@ def interval_join(
     pair meets once and overlapping intervals repeat the event. ``bin_days`` defaults to the
     average interval length, which keeps the repetition near two bins per interval.
 
-    One row of calendar totals is fetched first; it gives the bin width and the covered time
-    range, which reaches the event scan as a plain filter. The binned calendar is measured:
-    up to ``broadcast_bytes`` it is broadcast and the events are not shuffled, beyond that
-    crowded bins are joined apart from the rest.
+    One row of calendar totals is fetched first. It gives the bin width, the covered time
+    range, which reaches the event scan as a plain filter, and a bound for the bytes of the
+    binned calendar: up to ``broadcast_bytes`` it is broadcast and the events are not
+    shuffled, beyond that crowded bins are joined apart from the rest.
 
     A DATE end bound means midnight; ``inclusive_end_day`` counts the whole last day.
     """
@@ -54,20 +54,24 @@ def interval_join(
         F.sum(F.datediff(last_day, first_day) + 1).alias("days"),
         F.min(start).cast("string").alias("opening"),
         F.max("_until").cast("string").alias("closing"),
+        F.max(row_bytes(valid)).alias("widest"),
     ).first()
     if totals.intervals:
         width = bin_days or max(1, round(totals.days / totals.intervals))
         opening = F.lit(totals.opening).cast(valid.schema[start].dataType)
         closing = F.lit(totals.closing).cast(valid.schema["_until"].dataType)
         events = events.filter(F.col(time).between(opening, closing))
+        # an interval of n days touches at most n / width + 2 bins
+        most_bytes = (totals.days // width + 2 * totals.intervals) * (totals.widest + 8)
     else:
-        width = bin_days or 1
+        width, most_bytes = bin_days or 1, 0
 
     binned = valid.withColumn("_bin", F.explode(F.sequence(_bin(first_day, width), _bin(last_day, width))))
     joined = dimension_join(
         events.withColumn("_bin", _bin(F.to_date(time), width)),
         binned,
         ["_bin"],
+        dimension_bytes=most_bytes,
         broadcast_bytes=broadcast_bytes,
     )
     return joined.filter((F.col(time) >= F.col(start)) & inside).drop("_bin", "_until")

@@ -15,16 +15,20 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEYS = 1_000
 
 
-def value_bytes(frame: DataFrame) -> int:
-    """Bytes of all values: text by its length, other columns eight each, and the row itself."""
+def row_bytes(frame: DataFrame) -> Column:
+    """Bytes of one row: text by its length, other columns eight each, and the row itself."""
 
     def width(field: T.StructField) -> Column:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             return F.coalesce(F.octet_length(field.name), F.lit(0))
         return F.lit(8)
 
-    row = reduce(lambda left, right: left + right, map(width, frame.schema.fields), F.lit(16))
-    return frame.agg(F.sum(row.cast("long"))).first()[0] or 0
+    return reduce(lambda left, right: left + right, map(width, frame.schema.fields), F.lit(16)).cast("long")
+
+
+def value_bytes(frame: DataFrame) -> int:
+    """Bytes of all rows."""
+    return frame.agg(F.sum(row_bytes(frame))).first()[0] or 0
 
 
 def hot_keys(facts: DataFrame, keys: list[str], count: int = HOT_KEYS) -> DataFrame:

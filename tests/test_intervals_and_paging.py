@@ -126,3 +126,21 @@ def test_pages(spark, monkeypatch, top_k):
     assert [row.brand for row in paging.page(keys, "brand", 25, 50).collect()] == [f"b{n:05d}" for n in range(50, 60)]
     assert paging.page(keys, "brand", 25, 75).isEmpty()
     assert [row.brand for row in paging.page(keys, "brand").collect()] == [f"b{n:05d}" for n in range(25)]
+
+
+@pytest.mark.parametrize("options", [{}, {"bin_days": 1}, {"bin_days": 7}])
+def test_the_size_bound_holds(spark, monkeypatch, options):
+    """The bytes passed to the join are never fewer than the binned calendar has."""
+    from shopmart.operators import intervals, joins
+
+    times, spans = sample(4, events=5, intervals=60)
+    seen = {}
+
+    def watch(facts, dimension, keys, **sizes):
+        seen.update(sizes, actual=joins.value_bytes(dimension))
+        return joins.dimension_join(facts, dimension, keys, **sizes)
+
+    monkeypatch.setattr(intervals, "dimension_join", watch)
+    calendar = spark.createDataFrame(spans, "holiday string, start_date date, end_date date")
+    interval_join(spark.createDataFrame(times, "n int, event_time timestamp_ntz"), calendar, **options)
+    assert 0 < seen["actual"] <= seen["dimension_bytes"]
