@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, fields
 from functools import reduce
 
@@ -22,6 +22,7 @@ from shopmart.plans import marts
 from shopmart.schemas import (
     BATCH_SIZE,
     CATEGORY_CODES,
+    EVENT_SCHEMA,
     MAPPING_SCHEMA,
     STORED_EVENT_SCHEMA,
 )
@@ -49,6 +50,17 @@ class LoadMetrics:
     deleted_null_category: int = 0
 
 
+def store_events(
+    tables: Tables, events: DataFrame, layer: str, name: str, keys: Iterable[str], gather: bool = False
+) -> None:
+    """Replace the partitions of the given datasets; one that has no rows any more is emptied."""
+    seen = Observation()
+    watched = events.observe(seen, F.collect_set("dataset_key").alias("keys"))
+    tables.replace_partitions(watched, layer, name, "dataset_key", gather=gather)
+    for key in set(keys) - set(seen.get["keys"]):
+        tables.empty_partition(layer, name, EVENT_SCHEMA, "dataset_key", key)
+
+
 def load_datasets(
     tables: Tables, datasets: Sequence[Dataset], clean: bool = True, multi_line: bool = False
 ) -> dict[str, LoadMetrics]:
@@ -77,14 +89,14 @@ def load_datasets(
     ]
     seen = Observation()
     events = typed_events(spread(raw)).observe(seen, *counters)
+    keys = [dataset.key for dataset in datasets]
     if clean:
-        tables.replace_partitions(clean_events(events), STAGING, EVENTS, "dataset_key")
+        store_events(tables, clean_events(events), STAGING, EVENTS, keys)
     else:
-        tables.replace_partitions(events, STAGING, RAW, "dataset_key")
+        store_events(tables, events, STAGING, RAW, keys)
     kept = names if clean else names[:1]
     metrics = {
-        dataset.key: LoadMetrics(**{name: seen.get[f"{name}_{position}"] for name in kept})
-        for position, dataset in enumerate(datasets)
+        key: LoadMetrics(**{name: seen.get[f"{name}_{position}"] for name in kept}) for position, key in enumerate(keys)
     }
     log.info("loaded %s in %.1f s", metrics, time.monotonic() - started)
     return metrics
@@ -104,7 +116,7 @@ def clean_dataset(tables: Tables, key: str) -> LoadMetrics:
         F.count_if(no_brand).alias("deleted_null_brand"),
         F.count_if(no_category).alias("deleted_null_category"),
     )
-    tables.replace_partitions(clean_events(events), STAGING, EVENTS, "dataset_key")
+    store_events(tables, clean_events(events), STAGING, EVENTS, [key])
     return LoadMetrics(**seen.get)
 
 
@@ -114,6 +126,14 @@ def staging_events(tables: Tables, key: str | None = None, name: str = EVENTS) -
     return events if key is None else events.filter(F.col("dataset_key") == key)
 
 
+def dataset_keys(tables: Tables, layer: str, name: str) -> set[str]:
+    """Keys of the datasets that have rows in a table, one row per dataset."""
+    if not tables.exists(layer, name):
+        return set()
+    events = tables.read(layer, name, STORED_EVENT_SCHEMA)
+    return {row.dataset_key for row in events.select("dataset_key").distinct().collect()}
+
+
 def extract_dimensions(tables: Tables, dataset: Dataset, keep_existing: bool = False) -> None:
     """Distinct brands and categories of a dataset, refreshed unless ``keep_existing``."""
     save = tables.save_if_absent if keep_existing else tables.replace
@@ -179,7 +199,8 @@ def insert_cleaned(tables: Tables, key: str | None = None) -> None:
     pairs = tables.read(DETAIL, FINAL_MAPPING)
     size = value_bytes(pairs)
     kept = curation.insert_cleaned(staging_events(tables, key), pairs, dimension_bytes=size)
-    tables.replace_partitions(kept, DETAIL, FINAL, "dataset_key", gather=key is None and size > BROADCAST_BYTES)
+    keys = [key] if key is not None else dataset_keys(tables, STAGING, EVENTS) | dataset_keys(tables, DETAIL, FINAL)
+    store_events(tables, kept, DETAIL, FINAL, keys, gather=key is None and size > BROADCAST_BYTES)
 
 
 @dataclass(frozen=True)

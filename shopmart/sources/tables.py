@@ -73,6 +73,11 @@ class Tables:
             .parquet(self.path(layer, name))
         )
 
+    def empty_partition(self, layer: str, name: str, schema: T.StructType, key: str, value: str) -> None:
+        """Leave a partition without rows; ``schema`` is that of the table without the key."""
+        empty = self.spark.createDataFrame([], schema)
+        empty.write.mode("overwrite").parquet(f"{self.path(layer, name)}/{key}={value}")
+
     def register(self, layer: str, name: str, *keys: str) -> None:
         """Make a stored table known to SQL as ``layer.name``; ``keys`` are its partition columns."""
         target, location = f"{layer}.{name.lower()}", self.path(layer, name)

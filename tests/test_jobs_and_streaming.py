@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopmart.plans import jobs
-from shopmart.schemas import EVENT_COLUMNS, HOLIDAY_SCHEMA
+from shopmart.schemas import EVENT_COLUMNS, HOLIDAY_SCHEMA, STORED_EVENT_SCHEMA
 from shopmart.session import scratch_path, scratch_root
 from shopmart.sources.registry import Dataset
 from shopmart.sources.tables import DETAIL, MART, Tables
@@ -144,6 +144,21 @@ def test_one_dataset_at_a_time(store, dictionary):
     assert tables.read(DETAIL, "final_table").count() == 5
 
 
+@pytest.mark.parametrize("one", ["1", None])
+def test_rerun_without_rows_empties_the_partition(store, tmp_path, dictionary, one):
+    tables, registry = store
+    jobs.load_all(tables, registry)
+    jobs.map_brands(tables, dictionary)
+    jobs.expand_mapping(tables)
+    jobs.insert_cleaned(tables)
+    write_events(tmp_path / "oct.csv.gz", OCTOBER[3:])
+    assert jobs.load_dataset(tables, registry["1"]) == jobs.LoadMetrics(2, 1, 1)
+    assert {row.dataset_key for row in jobs.staging_events(tables).collect()} == {"2"}
+    jobs.insert_cleaned(tables, one)
+    final = tables.read(DETAIL, "final_table", STORED_EVENT_SCHEMA)
+    assert {row.dataset_key for row in final.collect()} == {"2"}
+
+
 def test_mapping_by_a_model_asks_once_per_brand(store, rows):
     tables, registry = store
     jobs.load_all(tables, registry)
