@@ -63,12 +63,14 @@ def holiday_conversion(
     cart: str = "cart",
     purchase: str = "purchase",
     inclusive_end_day: bool = False,
+    null_on_zero: bool = False,
 ) -> DataFrame:
     """Conversion on holidays and on the remaining days.
 
     The holiday numerator counts converted triples, its denominator holiday carts; the other
     rate is the same on what is left of all purchases and carts. The events are read twice:
     the totals need the event type of every row, the triples only rows within the calendar.
+    Without a cart on either side the job fails, or that rate is null with ``null_on_zero``.
     """
     pairs = holiday_events(events, holidays, names, (cart, purchase), inclusive_end_day=inclusive_end_day)
     on_holidays = triple_times(pairs, cart, purchase).agg(
@@ -79,11 +81,13 @@ def holiday_conversion(
     counts = on_holidays.unionByName(overall, allowMissingColumns=True).agg(
         *[F.sum(name).alias(name) for name in on_holidays.columns + overall.columns]
     )
+    holiday_carts = F.col("holiday_carts")
+    other_carts = F.col("overall_carts") - holiday_carts
+    if null_on_zero:
+        holiday_carts, other_carts = F.nullif(holiday_carts, F.lit(0)), F.nullif(other_carts, F.lit(0))
     return counts.select(
-        ratio(F.col("holiday_purchases"), F.col("holiday_carts")).alias("holiday_conversion"),
-        ratio(
-            F.col("overall_purchases") - F.col("holiday_purchases"), F.col("overall_carts") - F.col("holiday_carts")
-        ).alias("overall_conversion"),
+        ratio(F.col("holiday_purchases"), holiday_carts).alias("holiday_conversion"),
+        ratio(F.col("overall_purchases") - F.col("holiday_purchases"), other_carts).alias("overall_conversion"),
     )
 
 

@@ -79,6 +79,8 @@ def test_no_holiday_cart_is_an_error(spark, session_conf, ansi):
     data = events(spark, (at(20), "cart", 1, "a"), (at(20), "purchase", 1, "a"))
     with pytest.raises(Exception, match="division by zero"):
         marts.holiday_conversion(data, calendar(spark, NEW_YEAR)).collect()
+    row = marts.holiday_conversion(data, calendar(spark, NEW_YEAR), null_on_zero=True).first()
+    assert row.holiday_conversion is None and row.overall_conversion == 1
 
 
 def test_category_conversion(spark):
