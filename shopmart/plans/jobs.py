@@ -142,11 +142,12 @@ def extract_dimensions(tables: Tables, dataset: Dataset, keep_existing: bool = F
     save(dimensions.distinct_keys(events, "category_code"), DETAIL, dataset.categories_table_name)
 
 
-def merge_unique(tables: Tables, dataset: Dataset, key: str) -> dict[str, int]:
-    """Add the keys of a dataset that the unique set lacks; returns the counts of the merge."""
-    source_name = dataset.brands_table_name if key == "brand" else dataset.categories_table_name
+def merge_unique(tables: Tables, datasets: Sequence[Dataset], key: str) -> dict[str, int]:
+    """Add the keys of some datasets that the unique set lacks; returns the counts of the merge."""
+    table_name = "brands_table_name" if key == "brand" else "categories_table_name"
+    paths = [tables.path(DETAIL, getattr(dataset, table_name)) for dataset in datasets]
     tables.create_if_absent(DETAIL, UNIQUE[key], f"{key} string")
-    source, target = tables.read(DETAIL, source_name), tables.read(DETAIL, UNIQUE[key])
+    source, target = tables.spark.read.schema(f"{key} string").parquet(*paths), tables.read(DETAIL, UNIQUE[key])
     counts = dimensions.merge_metrics(source, target, key).drop("key_name").first().asDict()
     if counts["inserted"]:
         tables.append(dimensions.new_keys(source, target, key), DETAIL, UNIQUE[key])
@@ -246,9 +247,9 @@ def pending(tables: Tables, registry: Mapping[str, Dataset], step: str) -> list[
     return [key for key in registry if key not in finished]
 
 
-def finish(tables: Tables, step: str, key: str) -> None:
-    row = tables.spark.createDataFrame([(step, key)], "step string, dataset_key string")
-    tables.append(row, DETAIL, LEDGER)
+def finish(tables: Tables, step: str, keys: Sequence[str]) -> None:
+    rows = tables.spark.createDataFrame([(step, key) for key in keys], "step string, dataset_key string")
+    tables.append(rows.coalesce(1), DETAIL, LEDGER)
 
 
 def load_all(tables: Tables, registry: Mapping[str, Dataset]) -> dict[str, LoadMetrics]:
@@ -258,12 +259,13 @@ def load_all(tables: Tables, registry: Mapping[str, Dataset]) -> dict[str, LoadM
     if not datasets:
         return {}
     metrics = load_datasets(tables, datasets)
-    for dataset in datasets:
-        if metrics[dataset.key].rows:
-            extract_dimensions(tables, dataset)
-            for column in UNIQUE:
-                merge_unique(tables, dataset, column)
-        finish(tables, "load", dataset.key)
+    filled = [dataset for dataset in datasets if metrics[dataset.key].rows]
+    for dataset in filled:
+        extract_dimensions(tables, dataset)
+    if filled:
+        for column in UNIQUE:
+            merge_unique(tables, filled, column)
+    finish(tables, "load", [dataset.key for dataset in datasets])
     return metrics
 
 

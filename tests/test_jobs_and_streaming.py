@@ -112,13 +112,15 @@ def test_merge_counts(store):
     for dataset in registry.values():
         jobs.load_dataset(tables, dataset)
         jobs.extract_dimensions(tables, dataset)
-    counts = [jobs.merge_unique(tables, dataset, "brand") for dataset in registry.values()]
+    counts = [jobs.merge_unique(tables, [dataset], "brand") for dataset in registry.values()]
     assert counts == [
         {"source_count": 1, "target_before": 0, "inserted": 1, "target_after": 1},
         {"source_count": 2, "target_before": 1, "inserted": 1, "target_after": 2},
     ]
-    assert jobs.merge_unique(tables, registry["2"], "brand")["inserted"] == 0
+    assert jobs.merge_unique(tables, [registry["2"]], "brand")["inserted"] == 0
     assert tables.read(DETAIL, "unique_brands").count() == 2
+    together = {"source_count": 2, "target_before": 0, "inserted": 2, "target_after": 2}
+    assert jobs.merge_unique(tables, list(registry.values()), "category_code") == together
 
 
 def test_existing_dimensions_can_be_kept(store, rows):
