@@ -126,12 +126,9 @@ def staging_events(tables: Tables, key: str | None = None, name: str = EVENTS) -
     return events if key is None else events.filter(F.col("dataset_key") == key)
 
 
-def dataset_keys(tables: Tables, layer: str, name: str) -> set[str]:
-    """Keys of the datasets that have rows in a table, one row per dataset."""
-    if not tables.exists(layer, name):
-        return set()
-    events = tables.read(layer, name, STORED_EVENT_SCHEMA)
-    return {row.dataset_key for row in events.select("dataset_key").distinct().collect()}
+def staged_keys(tables: Tables) -> set[str]:
+    """Keys of the staged datasets, one row per dataset."""
+    return {row.dataset_key for row in staging_events(tables).select("dataset_key").distinct().collect()}
 
 
 def extract_dimensions(tables: Tables, dataset: Dataset, keep_existing: bool = False) -> None:
@@ -200,8 +197,10 @@ def insert_cleaned(tables: Tables, key: str | None = None) -> None:
     pairs = tables.read(DETAIL, FINAL_MAPPING)
     size = value_bytes(pairs)
     kept = curation.insert_cleaned(staging_events(tables, key), pairs, dimension_bytes=size)
-    keys = [key] if key is not None else dataset_keys(tables, STAGING, EVENTS) | dataset_keys(tables, DETAIL, FINAL)
+    stored = finished(tables, "insert")
+    keys = {key} if key is not None else staged_keys(tables) | stored
     store_events(tables, kept, DETAIL, FINAL, keys, gather=key is None and size > BROADCAST_BYTES)
+    finish(tables, "insert", sorted(keys - stored))
 
 
 @dataclass(frozen=True)
@@ -238,18 +237,24 @@ def register_all(tables: Tables) -> None:
         tables.register(MART, name)
 
 
-def pending(tables: Tables, registry: Mapping[str, Dataset], step: str) -> list[str]:
-    """Registry keys a step has not finished, in order; at most the registry's keys are fetched."""
+def finished(tables: Tables, step: str) -> set[str]:
+    """Keys of the datasets a step has handled, one row per dataset."""
     tables.create_if_absent(DETAIL, LEDGER, "step string, dataset_key string")
-    ledger = tables.read(DETAIL, LEDGER)
-    rows = ledger.filter((F.col("step") == step) & F.col("dataset_key").isin(list(registry)))
-    finished = {row.dataset_key for row in rows.select("dataset_key").distinct().collect()}
-    return [key for key in registry if key not in finished]
+    rows = tables.read(DETAIL, LEDGER).filter(F.col("step") == step)
+    return {row.dataset_key for row in rows.select("dataset_key").distinct().collect()}
 
 
 def finish(tables: Tables, step: str, keys: Sequence[str]) -> None:
-    rows = tables.spark.createDataFrame([(step, key) for key in keys], "step string, dataset_key string")
-    tables.append(rows.coalesce(1), DETAIL, LEDGER)
+    """Note in the ledger that a step has handled some datasets."""
+    if keys:
+        rows = tables.spark.createDataFrame([(step, key) for key in keys], "step string, dataset_key string")
+        tables.append(rows.coalesce(1), DETAIL, LEDGER)
+
+
+def pending(tables: Tables, registry: Mapping[str, Dataset], step: str) -> list[str]:
+    """Registry keys a step has not handled, in order."""
+    done = finished(tables, step)
+    return [key for key in registry if key not in done]
 
 
 def load_all(tables: Tables, registry: Mapping[str, Dataset]) -> dict[str, LoadMetrics]:
