@@ -65,9 +65,9 @@ def dimension_join(
     size is measured first unless the caller knows it. A larger dimension is joined in two
     parts: facts with one of the most frequent keys meet only the dimension rows of these
     keys, which are again measured and broadcast, and the rest is shuffled on the key. No
-    key of the shuffled part holds more than one in ``HOT_KEYS`` rows. Should the frequent
-    keys alone have too many dimension rows, their part is shuffled as well and adaptive
-    execution splits it.
+    key of the shuffled part holds more than one in ``HOT_KEYS`` rows. A semi join needs each
+    frequent key once. Should an inner join find too many dimension rows for the frequent
+    keys alone, their part is shuffled as well and adaptive execution splits it.
     """
     if how not in ("inner", "left_semi"):
         raise ValueError(f"unsupported join {how!r}")
@@ -75,6 +75,8 @@ def dimension_join(
         return facts.join(F.broadcast(dimension), keys, how)
     hot = F.broadcast(hot_keys(facts, keys))  # at most HOT_KEYS rows
     hot_dimension = dimension.join(hot, keys, "left_semi")
+    if how == "left_semi":
+        hot_dimension = hot_dimension.select(*keys).distinct()
     if value_bytes(hot_dimension) <= broadcast_bytes:
         frequent = facts.join(F.broadcast(hot_dimension), keys, how)
     else:
