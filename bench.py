@@ -30,13 +30,14 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1000).groupBy("id").count().write.format("noop").mode("overwrite").save()
 
-    # Derived tables that several queries read are written first and timed on their own.
+    # Derived tables that several queries read are written before these and timed on their own.
     steps = {
         "write_mapping_final": lambda: views.mapping_final(spark, sf_dir),
         "write_landing_files": lambda: landing(spark, sf_dir),
-        "write_warehouse": lambda: warehouse(spark, sf_dir),
     }
     for name, query in QUERIES.items():
+        if name.startswith("built_"):
+            steps.setdefault("write_warehouse", lambda: warehouse(spark, sf_dir))
         steps[name] = lambda query=query: query(spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     seconds = {}
