@@ -49,6 +49,14 @@ SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
 FROM placed
 """
 
+OP3 = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+  sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
 ORACLE: dict[str, str] = {
     "op1_source_mix": OP1,
+    "op3_exact_dedup": OP3,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopmart.llm import mixing
+from shopmart.llm import exact_dedup, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,14 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = exact_dedup.mark_copies(table(spark, sf_dir, "documents"), keep="max")
+    return marked.select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
+    "op3_exact_dedup": op3_exact_dedup,
 }
