@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopmart.llm import exact_dedup, mixing
+from shopmart.llm import exact_dedup, mixing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,7 +27,16 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.assess(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_quality_rules": op4_quality_rules,
 }
