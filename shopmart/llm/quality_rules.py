@@ -26,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shopmart.llm.storage import store
-from shopmart.llm.words import WHITE, WHITE_RUN, WORD, words_of
+from shopmart.llm.words import WHITE, WHITE_RUN, words_of
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -142,8 +142,7 @@ def _rest(parts: Column) -> Column:
 def references(texts: DataFrame) -> DataFrame:
     """The reference of each language that has enough words: class_reference and common.
 
-    ``texts`` has the columns language and text. Words are counted as gaps of the trimmed text, and long
-    words are blotted out before the text is split, so that no array of all words is built here.
+    ``texts`` has the columns language and text.
     """
     trimmed = F.btrim(F.col("text"), F.lit(WHITE))
     joined = F.regexp_replace(trimmed, WHITE_RUN, " ")
@@ -159,13 +158,9 @@ def references(texts: DataFrame) -> DataFrame:
     n_words = languages.agg(F.sum("n_words")).first()[0] or 0
     large = languages.filter(F.col("n_words") >= MIN_LANGUAGE_SHARE * n_words).filter("n_words > 0")
 
-    short = F.regexp_replace("text", f"{WORD[:-1]}{{{COMMON_CHARS + 1},}}+", "")
-    counts = (
-        texts.select("language", F.explode(F.split(short, WHITE_RUN)).alias("word"))
-        .filter("word != ''")
-        .groupBy("language", "word")
-        .count()
-    )
+    words = texts.select("language", F.explode(F.split("text", WHITE_RUN)).alias("word"))
+    short = words.filter(F.length("word").between(1, COMMON_CHARS))
+    counts = short.groupBy("language", "word").count()
     # A word holds at least 1 in 2000 words to be common, so at most 2000 a language are ranked.
     frequent = (
         counts.join(F.broadcast(large.withColumnRenamed("language", "of")), F.col("language").eqNullSafe(F.col("of")))
