@@ -26,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shopmart.llm.storage import store
-from shopmart.llm.words import WHITE, WHITE_RUN, words_of
+from shopmart.llm.words import WHITE, WHITE_RUN, n_words, words_of
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -144,19 +144,15 @@ def references(texts: DataFrame) -> DataFrame:
 
     ``texts`` has the columns language and text.
     """
-    trimmed = F.btrim(F.col("text"), F.lit(WHITE))
-    joined = F.regexp_replace(trimmed, WHITE_RUN, " ")
-    gaps = F.length(joined) - F.length(F.replace(joined, F.lit(" "), F.lit("")))
-    counted = F.when(trimmed == "", 0).otherwise(gaps + 1)
     sums = [F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(len(CLASSES) + 1)]
     languages = store(
-        texts.select("language", class_counts(F.col("text")).alias("classes"), counted.alias("n"))
+        texts.select("language", class_counts(F.col("text")).alias("classes"), n_words(F.col("text")).alias("n"))
         .groupBy("language")
         .agg(F.sum("n").alias("n_words"), *sums),
         "languages",
     )
-    n_words = languages.agg(F.sum("n_words")).first()[0] or 0
-    large = languages.filter(F.col("n_words") >= MIN_LANGUAGE_SHARE * n_words).filter("n_words > 0")
+    all_words = languages.agg(F.sum("n_words")).first()[0] or 0
+    large = languages.filter(F.col("n_words") >= MIN_LANGUAGE_SHARE * all_words).filter("n_words > 0")
 
     words = texts.select("language", F.explode(F.split("text", WHITE_RUN)).alias("word"))
     short = words.filter(F.length("word").between(1, COMMON_CHARS))

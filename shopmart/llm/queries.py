@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shopmart.llm import exact_dedup, mixing, quality_rules
+from shopmart.llm import exact_dedup, mixing, pii, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,8 +35,24 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = pii.find_spans(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    listed = pii.span_list(F.col("base"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[count(kind) for kind in pii.KINDS],
+        F.sha2(listed.cast("binary"), 256).alias("base_sha256"),
+        pii.span_list(F.concat("base", "terms")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op2_personal_data": op2_personal_data,
 }

@@ -28,7 +28,11 @@ def words_of(text: Column) -> Column:
 
 
 def n_words(text: Column) -> Column:
-    return F.size(words_of(text)).cast("long")
+    """How many words a text has: one more than the gaps inside the trimmed text, without building the words."""
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(WHITE))
+    joined = F.regexp_replace(trimmed, WHITE_RUN, " ")
+    gaps = F.length(joined) - F.length(F.replace(joined, F.lit(" "), F.lit("")))
+    return F.when(trimmed == "", 0).otherwise(gaps + 1).cast("long")
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
