@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shopmart.llm import exact_dedup, mixing, pii, quality_rules
+from shopmart.llm import exact_dedup, mixing, packing, pii, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,9 +50,29 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def packed(documents: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.pack(documents, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return pieces.select(
+        F.col("id").alias("doc_id"),
+        "piece",
+        "start",
+        F.col("length").cast("long").alias("length"),
+        "ids_crc32",
+        "sequence_id",
+        "offset",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op2_personal_data": op2_personal_data,
+    "op5_best_fit_packing": op5_best_fit_packing,
 }

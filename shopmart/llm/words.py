@@ -8,11 +8,14 @@ and the hash of a word is a difference of prefix sums of a polynomial modulo 2**
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column, functions as F
 
+from shopmart.llm import by_value
+
+by_value(__name__)
+
 WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -62,13 +65,20 @@ def _byte_tables() -> dict[str, np.ndarray]:
 TABLES = _byte_tables()
 
 
-@lru_cache(maxsize=1)
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base modulo 2**64 and their inverses."""
+    """Powers of an odd base modulo 2**64 and their inverses; those of the usual size are kept."""
+    if size in _POWERS:
+        return _POWERS[size]
     steps = np.full(size, _BASE, np.uint64)
     back = np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
     steps[0] = back[0] = 1
-    return np.cumprod(steps, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
+    found = np.cumprod(steps, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
+    if size <= 2 * _CHUNK_BYTES:
+        _POWERS[size] = found
+    return found
 
 
 def _segments(texts: Sequence[str]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
