@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shopmart.llm import exact_dedup, mixing, packing, pii, quality_rules
+from shopmart.llm import exact_dedup, mixing, packing, pii, quality_model, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,10 +69,20 @@ def packed(documents: DataFrame) -> DataFrame:
     )
 
 
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op2_personal_data": op2_personal_data,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_quality_model": op6_quality_model,
+    "op10_toxicity": op10_toxicity,
 }

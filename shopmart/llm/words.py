@@ -65,7 +65,14 @@ def _byte_tables() -> dict[str, np.ndarray]:
 TABLES = _byte_tables()
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+class _Cache(dict):
+    """Stays where it is when the module travels with a task."""
+
+    def __reduce__(self):
+        return _Cache, ()
+
+
+_POWERS = _Cache()
 
 
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,12 +119,13 @@ def _segments(texts: Sequence[str]) -> Iterator[tuple[bytes, np.ndarray, np.ndar
 
 
 def word_hashes(
-    texts: Sequence[str], separators: str = "white", shapes: bool = False
+    texts: Sequence[str], separators: str = "white", shapes: bool = False, stem: int = 0
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
-    """Hash of every word (A-Z read as a-z), the number of its text, and if asked the hash of its shape.
+    """Hash of every word (A-Z read as a-z), the number of its text, and if asked the hash of its shape or stem.
 
     ``separators`` is "white", or "not_plain" to end words also at ASCII punctuation. A shape
-    keeps punctuation and reads a run of letters or of digits as one sign.
+    keeps punctuation and reads a run of letters or of digits as one sign; a stem is the first
+    ``stem`` bytes of a word.
     """
     hashes, owners, forms = [], [], []
     for data, numbers, lengths in _segments(texts):
@@ -133,7 +141,10 @@ def word_hashes(
         hashes.append(mixed((sums[ends] - sums[starts]) * inverse[starts]))
         firsts = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
         owners.append(numbers[np.searchsorted(firsts, starts, side="right") - 1])
-        if shapes:
+        if stem:
+            cut = np.minimum(starts + stem, ends)
+            forms.append(mixed((sums[cut] - sums[starts]) * inverse[starts] + np.uint64(stem)))
+        elif shapes:
             kinds = TABLES["shapes"][raw]
             kept = np.ones(len(raw), bool)
             kept[1:] = kinds[1:] != kinds[:-1]
@@ -146,10 +157,11 @@ def word_hashes(
     return (
         np.concatenate(hashes) if hashes else empty,
         np.concatenate(owners) if owners else np.zeros(0, np.int64),
-        (np.concatenate(forms) if forms else empty) if shapes else None,
+        (np.concatenate(forms) if forms else empty) if shapes or stem else None,
     )
 
 
 def paired(first: np.ndarray, second: np.ndarray, salt: int) -> np.ndarray:
     """Hash of an ordered pair of hashes."""
-    return mixed(first * np.uint64(0xD6E8FEB86659FD93) + second + np.uint64(salt * 2 + 1) * np.uint64(_BASE))
+    shift = np.uint64((salt * 2 + 1) * _BASE % (1 << 64))
+    return mixed(first * np.uint64(0xD6E8FEB86659FD93) + second + shift)
