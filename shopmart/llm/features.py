@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shopmart.llm import by_value
 from shopmart.llm.storage import store
-from shopmart.llm.words import paired, word_hashes
+from shopmart.llm.words import paired, sorted_unique, word_hashes
 
 by_value(__name__)
 
@@ -71,7 +71,7 @@ def indicators(texts: Sequence[str], grams: Callable, bits: int = BITS) -> Itera
             (owners.astype(np.int64) << bits) | (hashes >> np.uint64(64 - bits)).astype(np.int64)
             for hashes, owners in grams(group)
         ]
-        unique = np.unique(np.concatenate(keys))
+        unique = sorted_unique(np.concatenate(keys))
         owners, numbers = unique >> bits, unique & ((1 << bits) - 1)
         yield first, np.searchsorted(owners, np.arange(len(group) + 1)), numbers.astype(np.int32)
 
