@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shopmart.llm import exact_dedup, mixing, packing, pii, quality_model, quality_rules, toxicity
+from shopmart.llm import exact_dedup, lsh_forest, mixing, packing, pii, quality_model, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +77,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op3_exact_dedup": op3_exact_dedup,
@@ -85,4 +90,5 @@ QUERIES: dict[str, Query] = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_model": op6_quality_model,
     "op10_toxicity": op10_toxicity,
+    "op8_lsh_forest": op8_lsh_forest,
 }
