@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shopmart.llm import exact_dedup, lsh_forest, mixing, packing, pii, quality_model, quality_rules, toxicity
+from shopmart.llm import exact_dedup, lsh_forest, mixing, packing, pii, quality_model, quality_rules, toxicity, wrapper
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,6 +82,13 @@ def op8_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrapper.main_texts(table(spark, sf_dir, "pages"))
+    return found.select(
+        F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op3_exact_dedup": op3_exact_dedup,
@@ -91,4 +98,5 @@ QUERIES: dict[str, Query] = {
     "op6_quality_model": op6_quality_model,
     "op10_toxicity": op10_toxicity,
     "op8_lsh_forest": op8_lsh_forest,
+    "op7_main_text": op7_main_text,
 }
