@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shopmart.llm import exact_dedup, lsh_forest, mixing, packing, pii, quality_model, quality_rules, toxicity, wrapper
+from shopmart.llm import exact_dedup, licenses, lsh_forest, mixing, packing, pii, quality_model, quality_rules, toxicity, wrapper
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +89,11 @@ def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "families", "spans", "n_rejected")
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op3_exact_dedup": op3_exact_dedup,
@@ -99,4 +104,5 @@ QUERIES: dict[str, Query] = {
     "op10_toxicity": op10_toxicity,
     "op8_lsh_forest": op8_lsh_forest,
     "op7_main_text": op7_main_text,
+    "op9_license_scan": op9_license_scan,
 }
