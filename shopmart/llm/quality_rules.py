@@ -239,5 +239,7 @@ def assess(
 
 def good_documents(documents: DataFrame, **options) -> DataFrame:
     """The documents that are kept, with their columns."""
-    kept = assess(documents, **options).filter("kept")
+    judged = assess(documents, **options)
+    # A filter would be pushed below the measures and compute them once per use; it cannot pass a generator.
+    kept = judged.select(F.explode(F.array(F.struct("row", "kept"))).alias("one")).filter("one.kept").select("one.row")
     return kept.select(*[F.col("row").getField(name).alias(name) for name in documents.columns])
