@@ -16,7 +16,7 @@ nearly every group together; then all candidates that still lead from one compon
 
 Defined cases: null, empty and blank texts have no shingles and link with nothing; a text with fewer
 words than a shingle has its whole sequence as one shingle; rows that repeat an id count as one
-document; a null id can link but never names a component; an empty table gives no rows.
+document; a row without an id belongs only with documents of the same shingle set; an empty table gives no rows.
 """
 
 from __future__ import annotations
