@@ -21,7 +21,7 @@ def batch_prompts(batches: DataFrame, codes: Sequence[str] = CATEGORY_CODES) ->
 def ask(prompts: DataFrame, answer: Callable[[str], str], parallel: int | None = None) -> DataFrame:
     """Replies of a user-supplied model, called once per batch on the executors.
 
-    ``parallel`` sets how many calls may run at a time; batches are small, so without it
+    ``parallel`` sets over how many tasks the calls are spread; batches are small, so without it
     adaptive execution may merge them into few tasks. A lost task calls the model again:
     store the replies before using them twice.
     """
@@ -43,10 +43,12 @@ def extract_blocks(replies: DataFrame, reply: str = "reply", strict: bool = Fals
     )
 
 
-def parse_replies(replies: DataFrame, reply: str = "reply", strict: bool = False) -> DataFrame:
-    """(brand, category_index) rows out of replies; the statement text is read, never run."""
-    pairs = extract_blocks(replies, reply, strict).select(F.explode(value_pairs(F.col("sql_text"))).alias("pair"))
+def parse_replies(replies: DataFrame, reply: str = "reply", strict: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """(brand, category_index) rows out of replies, after the columns to keep; the statement is read, never run."""
+    blocks = extract_blocks(replies, reply, strict)
+    pairs = blocks.select(*keep, F.explode(value_pairs(F.col("sql_text"))).alias("pair"))
     return pairs.select(
+        *keep,
         pair_member(F.col("pair"), 1).alias("brand"), pair_member(F.col("pair"), 2).alias("category_index")
     )
 
@@ -72,6 +74,13 @@ def valid_mapping(mapping: DataFrame, codes: Sequence[str] = CATEGORY_CODES) ->
     return mapping.filter(F.col("category_index").isin(list(codes)))
 
 
+def asked_pairs(replies: DataFrame, batches: DataFrame) -> DataFrame:
+    """Pairs of the replies for brands that their own batch asked for, each once."""
+    found = parse_replies(replies, keep=["batch_id"])
+    asked = batches.select("batch_id", "brand")
+    return found.join(asked, ["batch_id", "brand"], "left_semi").select("brand", "category_index").distinct()
+
+
 def mapping_counts(mapping: DataFrame, codes: Sequence[str] = CATEGORY_CODES) -> DataFrame:
     """Accepted and rejected pairs."""
     allowed = F.coalesce(F.col("category_index").isin(list(codes)), F.lit(False))

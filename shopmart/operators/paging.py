@@ -7,9 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from shopmart.schemas import BATCH_SIZE
 from shopmart.session import scratch_path
 
-# Up to this many leading rows a page is taken from a top-k; a deeper page from the ranks.
-TOP_K_ROWS = 10_000
-
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
@@ -49,12 +46,6 @@ def number_batches(keys: DataFrame, key: str, size: int = BATCH_SIZE) -> DataFra
 
 
 def page(keys: DataFrame, key: str, limit: int = BATCH_SIZE, offset: int = 0) -> DataFrame:
-    """``limit`` keys after the first ``offset``, in ascending order.
-
-    A top-k carries offset + limit rows through the driver, so a deep page is cut out of the
-    distributed ranks instead.
-    """
-    if offset + limit <= TOP_K_ROWS:
-        return keys.orderBy(key).offset(offset).limit(limit)
+    """``limit`` keys after the first ``offset``, in ascending order, cut out of the distributed ranks."""
     ranked = key_ranks(keys, key)
     return ranked.filter(F.col("position").between(offset, offset + limit - 1)).select(*keys.columns).orderBy(key)

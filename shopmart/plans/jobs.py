@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, fields
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from shopmart.operators import curation, dimensions, mapping as mappings
@@ -26,8 +27,9 @@ from shopmart.schemas import (
     MAPPING_SCHEMA,
     STORED_EVENT_SCHEMA,
 )
+from shopmart.session import scratch_path
 from shopmart.sources.event_files import read_raw_events, spread, typed_events
-from shopmart.sources.registry import Dataset, lookup
+from shopmart.sources.registry import Dataset, check_names, lookup
 from shopmart.sources.tables import DETAIL, MART, STAGING, Tables
 
 log = logging.getLogger(__name__)
@@ -39,6 +41,8 @@ UNIQUE = {"brand": "unique_brands", "category_code": "unique_categories"}
 MAPPING = "brand_category_mapping"
 FINAL_MAPPING = "brand_category_mapping_final"
 REPLIES = "brand_mapping_replies"
+REJECTS = "brand_mapping_rejects"
+MODEL_TASKS = 256
 LEDGER = "finished_steps"
 MARTS = ("conversion_rates_holidays", "categories_conversion_rates", "black_friday_sales")
 
@@ -48,6 +52,17 @@ class LoadMetrics:
     rows: int = 0
     deleted_null_brand: int = 0
     deleted_null_category: int = 0
+    seconds: float = field(default=0.0, compare=False)
+
+
+@dataclass(frozen=True)
+class MappingReport:
+    """What became of the brands that were to be mapped."""
+
+    brands: int = 0
+    accepted_pairs: int = 0
+    rejected_pairs: int = 0
+    unmapped_brands: int = 0
 
 
 def store_events(
@@ -67,8 +82,9 @@ def load_datasets(
     """Read the files of some datasets and replace their partitions in ``events``.
 
     Reading, counting, cleaning and writing are one pass over all files at once, so that
-    unsplittable files are read side by side; the counters ride along with the write. A
-    dataset without rows stores nothing. With ``clean`` off all rows go to ``events_raw``,
+    unsplittable files are read side by side; the counters ride along with the write, whose
+    seconds are those of all datasets of the call. A dataset without rows leaves its partition
+    empty, alone or among others. With ``clean`` off all rows go to ``events_raw``,
     from where ``clean_dataset`` takes them.
     """
     started = time.monotonic()
@@ -79,9 +95,9 @@ def load_datasets(
             for dataset in datasets
         ],
     )
-    if raw.isEmpty():
+    if raw.isEmpty() and not tables.exists(STAGING, EVENTS if clean else RAW):
         return {dataset.key: LoadMetrics() for dataset in datasets}
-    names = [field.name for field in fields(LoadMetrics)]
+    names = [field.name for field in fields(LoadMetrics) if field.name != "seconds"]
     counters = [
         F.count_if((F.col("dataset_key") == dataset.key) & condition).alias(f"{name}_{position}")
         for position, dataset in enumerate(datasets)
@@ -95,10 +111,12 @@ def load_datasets(
     else:
         store_events(tables, events, STAGING, RAW, keys)
     kept = names if clean else names[:1]
+    seconds = time.monotonic() - started
     metrics = {
-        key: LoadMetrics(**{name: seen.get[f"{name}_{position}"] for name in kept}) for position, key in enumerate(keys)
+        key: LoadMetrics(**{name: seen.get[f"{name}_{position}"] for name in kept}, seconds=seconds)
+        for position, key in enumerate(keys)
     }
-    log.info("loaded %s in %.1f s", metrics, time.monotonic() - started)
+    log.info("loaded %s in %.1f s", metrics, seconds)
     return metrics
 
 
@@ -158,28 +176,46 @@ def map_brands(
     codes: Sequence[str] = CATEGORY_CODES,
     size: int = BATCH_SIZE,
     parallel: int | None = None,
-) -> None:
+) -> MappingReport:
     """Map the unique brands that are not mapped yet, by a model's replies or a dictionary.
 
-    A reply without a statement is an error, raised after the other replies are stored; its
-    brands are asked for again by the next run.
+    Of a reply only the pairs of brands in its own batch count, each once. Pairs with a code that is not
+    allowed go to ``brand_mapping_rejects``; a brand without an accepted pair stays unmapped and is
+    asked for again by the next run, and the report says how many there are. A reply without a
+    statement is an error, raised after the other replies are stored. ``parallel`` bounds how many
+    calls run at a time; without it there is a task per batch, up to ``MODEL_TASKS``.
     """
     tables.create_if_absent(DETAIL, MAPPING, MAPPING_SCHEMA)
     known, failed = tables.read(DETAIL, MAPPING), 0
     brands = dimensions.new_keys(tables.read(DETAIL, UNIQUE["brand"]), known, "brand")
     if answer is not None:
-        prompts = mappings.batch_prompts(number_batches(brands, "brand", size), codes)
-        tables.replace(mappings.ask(prompts, answer, parallel), DETAIL, REPLIES)
+        batches = number_batches(brands, "brand", size)
+        asked = batches.count()
+        tasks = parallel or max(1, min(MODEL_TASKS, -(-asked // size)))
+        tables.replace(mappings.ask(mappings.batch_prompts(batches, codes), answer, tasks), DETAIL, REPLIES)
         replies = tables.read(DETAIL, REPLIES)
         failed = mappings.extract_blocks(replies).filter(~F.col("parse_ok")).count()
-        found = mappings.parse_replies(replies)
+        found = mappings.asked_pairs(replies, batches)
     elif dictionary is not None:
+        asked = brands.count()
         found = mappings.classify_brands(brands, dictionary, codes)
     else:
         raise ValueError("give a dictionary or a function that answers prompts")
-    tables.append(mappings.valid_mapping(found, codes), DETAIL, MAPPING)
+    # What is found depends on which brands are mapped, so it is fixed before the mapping changes.
+    fixed = scratch_path(tables.spark, "mapping-found")
+    found.write.parquet(fixed)
+    found = tables.spark.read.schema(MAPPING_SCHEMA).parquet(fixed)
+    accepted = mappings.valid_mapping(found, codes)
+    refused = found.filter(~F.coalesce(F.col("category_index").isin(list(codes)), F.lit(False)))
+    tables.replace(refused, DETAIL, REJECTS)
+    counts = mappings.mapping_counts(found, codes).first()
+    mapped = accepted.select("brand").distinct().count()
+    tables.append(accepted, DETAIL, MAPPING)
+    report = MappingReport(asked, counts["accepted"], counts["rejected"], asked - mapped)
+    log.info("mapped %s", report)
     if failed:
         raise ValueError(f"{failed} replies hold no sql block; their brands are not mapped")
+    return report
 
 
 def expand_mapping(tables: Tables) -> None:
@@ -258,12 +294,26 @@ def pending(tables: Tables, registry: Mapping[str, Dataset], step: str) -> list[
 
 
 def load_all(tables: Tables, registry: Mapping[str, Dataset]) -> dict[str, LoadMetrics]:
-    """Load, extract and merge every dataset that has not been loaded yet."""
+    """Load, extract and merge every dataset that has not been loaded yet.
+
+    All of them are read at once. If that fails they are loaded one by one, so that a bad file keeps
+    only its own dataset out; the error names the datasets that are still to be loaded.
+    """
+    check_names(registry)
     needed = ("dataset_url", "table_name", "brands_table_name", "categories_table_name")
     datasets = [lookup(registry, key, needed) for key in pending(tables, registry, "load")]
     if not datasets:
         return {}
-    metrics = load_datasets(tables, datasets)
+    metrics, failed = {}, {}
+    try:
+        metrics = load_datasets(tables, datasets)
+    except PySparkException:
+        for dataset in datasets:
+            try:
+                metrics |= load_datasets(tables, [dataset])
+            except PySparkException as error:
+                failed[dataset.key] = error
+    datasets = [dataset for dataset in datasets if dataset.key in metrics]
     filled = [dataset for dataset in datasets if metrics[dataset.key].rows]
     for dataset in filled:
         extract_dimensions(tables, dataset)
@@ -271,6 +321,8 @@ def load_all(tables: Tables, registry: Mapping[str, Dataset]) -> dict[str, LoadM
         for column in UNIQUE:
             merge_unique(tables, filled, column)
     finish(tables, "load", [dataset.key for dataset in datasets])
+    if failed:
+        raise ValueError(f"datasets not loaded: {', '.join(sorted(failed))}") from next(iter(failed.values()))
     return metrics
 
 
@@ -282,10 +334,12 @@ def build_all(
     answer: Callable[[str], str] | None = None,
     codes: Sequence[str] = CATEGORY_CODES,
     options: MartOptions = MartOptions(),
+    size: int = BATCH_SIZE,
+    parallel: int | None = None,
 ) -> dict[str, LoadMetrics]:
     """Everything from files to marts; a rerun loads and maps only what is new."""
     metrics = load_all(tables, registry)
-    map_brands(tables, dictionary, answer, codes)
+    map_brands(tables, dictionary, answer, codes, size, parallel)
     expand_mapping(tables)
     insert_cleaned(tables)
     build_marts(tables, holidays, options)

@@ -54,15 +54,20 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], multi_line: bool =
     return _csv_options(spark.read, multi_line).csv(paths)
 
 
+# Endings of files that one task must read as a whole.
+UNSPLITTABLE = (".gz", ".gzip", ".zst", ".deflate", ".lz4", ".snappy")
+
+
 def spread(frame: DataFrame) -> DataFrame:
-    """Even out a scan that has fewer partitions than there are task slots.
+    """Even out a scan of files that cannot be split.
 
-    A gzip file is read by one task however large it is. The rebalance hint lets adaptive
-    execution cut the output of a few such tasks into partitions of the advisory size; with
-    files enough to keep every slot busy nothing is shuffled.
+    Such a file is read by one task however large it is. The rebalance hint lets adaptive
+    execution cut the output into partitions of the advisory size. Plain files are not shuffled;
+    a frame that does not tell its files, as a streamed batch, is.
     """
-    slots = frame.sparkSession.sparkContext.defaultParallelism
-    return frame if frame.rdd.getNumPartitions() >= slots else frame.hint("rebalance")
+    files = frame.inputFiles()
+    splittable = files and not any(name.lower().endswith(UNSPLITTABLE) for name in files)
+    return frame if splittable else frame.hint("rebalance")
 
 
 def typed_events(

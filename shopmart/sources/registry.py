@@ -15,6 +15,7 @@ FIELDS = DATASET_SCHEMA.fieldNames()
 # First month and number of months in the default registry.
 FIRST_MONTH = (2019, 10)
 MONTHS = 7
+TABLE_KINDS = ("eCommerce", "brands", "categories")
 MONTH_NAMES = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 
@@ -28,7 +29,10 @@ class Dataset:
 
 
 def monthly_registry(landing: str, first: tuple[int, int] = FIRST_MONTH, months: int = MONTHS) -> dict[str, Dataset]:
-    """One dataset per month, keyed "1", "2", ...; files lie below ``landing``."""
+    """One dataset per month, keyed "1", "2", ...; files lie below ``landing``.
+
+    From the thirteenth month on table names carry the year, or they would be those of an earlier month.
+    """
     registry = {}
     for number in range(months):
         year, month = divmod(first[0] * 12 + first[1] - 1 + number, 12)
@@ -36,17 +40,28 @@ def monthly_registry(landing: str, first: tuple[int, int] = FIRST_MONTH, months:
         registry[str(number + 1)] = Dataset(
             str(number + 1),
             f"{landing.rstrip('/')}/{year}-{name}.csv.gz",
-            f"eCommerce_{name}",
-            f"brands_{name}",
-            f"categories_{name}",
+            *[f"{kind}_{name}" if number < 12 else f"{kind}_{name}_{year}" for kind in TABLE_KINDS],
         )
     return registry
 
 
+def check_names(registry: Mapping[str, Dataset]) -> None:
+    """Two datasets that share a table would overwrite each other's rows, so that is an error."""
+    for kinds in (("table_name",), ("brands_table_name", "categories_table_name")):
+        owners: dict[str, str] = {}
+        for key, dataset in registry.items():
+            for name in filter(None, (getattr(dataset, kind) for kind in kinds)):
+                if name.lower() in owners:
+                    raise ValueError(f"datasets {owners[name.lower()]!r} and {key!r} share the table {name!r}")
+                owners[name.lower()] = key
+
+
 def parse_registry(text: str) -> dict[str, Dataset]:
     """Registry from its JSON text."""
     entries = json.loads(text)
-    return {key: Dataset(key, *(entry.get(name) for name in FIELDS)) for key, entry in entries.items()}
+    registry = {key: Dataset(key, *(entry.get(name) for name in FIELDS)) for key, entry in entries.items()}
+    check_names(registry)
+    return registry
 
 
 def lookup(registry: Mapping[str, Dataset], key: str, needed: tuple[str, ...] = ("dataset_url", "table_name")) -> Dataset:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -51,8 +52,19 @@ class Tables:
         frame.write.mode("errorifexists").parquet(self.path(layer, name))
 
     def replace(self, frame: DataFrame, layer: str, name: str) -> None:
-        """Write the table anew. ``frame`` must not read the table it replaces."""
-        frame.write.mode("overwrite").parquet(self.path(layer, name))
+        """Write the table anew beside the old one and then put it in its place.
+
+        A write that fails leaves the old table as it was, and ``frame`` may read the table it replaces.
+        """
+        jvm, target = self.spark._jvm, self.path(layer, name)
+        beside = f"{target}__new_{uuid.uuid4().hex}"
+        frame.write.parquet(beside)
+        old, new = jvm.org.apache.hadoop.fs.Path(target), jvm.org.apache.hadoop.fs.Path(beside)
+        files = new.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        files.delete(old, True)
+        if not files.rename(new, old):
+            raise OSError(f"{beside} could not be renamed to {target}")
+        self.spark.catalog.refreshByPath(target)
 
     def append(self, frame: DataFrame, layer: str, name: str) -> None:
         frame.write.mode("append").parquet(self.path(layer, name))

@@ -119,9 +119,7 @@ def test_empty_key_set(spark):
     assert paging.number_batches(spark.createDataFrame([], "brand string"), "brand").isEmpty()
 
 
-@pytest.mark.parametrize("top_k", [10_000, 0])
-def test_pages(spark, monkeypatch, top_k):
-    monkeypatch.setattr(paging, "TOP_K_ROWS", top_k)
+def test_pages(spark):
     keys = shuffled_keys(spark, 60)
     assert [row.brand for row in paging.page(keys, "brand", 25, 50).collect()] == [f"b{n:05d}" for n in range(50, 60)]
     assert paging.page(keys, "brand", 25, 75).isEmpty()

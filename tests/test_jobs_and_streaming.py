@@ -1,5 +1,6 @@
 import datetime
 import gzip
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from shopmart.plans import jobs
 from shopmart.schemas import EVENT_COLUMNS, HOLIDAY_SCHEMA, STORED_EVENT_SCHEMA
 from shopmart.session import scratch_path, scratch_root
-from shopmart.sources.registry import Dataset
+from shopmart.sources.registry import Dataset, monthly_registry
 from shopmart.sources.tables import DETAIL, MART, Tables
 from shopmart.streaming.incremental import incremental_load
 
@@ -196,6 +197,43 @@ def test_bad_reply_keeps_the_good_ones(store):
     assert tables.read(DETAIL, "brand_category_mapping").count() == 2
 
 
+def test_only_answers_for_asked_brands_are_stored(store, rows):
+    tables, registry = store
+    jobs.load_all(tables, registry)
+    reply = "```sql\nVALUES ('acme', 'kids'), ('acme', 'kids'), ('stranger', 'kids'), ('o''neil', 'cars');```"
+    report = jobs.map_brands(tables, answer=lambda prompt: reply, size=1)
+    assert rows(tables.read(DETAIL, "brand_category_mapping")) == [("acme", "kids")]
+    assert rows(tables.read(DETAIL, "brand_mapping_rejects")) == [("o'neil", "cars")]
+    assert report == jobs.MappingReport(brands=2, accepted_pairs=1, rejected_pairs=1, unmapped_brands=1)
+
+
+def test_thirteen_months_keep_every_brand(spark, tmp_path):
+    registry = monthly_registry(str(tmp_path), months=13)
+    for number, dataset in enumerate(registry.values()):
+        row = ("2019-10-01 08:00:00", "cart", 1, "auto.tyre", f"brand{number}", "s")
+        write_events(Path(dataset.dataset_url), [row, row])
+    tables = Tables(spark, str(tmp_path / "warehouse"))
+    jobs.load_all(tables, registry)
+    assert tables.read(DETAIL, "unique_brands").count() == 13
+    assert jobs.staging_events(tables).count() == 26
+
+
+def test_a_bad_file_keeps_only_its_own_dataset_out(store, tmp_path):
+    tables, registry = store
+    write_events(tmp_path / "oct.csv.gz", [("no time", "cart", 1, "auto.tyre", "acme", "s1")])
+    with pytest.raises(ValueError, match="not loaded: 1"):
+        jobs.load_all(tables, registry)
+    assert {row.dataset_key for row in jobs.staging_events(tables).collect()} == {"2"}
+    assert jobs.finished(tables, "load") == {"2"}
+
+
+def test_datasets_that_share_a_table_are_refused(store):
+    tables, registry = store
+    shared = {key: Dataset(key, one.dataset_url, f"e{key}", "brands", f"c{key}") for key, one in registry.items()}
+    with pytest.raises(ValueError, match="share the table 'brands'"):
+        jobs.load_all(tables, shared)
+
+
 def test_unregistered_fields_stop_the_load(store):
     tables, registry = store
     broken = {"1": Dataset("1", registry["1"].dataset_url, "t", "", "c")}

@@ -161,6 +161,14 @@ def test_registry():
     assert lookup(partial, "1", ("table_name",)).table_name == "t"
 
 
+def test_registry_names_are_unique():
+    months = monthly_registry("/landing", months=30)
+    for kind in ("table_name", "brands_table_name", "categories_table_name"):
+        assert len({getattr(dataset, kind) for dataset in months.values()}) == 30
+    with pytest.raises(ValueError, match="share the table"):
+        parse_registry('{"1": {"dataset_url": "a", "table_name": "t"}, "2": {"dataset_url": "b", "table_name": "T"}}')
+
+
 def test_registry_rows(spark):
     text = '{"1": {"dataset_url": "u", "table_name": "t"}, "2": {"dataset_url": "u", "table_name": ""}}'
     found = registry_rows(spark.createDataFrame([(text,)], "text string"), F.col("text")).orderBy("key").collect()
@@ -179,6 +187,10 @@ def test_sinks(tables, rows):
     assert rows(tables.read(DETAIL, "strict")) == [("a", "a"), ("b", "b")]
     tables.replace(two, DETAIL, "kept")
     assert rows(tables.read(DETAIL, "kept")) == [("b", "b")]
+    broken = two.withColumn("v", F.raise_error(F.col("v")).cast("string"))
+    with pytest.raises(Exception, match="b"):
+        tables.replace(broken, DETAIL, "kept")
+    assert rows(tables.read(DETAIL, "kept")) == [("b", "b")]
     for gather in (False, True, True):
         tables.replace_partitions(one.union(two), DETAIL, "parts", "k", gather=gather)
     changed = one.withColumn("v", F.lit("new"))
@@ -226,6 +238,15 @@ def test_header_only_file_stores_nothing(spark, tmp_path, tables):
     assert not tables.exists(STAGING, jobs.EVENTS)
 
 
+@pytest.mark.parametrize("together", [False, True])
+def test_reload_of_a_file_without_rows_empties_the_dataset(spark, tmp_path, tables, together):
+    sources = [dataset(plain_file(tmp_path / f"{key}.csv"), key) for key in ("1", "2")]
+    jobs.load_datasets(tables, sources)
+    plain_file(tmp_path / "1.csv", [])
+    jobs.load_datasets(tables, sources if together else sources[:1])
+    assert {row.dataset_key for row in jobs.staging_events(tables).collect()} == {"2"}
+
+
 def test_raw_cells_stay_text(spark, tmp_path):
     raw = read_raw_events(spark, plain_file(tmp_path / "events.csv"))
     assert {field.dataType.simpleString() for field in raw.schema} == {"string"}
