@@ -14,7 +14,8 @@ want the same place. Rounds go on until no run is left. What they give are rules
 which Spark applies to the ranked pieces. A gap that takes part in a round shrinks below half
 its size, so a sequence is touched at most 11 times and there are at most some ten thousand rules.
 
-Defined cases: null and empty text is the end token alone; a text longer than a sequence is cut
+Defined cases: null and empty text is the end token alone; the name of the added token inside a text is
+that token, as for ``tokenizers``; a text longer than a sequence is cut
 from its end into full pieces, and its first piece holds the rest; rows that repeat a document are
 packed like any other; an empty table gives no rows.
 """
@@ -40,6 +41,8 @@ SEQUENCE = 2048
 END = 0
 #: How the byte-level vocabulary cuts a text before its merges; a fixed part of the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The added token of the vocabulary, which its tokenizer recognises inside a text; a fixed part of it too.
+ADDED = {"<|endoftext|>": 50256}
 _ENCODINGS: dict[int, object] = {}
 
 
@@ -50,7 +53,7 @@ def byte_encoding(ranks: bytes):
         import tiktoken
 
         merges = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in ranks.splitlines())}
-        _ENCODINGS[key] = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=merges, special_tokens={})
+        _ENCODINGS[key] = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=merges, special_tokens=ADDED)
     return _ENCODINGS[key]
 
 
@@ -68,7 +71,7 @@ def pieces(documents: DataFrame, vocabulary: str, *, identifier: str = "doc_id",
         for batch in batches:
             rows = []
             for key, content in zip(batch["id"], batch["text"], strict=True):
-                ids = np.append(encoding.encode_to_numpy(content), END).astype("<u4")
+                ids = np.append(encoding.encode_to_numpy(content, allowed_special="all"), END).astype("<u4")
                 first = len(ids) % SEQUENCE or SEQUENCE
                 edges = [0, *range(first, len(ids) + 1, SEQUENCE)]
                 for number, (start, stop) in enumerate(zip(edges, edges[1:], strict=False)):

@@ -162,7 +162,6 @@ def test_packing(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     found = QUERIES["op5_best_fit_packing"](spark, SMALL).toPandas()
     expected = {}
     for doc_id, text in rows_of("documents"):
@@ -177,6 +176,24 @@ def test_packing(spark):
     assert by.ngroups <= 1.02 * found.length.sum() / 2048 + 1
 
 
+def test_ids_of_odd_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from shopmart.llm.packing import byte_encoding
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        encoding = byte_encoding(file.read())
+    draw = np.random.default_rng(5)
+    parts = ["<|endoftext|>", "<|", "|>", "'ll", "'", " ", "  ", "\n", "\x0b", "\x1c", "\x85", "\xa0", "\u200d", "\ufeff"]
+    parts += ["a", "Zb", "12", "\u0663", "\xe9", "\u6f22", "\U0001f600", "\u0301", "\U0001e900", "."]
+    for _ in range(3000):
+        text = "".join(draw.choice(parts, draw.integers(0, 12)))
+        ids = encoding.encode_to_numpy(text, allowed_special="all").tolist()
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_best_fit_rules_equal_one_by_one():
     """Runs give as few sequences as best fit of single documents, longest first."""
     from shopmart.llm.packing import best_fit_rules
