@@ -8,7 +8,11 @@ prefix, all of them are paired; a denser region is paired at the next depth, and
 their neighbour in the order. Neighbours across the edge of a range meet in a second pass over the edges.
 
 With 24 trees a pair at similarity 0.8 shares four values in some tree with a chance of all but 3 in a million.
-Crowds are bound together by chains in 24 orders instead of by all their pairs.
+A crowd that shares a whole key is not paired with itself. Besides its neighbours, each member is a
+candidate with the crowd's hub, the member that shares its regions with the most others, which finds crowds
+of variants that are alike with their original only. When these candidates are confirmed, the members
+that are still apart from the largest component of their crowd are compared with all its members, in blocks
+and by signature, so that a link to any single member is found as well.
 
 Documents with the same shingle set are one node (the smallest id). Every link is confirmed on the
 full sets of 64-bit shingle hashes. First each node's best few candidates are confirmed, which ties
@@ -29,7 +33,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shopmart.llm import by_value
 from shopmart.llm.components import components
-from shopmart.llm.storage import store
+from shopmart.llm.storage import discard, store
 from shopmart.llm.words import mixed, paired, sorted_unique, word_hashes
 
 by_value(__name__)
@@ -42,6 +46,10 @@ FIRST = 3
 #: Up to so many ids (their number is measured) are broadcast to pick texts; beyond, the texts are shuffled.
 BROADCAST_IDS = 500_000
 _GROUP_CHARS = 400_000
+#: Members of a crowd that are compared in one block, and parts of a crowd where regions are joined by shuffle.
+BLOCK, SALTS = 512, 32
+#: A pair whose signatures agree less than this many standard deviations below the threshold is not confirmed.
+DEVIATIONS = 6
 
 
 def _shingles(texts: list[str], width: int) -> list[np.ndarray]:
@@ -167,12 +175,101 @@ def _neighbours(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.concat(found) if found else pd.DataFrame({"a": [], "b": [], "score": []})
 
 
-_OUT = "pair boolean, a long, b long, score int, tree int, k1 long, k2 long, k3 long, id long, n long"
+def _crowd_rows(rows: pd.DataFrame) -> pd.DataFrame:
+    """Region, id and size of the sorted rows that share their whole key with a crowd, or may do so across the edge."""
+    tree, k1, k2, k3 = (rows[c].to_numpy(np.int64).view(np.uint64) for c in _TREE_COLUMNS[:4])
+    region = paired(paired(k1 + mixed(tree), k2, 201), k3, 202).view(np.int64)
+    same = np.zeros(len(rows), bool)
+    same[1:] = region[1:] == region[:-1]
+    kept = _region_sizes(same) > REACH + 1
+    kept[: REACH + 1] = kept[-REACH - 1 :] = True
+    return pd.DataFrame({"k1": region, "id": rows["id"], "n": rows["n"]})[kept]
+
+
+PAIR, EDGE, CROWD = 0, 1, 2
+_OUT = "kind int, a long, b long, score int, tree int, k1 long, k2 long, k3 long, id long, n long"
 _NAMES = [field.split()[0] for field in _OUT.split(", ")]
 
 
-def candidates(nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a < b) of nodes (id, n, sig) that stand next to each other in some tree, with a score."""
+def _of_region(members: DataFrame, regions: DataFrame) -> DataFrame:
+    """Members of crowds with the row of their region; a crowd of any size stays spread."""
+    if regions.count() <= BROADCAST_IDS:
+        return members.join(F.broadcast(regions), "region")
+    dealt = regions.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    return salted.join(dealt, ["region", "salt"]).drop("salt")
+
+
+def _similar_size(left: str, right: str, percent: int) -> Column:
+    return 100 * F.least(left, right) >= percent * F.greatest(left, right)
+
+
+def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Every member of a crowd with the member whose regions hold the most others."""
+    degrees = members.groupBy("id").agg(F.sum("size").alias("degree"))
+    hubs = members.join(degrees, "id").groupBy("region").agg(F.max(F.struct("degree", "id", "n")).alias("hub"))
+    hubs = store(hubs.select("region", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n")), "crowd-hubs")
+    met = _of_region(members, hubs).filter(_similar_size("n", "hub_n", percent) & (F.col("id") != F.col("hub")))
+    return met.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"), F.lit(1).alias("score"))
+
+
+def stray_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components in a crowd whose signatures agree, one end outside the crowd's largest component.
+
+    Strays and members are dealt into blocks of about ``BLOCK`` rows, and each pair of blocks is one group.
+    """
+    named = members.join(labels.select(F.col("node").alias("id"), "component"), "id", "left").withColumn(
+        "component", F.coalesce("component", "id")
+    )
+    largest = (
+        named.groupBy("region", "component")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("region")
+        .agg(F.max(F.struct("rows", "component")).alias("main"), F.sum("rows").alias("rows"))
+        .filter("rows > main.rows")
+        .select(
+            "region",
+            F.col("main.component").alias("main"),
+            F.ceil(F.col("rows") / BLOCK).cast("int").alias("member_blocks"),
+            F.ceil((F.col("rows") - F.col("main.rows")) / BLOCK).cast("int").alias("stray_blocks"),
+        )
+    )
+    largest = store(largest, "open-crowds")
+    values = TREES * DEPTH
+    least = values * percent / 100 - DEVIATIONS * (values * percent * (100 - percent)) ** 0.5 / 100
+
+    def alike(strays: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        if not len(strays) or not len(others):
+            return pd.DataFrame({"a": [], "b": []})
+        signs = np.frombuffer(b"".join(others["sig"]), np.uint32).reshape(len(others), values)
+        ids, sizes, component = (others[c].to_numpy(np.int64) for c in ("id", "n", "component"))
+        found = []
+        for own, n, within, sig in strays[["id", "n", "component", "sig"]].itertuples(index=False):
+            near = (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)) & (component != within)
+            at = np.flatnonzero(near)
+            agree = (signs[at] == np.frombuffer(sig, np.uint32)).sum(axis=1)
+            other = ids[at[agree >= least]]
+            found.append(pd.DataFrame({"a": np.minimum(other, own), "b": np.maximum(other, own)}))
+        return pd.concat(found)
+
+    opened = _of_region(named, largest).join(nodes.select("id", "sig"), "id")
+    opened = store(opened.select("region", "id", "n", "component", "sig", "main", "member_blocks", "stray_blocks"), "open-members")
+
+    def dealt(rows: DataFrame, own: str, other: str, seed: int) -> DataFrame:
+        every = F.explode(F.expr(f"sequence(0, {other}_blocks - 1)"))
+        block = F.pmod(F.xxhash64("id", F.lit(seed)), F.col(f"{own}_blocks")).cast("int")
+        return rows.select("region", block.alias(own), every.alias(other), "id", "n", "component", "sig")
+
+    key = ["region", "stray", "member"]
+    strays = dealt(opened.filter("component <> main"), "stray", "member", 1).groupBy(*key)
+    return strays.cogroup(dealt(opened, "member", "stray", 2).groupBy(*key)).applyInPandas(alike, "a long, b long").distinct()
+
+
+def candidates(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a < b) of nodes (id, n, sig) that stand next to each other in some tree, with a score; and the crowds.
+
+    A crowd is more than ``REACH + 1`` nodes with one whole key: columns region, id, n and size.
+    """
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = [batch for batch in batches if len(batch)]
@@ -180,9 +277,11 @@ def candidates(nodes: DataFrame, percent: int) -> DataFrame:
             return
         rows = pd.concat(parts, ignore_index=True)
         pairs = _neighbours(rows, percent).groupby(["a", "b"], as_index=False, sort=False)["score"].sum()
-        yield pairs.assign(pair=True, tree=None, k1=None, k2=None, k3=None, id=None, n=None)[_NAMES]
+        yield pairs.assign(kind=PAIR, tree=None, k1=None, k2=None, k3=None, id=None, n=None)[_NAMES]
         edge = rows if len(rows) <= 2 * REACH else pd.concat([rows.head(REACH), rows.tail(REACH)])
-        yield edge.assign(pair=False, a=None, b=None, score=None)[_NAMES]
+        yield edge.assign(kind=EDGE, a=None, b=None, score=None)[_NAMES]
+        crowd = _crowd_rows(rows)
+        yield crowd.assign(kind=CROWD, a=None, b=None, score=None, tree=None, k2=None, k3=None)[_NAMES]
 
     def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = [batch for batch in batches if len(batch)]
@@ -194,11 +293,18 @@ def candidates(nodes: DataFrame, percent: int) -> DataFrame:
     order = ["tree", "k1", "k2", "k3", "id"]
     found = store(trees.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(search, _OUT), "forest")
     # At most 2 * REACH rows of each range: one task reads them.
-    edges = found.filter("NOT pair").select(*_TREE_COLUMNS).repartition(1)
-    pairs = found.filter("pair").select("a", "b", "score").unionAll(
+    edges = found.filter(f"kind = {EDGE}").select(*_TREE_COLUMNS).repartition(1)
+    pairs = found.filter(f"kind = {PAIR}").select("a", "b", "score").unionAll(
         edges.mapInPandas(across, "a long, b long, score int")
     )
-    return pairs.groupBy("a", "b").agg(F.sum("score").alias("score"))
+    crowds = found.filter(f"kind = {CROWD}").select(F.col("k1").alias("region"), "id", "n")
+    sizes = store(crowds.groupBy("region").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > REACH + 1), "crowd-sizes")
+    members = store(_of_region(crowds, sizes), "crowds")
+    pairs = store(
+        pairs.unionAll(_hub_pairs(members, percent)).groupBy("a", "b").agg(F.sum("score").alias("score")), "candidates"
+    )
+    discard(found, sizes)
+    return pairs, members
 
 
 def _best_of_each(pairs: DataFrame) -> DataFrame:
@@ -247,6 +353,27 @@ def _full_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return store(sets.groupBy("id").agg(F.max("grams").alias("grams")), "full-sets")
 
 
+def _bridged(pairs: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The labels after the pairs that lead from one component to another have been confirmed and followed."""
+    of = {end: labels.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}")) for end in ("a", "b")}
+
+    def named(links: DataFrame) -> DataFrame:
+        known = links.join(of["a"], "a", "left").join(of["b"], "b", "left")
+        return known.withColumn("of_a", F.coalesce("of_a", "a")).withColumn("of_b", F.coalesce("of_b", "b"))
+
+    crossing = named(pairs).filter("of_a <> of_b")
+    bridges = store(
+        named(_confirmed(crossing, sets, percent)).select(F.col("of_a").alias("a"), F.col("of_b").alias("b")), "bridges"
+    )
+    if bridges.isEmpty():
+        return labels
+    joined = components(bridges).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    ends = bridges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    alone = ends.join(labels.select("node"), "node", "left_anti").select("node", F.col("node").alias("component"))
+    whole = labels.unionAll(alone).join(joined, "component", "left")
+    return store(whole.select("node", F.coalesce("whole", "component").alias("component")), "labels")
+
+
 def near_duplicates(
     documents: DataFrame,
     *,
@@ -263,37 +390,19 @@ def near_duplicates(
     same_set = ["n", "ha", "hb"]
     filled = sketched.filter("n > 0")
     nodes = filled.groupBy(*same_set).agg(F.min("id").alias("id"), F.max("sig").alias("sig")).filter("id IS NOT NULL")
-    pairs = store(candidates(nodes, percent), "candidates")
+    pairs, members = candidates(nodes, percent)
     wanted = store(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidate-ids")
     sets = _full_sets(texts, wanted, width)
 
-    first = _best_of_each(pairs)
-    labels = components(_confirmed(first, sets, percent))
-    of = {end: labels.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}")) for end in ("a", "b")}
-    crossing = (
-        pairs.select("a", "b")
-        .join(of["a"], "a", "left")
-        .join(of["b"], "b", "left")
-        .withColumn("of_a", F.coalesce("of_a", "a"))
-        .withColumn("of_b", F.coalesce("of_b", "b"))
-        .filter("of_a <> of_b")
-    )
-    bridges = store(
-        _confirmed(crossing, sets, percent)
-        .join(of["a"], "a", "left")
-        .join(of["b"], "b", "left")
-        .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")),
-        "bridges",
-    )
-    if not bridges.isEmpty():
-        joined = components(bridges).select(F.col("node").alias("component"), F.col("component").alias("whole"))
-        ends = bridges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        alone = ends.join(labels.select("node"), "node", "left_anti").select("node", F.col("node").alias("component"))
-        labels = (
-            labels.unionAll(alone)
-            .join(joined, "component", "left")
-            .select("node", F.coalesce("whole", "component").alias("component"))
-        )
+    labels = components(_confirmed(_best_of_each(pairs), sets, percent))
+    labels = _bridged(pairs.select("a", "b"), labels, sets, percent)
+    if not members.isEmpty():
+        strays = store(stray_pairs(members, labels, nodes, percent), "stray-pairs")
+        if not strays.isEmpty():
+            ends = strays.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+            more = _full_sets(texts, store(ends.join(wanted, "id", "left_anti"), "stray-ids"), width)
+            labels = _bridged(strays, labels, sets.unionAll(more), percent)
+    discard(members, wanted, pairs)
 
     sets_of = filled.groupBy(*same_set).agg(F.min("id").alias("node")).join(labels, "node", "left")
     named = sets_of.select(*same_set, F.coalesce("component", "node").alias("component"))

@@ -307,6 +307,45 @@ def test_crowd_of_near_copies(spark):
     assert found == _components(texts, 2)[1]
 
 
+def _variants(draw, base, count, edits, mark):
+    """Near copies of a text that differ from it in ``edits`` words each."""
+    for doc in range(count):
+        words = list(base)
+        for place in draw.choice(len(base), edits, replace=False):
+            words[place] = f"{mark}{doc}p{place}"
+        yield " ".join(words)
+
+
+def test_crowd_around_one_text(spark):
+    """Variants that are linked with the common original only, not with each other."""
+    from shopmart.llm import lsh_forest
+
+    draw = np.random.default_rng(6)
+    base = [f"w{i}" for i in range(300)]
+    texts = [(key, text) for key, text in enumerate(_variants(draw, base, 500, 15, "z"), 100)]
+    texts.append((99_999, " ".join(base)))
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r["id"]: r["component"] for r in lsh_forest.near_duplicates(frame, width=2).collect()}
+    assert found == _components(texts, 2)[1]
+
+
+def test_links_to_single_members_of_a_crowd(spark):
+    """Each stray is linked with one member of a crowd, some with one stray only."""
+    from shopmart.llm import lsh_forest
+
+    draw = np.random.default_rng(7)
+    base = [f"w{i}" for i in range(300)]
+    crowd = list(_variants(draw, base, 300, 8, "z"))
+    texts = list(enumerate(crowd))
+    for number, member in enumerate(draw.choice(300, 40, replace=False)):
+        (stray,) = _variants(draw, crowd[member].split(), 1, 13, f"s{number}")
+        (further,) = _variants(draw, stray.split(), 1, 14, f"t{number}")
+        texts += [(1000 + number, stray), (2000 + number, further)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r["id"]: r["component"] for r in lsh_forest.near_duplicates(frame, width=2).collect()}
+    assert found == _components(texts, 2)[1]
+
+
 LINES = {
     "This work is licensed under the GNU General Public License, version 3.": "GPL",
     "All rights reserved.": "proprietary",
