@@ -11,8 +11,9 @@ With 24 trees a pair at similarity 0.8 shares four values in some tree with a ch
 A crowd that shares a whole key is not paired with itself. Besides its neighbours, each member is a
 candidate with the crowd's hub, the member that shares its regions with the most others, which finds crowds
 of variants that are alike with their original only. When these candidates are confirmed, the members
-that are still apart from the largest component of their crowd are compared with all its members, in blocks
-and by signature, so that a link to any single member is found as well.
+that are still apart from the largest component of their crowd are compared with all its members, in blocks of
+full sets, so that a link to any single member is found as well; a block gives the links that join
+components, not its pairs.
 
 Documents with the same shingle set are one node (the smallest id). Every link is confirmed on the
 full sets of 64-bit shingle hashes. First each node's best few candidates are confirmed, which ties
@@ -46,10 +47,8 @@ FIRST = 3
 #: Up to so many ids (their number is measured) are broadcast to pick texts; beyond, the texts are shuffled.
 BROADCAST_IDS = 500_000
 _GROUP_CHARS = 400_000
-#: Members of a crowd that are compared in one block, and parts of a crowd where regions are joined by shuffle.
-BLOCK, SALTS = 512, 32
-#: A pair whose signatures agree less than this many standard deviations below the threshold is not confirmed.
-DEVIATIONS = 6
+#: Shingles of the members that make one block, and parts of a crowd where regions are joined by shuffle.
+BLOCK_SHINGLES, SALTS = 1_000_000, 32
 
 
 def _shingles(texts: list[str], width: int) -> list[np.ndarray]:
@@ -213,56 +212,69 @@ def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"), F.lit(1).alias("score"))
 
 
-def stray_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components in a crowd whose signatures agree, one end outside the crowd's largest component.
+def _joining_links(strays: pd.DataFrame, others: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """Links of strays with others that join components which the links before them have not joined."""
+    numbers = {name: i for i, name in enumerate(pd.unique(pd.concat([strays["component"], others["component"]])))}
+    parent = np.arange(len(numbers))
+    within = others["component"].map(numbers).to_numpy()
+    ids, sizes = others["id"].to_numpy(), others["grams"].map(len).to_numpy()
+    known, codes = np.unique(np.concatenate(others["grams"].tolist()), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    marked, found = np.zeros(len(known), bool), []
+    for own, name, grams in strays[["id", "component", "grams"]].itertuples(index=False):
+        at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+        at = at[known[at] == grams]
+        marked[at] = True
+        shared = np.add.reduceat(marked[codes], starts, dtype=np.int64)
+        marked[at] = False
+        linked = np.flatnonzero(100 * shared >= percent * (sizes + len(grams) - shared))
+        _, firsts = np.unique(parent[within[linked]], return_index=True)
+        for other in linked[firsts]:
+            here, there = parent[numbers[name]], parent[within[other]]
+            if here != there:
+                found.append((own, ids[other]))
+                parent[parent == there] = here
+    return found
+
 
-    Strays and members are dealt into blocks of about ``BLOCK`` rows, and each pair of blocks is one group.
+def stray_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links between components in a crowd, one end outside the crowd's largest component.
+
+    Strays and members are dealt into blocks of about ``BLOCK_SHINGLES``, and each pair of blocks is one group.
     """
     named = members.join(labels.select(F.col("node").alias("id"), "component"), "id", "left").withColumn(
         "component", F.coalesce("component", "id")
     )
     largest = (
         named.groupBy("region", "component")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"))
         .groupBy("region")
-        .agg(F.max(F.struct("rows", "component")).alias("main"), F.sum("rows").alias("rows"))
+        .agg(F.max(F.struct("rows", "component", "n")).alias("main"), F.sum("rows").alias("rows"), F.sum("n").alias("n"))
         .filter("rows > main.rows")
         .select(
             "region",
             F.col("main.component").alias("main"),
-            F.ceil(F.col("rows") / BLOCK).cast("int").alias("member_blocks"),
-            F.ceil((F.col("rows") - F.col("main.rows")) / BLOCK).cast("int").alias("stray_blocks"),
+            F.ceil(F.col("n") / BLOCK_SHINGLES).cast("int").alias("member_blocks"),
+            F.ceil((F.col("n") - F.col("main.n")) / BLOCK_SHINGLES).cast("int").alias("stray_blocks"),
         )
     )
-    largest = store(largest, "open-crowds")
-    values = TREES * DEPTH
-    least = values * percent / 100 - DEVIATIONS * (values * percent * (100 - percent)) ** 0.5 / 100
-
-    def alike(strays: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        if not len(strays) or not len(others):
-            return pd.DataFrame({"a": [], "b": []})
-        signs = np.frombuffer(b"".join(others["sig"]), np.uint32).reshape(len(others), values)
-        ids, sizes, component = (others[c].to_numpy(np.int64) for c in ("id", "n", "component"))
-        found = []
-        for own, n, within, sig in strays[["id", "n", "component", "sig"]].itertuples(index=False):
-            near = (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)) & (component != within)
-            at = np.flatnonzero(near)
-            agree = (signs[at] == np.frombuffer(sig, np.uint32)).sum(axis=1)
-            other = ids[at[agree >= least]]
-            found.append(pd.DataFrame({"a": np.minimum(other, own), "b": np.maximum(other, own)}))
-        return pd.concat(found)
-
-    opened = _of_region(named, largest).join(nodes.select("id", "sig"), "id")
-    opened = store(opened.select("region", "id", "n", "component", "sig", "main", "member_blocks", "stray_blocks"), "open-members")
+    opened = store(_of_region(named, store(largest, "open-crowds")), "open-members")
+
+    def compare(strays: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        found = _joining_links(strays, others, percent) if len(strays) and len(others) else []
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     def dealt(rows: DataFrame, own: str, other: str, seed: int) -> DataFrame:
         every = F.explode(F.expr(f"sequence(0, {other}_blocks - 1)"))
         block = F.pmod(F.xxhash64("id", F.lit(seed)), F.col(f"{own}_blocks")).cast("int")
-        return rows.select("region", block.alias(own), every.alias(other), "id", "n", "component", "sig")
+        placed = rows.select("region", block.alias(own), f"{other}_blocks", "id", "component").join(sets, "id")
+        # Both sides come from one table; new aliases keep their columns apart.
+        kept = [F.col(name).alias(name) for name in ("region", own, "id", "component", "grams")]
+        return placed.select(*kept, every.alias(other))
 
     key = ["region", "stray", "member"]
     strays = dealt(opened.filter("component <> main"), "stray", "member", 1).groupBy(*key)
-    return strays.cogroup(dealt(opened, "member", "stray", 2).groupBy(*key)).applyInPandas(alike, "a long, b long").distinct()
+    return strays.cogroup(dealt(opened, "member", "stray", 2).groupBy(*key)).applyInPandas(compare, "a long, b long")
 
 
 def candidates(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -353,18 +365,21 @@ def _full_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return store(sets.groupBy("id").agg(F.max("grams").alias("grams")), "full-sets")
 
 
-def _bridged(pairs: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The labels after the pairs that lead from one component to another have been confirmed and followed."""
+def _named(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links with the components ``of_a`` and ``of_b`` of their ends."""
     of = {end: labels.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}")) for end in ("a", "b")}
+    known = links.select("a", "b").join(of["a"], "a", "left").join(of["b"], "b", "left")
+    return known.withColumn("of_a", F.coalesce("of_a", "a")).withColumn("of_b", F.coalesce("of_b", "b"))
 
-    def named(links: DataFrame) -> DataFrame:
-        known = links.join(of["a"], "a", "left").join(of["b"], "b", "left")
-        return known.withColumn("of_a", F.coalesce("of_a", "a")).withColumn("of_b", F.coalesce("of_b", "b"))
 
-    crossing = named(pairs).filter("of_a <> of_b")
-    bridges = store(
-        named(_confirmed(crossing, sets, percent)).select(F.col("of_a").alias("a"), F.col("of_b").alias("b")), "bridges"
-    )
+def _crossing(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    return _named(pairs, labels).filter("of_a <> of_b").select("a", "b")
+
+
+def _bridged(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labels after confirmed links between components have been followed."""
+    between = _named(links, labels).select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    bridges = store(between.distinct(), "bridges")
     if bridges.isEmpty():
         return labels
     joined = components(bridges).select(F.col("node").alias("component"), F.col("component").alias("whole"))
@@ -391,18 +406,15 @@ def near_duplicates(
     filled = sketched.filter("n > 0")
     nodes = filled.groupBy(*same_set).agg(F.min("id").alias("id"), F.max("sig").alias("sig")).filter("id IS NOT NULL")
     pairs, members = candidates(nodes, percent)
-    wanted = store(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidate-ids")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    wanted = store(ends.unionAll(members.select("id")).distinct(), "candidate-ids")
     sets = _full_sets(texts, wanted, width)
 
     labels = components(_confirmed(_best_of_each(pairs), sets, percent))
-    labels = _bridged(pairs.select("a", "b"), labels, sets, percent)
+    labels = _bridged(_confirmed(_crossing(pairs, labels), sets, percent), labels)
     if not members.isEmpty():
-        strays = store(stray_pairs(members, labels, nodes, percent), "stray-pairs")
-        if not strays.isEmpty():
-            ends = strays.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-            more = _full_sets(texts, store(ends.join(wanted, "id", "left_anti"), "stray-ids"), width)
-            labels = _bridged(strays, labels, sets.unionAll(more), percent)
-    discard(members, wanted, pairs)
+        labels = _bridged(stray_links(members, labels, sets, percent), labels)
+    discard(pairs, members, wanted, sets)
 
     sets_of = filled.groupBy(*same_set).agg(F.min("id").alias("node")).join(labels, "node", "left")
     named = sets_of.select(*same_set, F.coalesce("component", "node").alias("component"))
