@@ -232,6 +232,8 @@ SELECT (SELECT count(*) FROM shop_events WHERE brand IS NULL) AS deleted_null_br
         "shop_events",
     ),
     "distinct_brands": _query("SELECT DISTINCT brand FROM shop_events WHERE brand IS NOT NULL", "shop_events"),
+    "brands_saved_if_absent": _query("SELECT DISTINCT brand FROM shop_events WHERE brand IS NOT NULL", "shop_events"),
+    "brands_saved_once": _query("SELECT DISTINCT brand FROM shop_events WHERE brand IS NOT NULL", "shop_events"),
     "distinct_categories": _query(
         "SELECT DISTINCT category_code FROM shop_events WHERE brand IS NOT NULL", "shop_events"
     ),

@@ -6,6 +6,7 @@ import hashlib
 import re
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import views
@@ -130,6 +131,27 @@ def infer_column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infer_types(read_raw_events(spark, [dataset.dataset_url for dataset in landed_datasets(root)]))
 
 
+def brands_saved_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands saved where no table is, after a second save of other rows to the same name."""
+    tables = Tables(spark, scratch_path(spark, "warehouse"))
+    brands = dimensions.distinct_keys(views.shop_events(spark, sf_dir), "brand")
+    for frame in (brands, brands.select(F.upper("brand").alias("brand"))):
+        tables.save_if_absent(frame, DETAIL, "brands")
+    return tables.read(DETAIL, "brands")
+
+
+def brands_saved_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands saved as a new table; a second save is refused and leaves the first."""
+    tables = Tables(spark, scratch_path(spark, "warehouse"))
+    brands = dimensions.distinct_keys(views.shop_events(spark, sf_dir), "brand")
+    tables.save_new(brands, DETAIL, "brands")
+    try:
+        tables.save_new(brands.select(F.upper("brand").alias("brand")), DETAIL, "brands")
+    except AnalysisException:
+        return tables.read(DETAIL, "brands")
+    raise AssertionError("a table that is there was written again")
+
+
 def insert_cleaned_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The final table after it has been written twice."""
     tables = Tables(spark, scratch_path(spark, "warehouse"))
@@ -364,6 +386,8 @@ QUERIES: dict[str, Query] = {
     "clean_events": clean_events,
     "clean_counts": clean_counts,
     "distinct_brands": distinct_of("brand"),
+    "brands_saved_if_absent": brands_saved_if_absent,
+    "brands_saved_once": brands_saved_once,
     "distinct_categories": distinct_of("category_code"),
     "new_brands": new_of("brand"),
     "new_categories": new_of("category_code"),
