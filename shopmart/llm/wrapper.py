@@ -6,7 +6,8 @@ Matched nodes are merged into one template. A node whose own text is the same on
 is part of the template; a node whose text varies is a slot. The main region is the deepest container that
 holds nearly all text of the slots, once regions that name themselves a menu, header, footer,
 side bar, notice, advert, form or comments are left out. Every page of the host is then aligned with that wrapper:
-the text of its main region, without named regions and template text, is its content.
+the text of its main region, without named regions and template text, is its content. Template text is
+only what a node says itself: its kids are judged by their own slots.
 
 Defined cases: null or empty html gives an empty text; a page whose host has too few pages to compare, or
 that has no place for the main region, gives the text of its article or main element, else of its
@@ -139,19 +140,22 @@ def _end_paragraph(open_nodes: list[Node], tag: str) -> None:
 
 
 def text_of(node: Node, left_out: set[int] = frozenset()) -> str:
-    """Text of a node in page order: blocks apart by one space, white space as one space; some nodes left out."""
+    """Text of a node in page order: blocks apart by one space, white space as one space; own strings of some nodes left out."""
     parts: list[str] = []
     waiting: list = [node]
     while waiting:
         item = waiting.pop()
         if isinstance(item, str):
             parts.append(unescape(item) if "&" in item else item)
-        elif id(item) not in left_out and not (item.named and item is not node):
+        elif not (item.named and item is not node):
             block = item.tag not in INLINE
             if block:
                 parts.append(" ")
                 waiting.append(" ")
-            waiting.extend(reversed(item.kids))
+            if id(item) in left_out:  # kids are judged by their own slots; a string leaves a gap between them
+                waiting.extend(" " if isinstance(k, str) else k for k in reversed(item.kids))
+            else:
+                waiting.extend(reversed(item.kids))
     return _SPACE.sub(" ", "".join(parts)).strip()
 
 
