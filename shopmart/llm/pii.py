@@ -7,12 +7,12 @@ stands next to an entity discloses it as far as the corpus says so:
     disclosure = pmi(entity; term) / ic(entity)
     pmi = log(p(entity | term) / p(entity)),  ic = -log p(entity)
 
-1 means that the term always stands next to the entity. ``p(entity)`` is taken from the number of
-different contexts of the entity and the words of the whole corpus, ``p(entity | term)`` from
-the contexts that hold the term and all occurrences of the term in all documents. A context is the words
-around a span; equal contexts, as copies of a passage have, count once. Terms with at least
-``MIN_CONTEXTS`` contexts are removed from ``REMOVE_AT`` on and generalised (to the kind of the
-entity) from ``GENERALISE_AT`` on, wherever they stand in any document.
+1 means that the term always stands next to the entity. Both chances count occurrences in all documents, copies
+included: ``p(entity)`` is the entity's share of the words of the corpus, ``p(entity | term)`` the
+share of the term's occurrences that stand next to the entity. A context is the words around a span; copies of a
+passage have equal contexts. Terms with at least ``MIN_CONTEXTS`` different contexts are
+removed from ``REMOVE_AT`` on and generalised (to the kind of the entity) from ``GENERALISE_AT`` on,
+wherever they stand in any document.
 
 Positions without Python: the pieces between the matches of a pattern and the matches
 themselves have lengths in code points, whose running sums are the spans. Patterns are written with
@@ -137,7 +137,15 @@ def _context(text: Column, span: Column) -> Column:
     before = terms_of(F.substring(text, span["start"] - reach + 1, reach))
     after = terms_of(F.substring(text, span["end"] + 1, F.lit(CONTEXT_CHARS)))
     near = [F.slice(F.filter(side, lambda t: t != ""), 1, CONTEXT_WORDS) for side in (F.reverse(before), after)]
-    return F.filter(F.array_distinct(F.concat(*near)), lambda t: t.rlike(r"\p{L}") & (F.length(t) > 1))
+    return F.filter(F.concat(*near), lambda t: t.rlike(r"\p{L}") & (F.length(t) > 1))
+
+
+def _with_counts(context: Column) -> Column:
+    """The different terms of a context, each with how often it stands there."""
+    return F.transform(
+        F.array_distinct(context),
+        lambda t: F.struct(t.alias("term"), (F.size(context) - F.size(F.array_remove(context, t))).alias("n")),
+    )
 
 
 #: Up to so many terms (their number is measured) are broadcast; beyond, both sides are shuffled.
@@ -153,13 +161,13 @@ def disclosing_terms(rows: DataFrame, spans: DataFrame) -> DataFrame:
 
     ``rows`` has the column text, ``spans`` one row per base span: kind, value and context.
     """
-    contexts = spans.distinct()
-    entities = contexts.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("contexts"))
+    contexts = spans.groupBy("kind", "value", "context").agg(F.count(F.lit(1)).alias("copies"))
+    entities = contexts.groupBy("kind", "value").agg(F.sum("copies").alias("spans"))
     pairs = (
-        contexts.select("kind", "value", F.explode("context").alias("term"))
-        .groupBy("kind", "value", "term")
-        .agg(F.count(F.lit(1)).alias("together"))
-        .filter(F.col("together") >= MIN_CONTEXTS)
+        contexts.select("kind", "value", "copies", F.explode(_with_counts(F.col("context"))).alias("one"))
+        .groupBy("kind", "value", F.col("one.term").alias("term"))
+        .agg(F.count(F.lit(1)).alias("contexts"), F.sum(F.col("copies") * F.col("one.n")).alias("together"))
+        .filter(F.col("contexts") >= MIN_CONTEXTS)
         .join(entities, ["kind", "value"])
     )
     pairs = store(pairs, "pii-pairs")
@@ -175,7 +183,7 @@ def disclosing_terms(rows: DataFrame, spans: DataFrame) -> DataFrame:
     )
     total = rows.agg(F.sum(n_words(F.col("text")))).first()[0]
     given = F.least(F.lit(1.0), F.col("together") / F.col("occurrences"))
-    prior = F.least(F.lit(0.5), F.col("contexts") / F.lit(float(total)))
+    prior = F.least(F.lit(0.5), F.col("spans") / F.lit(float(total)))
     scored = pairs.join(counts, "term").select("term", "kind", (F.log(given / prior) / -F.log(prior)).alias("score"))
     strongest = scored.groupBy("term").agg(F.max(F.struct("score", "kind")).alias("best"))
     return strongest.select("term", "best.kind", F.col("best.score").alias("disclosure")).filter(

@@ -2,6 +2,9 @@
 
 import json
 
+import pytest
+
+from shopmart.llm import pii
 from shopmart.llm.wrapper import Wrapper, extract, induce
 
 
@@ -18,3 +21,15 @@ def test_template_text_keeps_varying_kids():
     wrapper = Wrapper(json.loads(induce([page(n) for n in range(6)])))
     wanted = "9: The storm Jane Doe 9 Story 9 begins here and goes on for long. 9.50 It ends with 63."
     assert extract(page(9), wrapper) == wanted
+
+
+def test_copies_do_not_hide_a_disclosing_term(spark):
+    """A name that stands next to one address only, in three contexts, one of them copied a thousand times."""
+    rows = [(i, f"day{i} mail of Zaphod a.b@c.org came on {i}th noon") for i in range(2)]
+    rows += [(10 + i, "once more Zaphod wrote Zaphod a.b@c.org at the end of all") for i in range(1000)]
+    rows += [(5000 + i, " ".join(f"w{i}x{j}" for j in range(200))) for i in range(200)]
+    rows += [(6000 + i, f"mail of others {i} the end") for i in range(1000)]
+    rows += [(2, "day2 mail of Zaphod a.b@c.org came on 2th noon")]
+    terms = pii.find_spans(spark.createDataFrame(rows, "doc_id long, text string"))[1].collect()
+    found = {row["term"]: row["disclosure"] for row in terms}
+    assert found["zaphod"] == pytest.approx(1.0) and "mail" not in found
