@@ -7,9 +7,10 @@ reference stays below a limit that falls with its length, as the sampling noise
 
     limit = floor + slope / sqrt(words)
 
-Guards: a histogram is compared only from a minimum number of words on, and only in a language that
-holds ``MIN_LANGUAGE_SHARE`` of all words; the documents of a rarer one are judged by the base rule.
-So at most ``1 / MIN_LANGUAGE_SHARE`` languages have a reference, and references are broadcast.
+Guards: a histogram is compared only from a minimum number of words on, and only in a language with
+``MIN_LANGUAGE_WORDS`` words, whatever the rest of the corpus holds; fewer make no reference, and the documents of such a
+language are judged by the base rule. The languages are counted: up to ``BROADCAST_LANGUAGES``
+references are broadcast, beyond they are dealt in ``SALTS`` copies, so a frequent language stays spread.
 Common words are sought among the words of at most ``COMMON_CHARS`` characters, as function words are short.
 
 Everything is a JVM expression; arrays that a lambda reads more than once are bound to a lambda
@@ -33,7 +34,9 @@ MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 COMMON_WORDS = 32
 COMMON_CHARS = 5
-MIN_LANGUAGE_SHARE = 0.002
+#: A common word holds 1 in 2000 words: with fewer, a word that stands once would be common.
+MIN_LANGUAGE_WORDS = 2000
+BROADCAST_LANGUAGES, SALTS = 500, 32
 #: Histogram: least words, floor and slope of the limit.
 CLASS_LIMIT = (20, 0.13, 1.3)
 WORD_LIMIT = (50, 0.16, 1.9)
@@ -123,9 +126,13 @@ def distance(mine: Column, reference: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)))
 
 
-def common_shares(words: Column, common: Column, known: list[str]) -> Column:
-    """Shares of the common words among the words, and of all others together. ``known``: the common words of all languages."""
-    hits = F.filter(words, lambda word: word.isin(known))
+def common_shares(words: Column, common: Column, known: list[str] | None) -> Column:
+    """Shares of the common words among the words, and of all others together.
+
+    ``known``: the common words of all languages, if these are few.
+    """
+    own = F.transform(common, lambda c: c["word"])
+    hits = F.filter(words, lambda word: F.array_contains(own, word) if known is None else word.isin(known))
     counted = bound(
         hits,
         lambda found: F.transform(
@@ -139,6 +146,17 @@ def _rest(parts: Column) -> Column:
     return F.greatest(F.lit(0.0), 1 - F.aggregate(parts, F.lit(0.0), lambda a, b: a + b))
 
 
+def _with_language(rows: DataFrame, languages: DataFrame, few: bool, how: str, salt: Column) -> DataFrame:
+    """Rows with the row of their language, whose key is ``of``; ``salt`` deals the rows of a language."""
+    same = F.col("language").eqNullSafe(F.col("of"))
+    if few:
+        return rows.join(F.broadcast(languages), same, how)
+    dealt = languages.withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("salt", F.pmod(salt, F.lit(SALTS)).cast("int"))
+    # A hint of its own keeps Spark from a broadcast that its estimate of the size allows.
+    return salted.join(dealt.hint("merge"), same & (F.col("salt") == F.col("of_salt")), how).drop("salt", "of_salt")
+
+
 def references(texts: DataFrame) -> DataFrame:
     """The reference of each language that has enough words: class_reference and common.
 
@@ -151,15 +169,15 @@ def references(texts: DataFrame) -> DataFrame:
         .agg(F.sum("n").alias("n_words"), *sums),
         "languages",
     )
-    all_words = languages.agg(F.sum("n_words")).first()[0] or 0
-    large = languages.filter(F.col("n_words") >= MIN_LANGUAGE_SHARE * all_words).filter("n_words > 0")
+    large = languages.filter(F.col("n_words") >= MIN_LANGUAGE_WORDS)
+    few = large.count() <= BROADCAST_LANGUAGES
 
     words = texts.select("language", F.explode(F.split("text", WHITE_RUN)).alias("word"))
     short = words.filter(F.length("word").between(1, COMMON_CHARS))
     counts = short.groupBy("language", "word").count()
     # A word holds at least 1 in 2000 words to be common, so at most 2000 a language are ranked.
     frequent = (
-        counts.join(F.broadcast(large.withColumnRenamed("language", "of")), F.col("language").eqNullSafe(F.col("of")))
+        _with_language(counts, large.withColumnRenamed("language", "of"), few, "inner", F.xxhash64("word"))
         .filter((F.col("count") * 2000 >= F.col("n_words")) & F.col("word").rlike(r"\p{L}"))
         .select("language", "word", (F.col("count") / F.col("n_words")).alias("share"))
     )
@@ -183,7 +201,8 @@ def assess(
     """``row`` (the carried columns, by default all), the counts, both distances, ``base_failed`` and ``kept``."""
     texts = documents.select(F.col(language).alias("language"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     known = references(texts)
-    names = [row[0] for row in known.select(F.explode("common.word")).distinct().collect()]
+    few = known.count() <= BROADCAST_LANGUAGES
+    names = [row[0] for row in known.select(F.explode("common.word")).distinct().collect()] if few else None
 
     columns = documents.columns if carry is None else carry
     rows = documents.select(
@@ -192,7 +211,7 @@ def assess(
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     ).select("row", "language", "text", words_of(F.col("text")).alias("words"))
     measured = (
-        rows.join(F.broadcast(known), F.col("language").eqNullSafe(F.col("of")), "left")
+        _with_language(rows, known, few, "left", F.monotonically_increasing_id())
         .select(
             "row",
             "words",

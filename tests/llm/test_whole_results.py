@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from shopmart.llm import pii
+from shopmart.llm import pii, quality_rules
 from shopmart.llm.wrapper import Wrapper, extract, induce
 
 
@@ -33,3 +33,20 @@ def test_copies_do_not_hide_a_disclosing_term(spark):
     terms = pii.find_spans(spark.createDataFrame(rows, "doc_id long, text string"))[1].collect()
     found = {row["term"]: row["disclosure"] for row in terms}
     assert found["zaphod"] == pytest.approx(1.0) and "mail" not in found
+
+
+@pytest.mark.parametrize("broadcast", [500, 0])
+def test_rare_language_is_judged(spark, monkeypatch, broadcast):
+    """A language with words enough for a histogram is judged, however much text of another one there is."""
+    monkeypatch.setattr(quality_rules, "BROADCAST_LANGUAGES", broadcast, raising=False)
+    prose = [" ".join(f"the {chr(97 + i)}{chr(97 + j)} of a and house to" for j in range(12)) for i in range(26)]
+    junk = " ".join(f"{i}Q&{i * 7919}%" for i in range(60))
+    rows = [(i, text, "xx") for i, text in enumerate(prose * 2)] + [(100, junk, "xx"), (101, prose[0], None)]
+    much = " ".join(f"un mot et {i}" for i in range(40_000))
+    rows += [(200 + i, much, "fr") for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r["row"]["doc_id"]: r for r in quality_rules.assess(frame, carry=["doc_id"]).collect()}
+    assert len(found) == len(rows)
+    assert found[100]["class_distance"] is not None and not found[100]["base_failed"] and not found[100]["kept"]
+    assert found[0]["kept"] and found[0]["word_distance"] is not None
+    assert found[101]["kept"] and found[101]["class_distance"] is None
