@@ -7,7 +7,8 @@ stand next to each other and a crowd of equal keys is dealt over several ranges.
 prefix, all of them are paired; a denser region is paired at the next depth, and its documents with
 their neighbour in the order. Neighbours across the edge of a range meet in a second pass over the edges.
 
-With 24 trees a pair at similarity 0.8 shares four values in some tree with a chance of all but 3 in a million.
+With 42 trees a pair at similarity 0.8 shares a whole key of six values in some tree with a chance of all but 3 in a
+million, so a region that is dense at four or five values costs no recall: pairs are found where they share the key.
 A crowd that shares a whole key is not paired with itself. Besides its neighbours, each member is a
 candidate with the crowd's hub, the member that shares its regions with the most others, which finds crowds
 of variants that are alike with their original only. When these candidates are confirmed, the members
@@ -41,7 +42,7 @@ by_value(__name__)
 
 SHINGLE_WORDS = 5
 PERCENT = 80
-TREES, DEPTH, LEAST, REACH = 24, 6, 4, 8
+TREES, DEPTH, LEAST, REACH = 42, 6, 4, 8
 #: Candidates of a document that are confirmed first.
 FIRST = 3
 #: Up to so many ids (their number is measured) are broadcast to pick texts; beyond, the texts are shuffled.

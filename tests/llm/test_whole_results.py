@@ -2,9 +2,10 @@
 
 import json
 
+import numpy as np
 import pytest
 
-from shopmart.llm import pii, quality_rules
+from shopmart.llm import lsh_forest, pii, quality_rules
 from shopmart.llm.wrapper import Wrapper, extract, induce
 
 
@@ -50,3 +51,12 @@ def test_rare_language_is_judged(spark, monkeypatch, broadcast):
     assert found[100]["class_distance"] is not None and not found[100]["base_failed"] and not found[100]["kept"]
     assert found[0]["kept"] and found[0]["word_distance"] is not None
     assert found[101]["kept"] and found[101]["class_distance"] is None
+
+
+def test_whole_keys_find_pairs_of_dense_regions():
+    """Pairs at similarity 0.8 share a whole key in some tree: the only depth a dense region is sure to be paired at."""
+    draw = np.random.default_rng(1)
+    values = draw.integers(0, 1 << 63, (10_000, 100), dtype=np.uint64)
+    left, right = (lsh_forest._signatures(list(values[:, part])) for part in (slice(0, 90), slice(10, 100)))
+    same = (left == right).reshape(len(values), lsh_forest.TREES, lsh_forest.DEPTH)
+    assert same.all(axis=2).any(axis=1).all()
