@@ -5,7 +5,7 @@ import json
 import numpy as np
 import pytest
 
-from shopmart.llm import lsh_forest, pii, quality_rules
+from shopmart.llm import licenses, lsh_forest, pii, quality_rules
 from shopmart.llm.wrapper import Wrapper, extract, induce
 
 
@@ -60,3 +60,21 @@ def test_whole_keys_find_pairs_of_dense_regions():
     left, right = (lsh_forest._signatures(list(values[:, part])) for part in (slice(0, 90), slice(10, 100)))
     same = (left == right).reshape(len(values), lsh_forest.TREES, lsh_forest.DEPTH)
     assert same.all(axis=2).any(axis=1).all()
+
+
+def test_wrapped_and_joined_notices(spark):
+    """Notices wrapped over lines, two licences on a line, and a short notice in a long line."""
+    prose = " ".join(f"the word{i} of a tale" for i in range(60))
+    gpl = (
+        "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General "
+        "Public License as published by\nthe Free Software Foundation, either version 3"
+    )
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided"
+    dual = "Licensed under the MIT License or the Apache License, Version 2.0"
+    both = "Released under the MIT License. Licensed under the Apache License, Version 2.0."
+    texts = {1: gpl, 2: bsd, 3: both, 4: f"{prose} All rights reserved. {prose}", 5: prose, 6: f"{prose}\n\n{gpl}", 7: dual}
+    rows = list(texts.items()) + [(100 + i, f"{prose} {i} and its end") for i in range(200)]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    families = {r["id"]: r["families"] for r in found}
+    assert [families[i] for i in (1, 2, 3, 5, 6)] == ["GPL", "BSD", "Apache-2.0,MIT", "", "GPL"]
+    assert families[4] == "proprietary" and families[7] == "Apache-2.0,MIT"
