@@ -56,7 +56,85 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+OP11 = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS digest
+  FROM documents
+), numbers AS (
+  SELECT doc_id, text, length(text) AS n,
+    [CAST('0x' || substr(digest, 8 * i + 1, 8) AS BIGINT) FOR i IN range(4)] AS h
+  FROM drawn
+), placed AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS low, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS high,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90
+      THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers
+), parts AS (
+  SELECT *, substr(text, 1, low) AS prefix, substr(text, low + 1, high - low) AS middle, substr(text, high + 1) AS suffix
+  FROM placed
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+def _codes_of(books: str) -> str:
+    """Index and distance of the nearest entry for every part: the products of whole numbers are exact doubles."""
+    return f"""(
+  SELECT row, part, arg_min(entry, distance * 256 + entry) AS entry, min(distance) AS error FROM (
+    SELECT p.row, p.part, b.entry, list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, b.v)
+      + list_inner_product(b.v, b.v) AS distance
+    FROM parts p JOIN {books} b ON b.part = p.part
+  ) GROUP BY row, part)"""
+
+
+def _op13(rounds: int = 4) -> str:
+    steps = [
+        """kept AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST) AS row,
+    [CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT row, part, v[part * len(v) // 4 + 1 : (part + 1) * len(v) // 4] AS v FROM kept, range(4) r(part)
+), books0 AS MATERIALIZED (
+  SELECT part, row - 1 AS entry, v FROM parts WHERE row <= 256
+)"""
+    ]
+    for number in range(rounds):
+        steps.append(
+            f"""codes{number} AS MATERIALIZED {_codes_of(f"books{number}")}, moved{number} AS (
+  SELECT part, entry, list(mean ORDER BY place) AS v FROM (
+    SELECT c.part, c.entry, place, floor(sum(p.v[place]) / count(*)) AS mean
+    FROM codes{number} c JOIN parts p ON p.row = c.row AND p.part = c.part, range(1, len(p.v) + 1) r(place)
+    GROUP BY c.part, c.entry, place
+  ) GROUP BY part, entry
+), books{number + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.v, b.v) AS v
+  FROM books{number} b LEFT JOIN moved{number} m ON m.part = b.part AND m.entry = b.entry
+)"""
+        )
+    return f"""
+WITH {", ".join(steps)}, codes AS MATERIALIZED {_codes_of(f"books{rounds}")}, whole AS (
+  SELECT row, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, CAST(sum(error) AS BIGINT) AS error
+  FROM codes GROUP BY row
+), listed AS (
+  SELECT sha256(string_agg(array_to_string([CAST(x AS BIGINT) FOR x IN v], ','), ',' ORDER BY part, entry)) AS digest
+  FROM books{rounds}
+)
+SELECT k.vec_id, w.code, w.error, CAST(sum(w.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+  l.digest AS codebooks_sha256
+FROM kept k JOIN whole w ON w.row = k.row, listed l
+"""
+
+
 ORACLE: dict[str, str] = {
     "op1_source_mix": OP1,
     "op3_exact_dedup": OP3,
+    "op11_fill_middle": OP11,
+    "op13_vector_codes": _op13(),
 }

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shopmart.llm import exact_dedup, licenses, lsh_forest, mixing, packing, pii, quality_model, quality_rules, toxicity, wrapper
+from shopmart.llm import (
+    byte_bpe,
+    exact_dedup,
+    fill_middle,
+    licenses,
+    lsh_forest,
+    mixing,
+    packing,
+    pii,
+    quality_model,
+    quality_rules,
+    toxicity,
+    vector_codes,
+    wrapper,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +108,45 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "families", "spans", "n_rejected")
 
 
+def digest(value: Column) -> Column:
+    return F.sha2(value.cast("binary"), 256)
+
+
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.examples(table(spark, sf_dir, "documents"))
+    return made.select(
+        F.col("id").alias("doc_id"),
+        *["n", "form", "prefix_chars", "middle_chars"],
+        digest(F.col("output")).alias("output_sha256"),
+        digest(fill_middle.restore(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), vocabulary, pattern=public_tokenizers.PATTERN)
+    return byte_bpe.decode(encoded, vocabulary).select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+        digest(F.col("data")).alias("decoded_sha256"),
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, codebooks = vector_codes.compress(table(spark, sf_dir, "embeddings"), carry=["label"])
+    entries = ",".join(str(value) for part in codebooks for entry in part for value in entry)
+    return vector_codes.with_group_error(coded, F.col("row.label")).select(
+        F.col("id").alias("vec_id"),
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        F.col("group_error").alias("label_error"),
+        digest(F.lit(entries)).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op3_exact_dedup": op3_exact_dedup,
@@ -105,4 +158,7 @@ QUERIES: dict[str, Query] = {
     "op8_lsh_forest": op8_lsh_forest,
     "op7_main_text": op7_main_text,
     "op9_license_scan": op9_license_scan,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_vector_codes": op13_vector_codes,
 }

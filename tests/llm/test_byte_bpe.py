@@ -1,0 +1,144 @@
+"""Ids against plain merging and against tiktoken."""
+
+import functools
+import hashlib
+import random
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings, strategies as st
+
+from shopmart.llm import byte_bpe
+from shopmart.llm.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+FILES = ("byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken")
+
+
+def by_merging(ranks, piece):
+    """Join the leftmost pair of the lowest rank until there is none."""
+    parts = [bytes([byte]) for byte in piece]
+    while len(parts) > 1:
+        rank, at = min((ranks.get(a + b, byte_bpe.NO_LIMIT), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+        if rank == byte_bpe.NO_LIMIT:
+            break
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    return [ranks[part] for part in parts]
+
+
+@pytest.fixture(scope="module", params=FILES)
+def vocabulary(request):
+    ranks = byte_bpe.read_ranks(public_tokenizers.path(request.param))
+    known = tiktoken.Encoding(
+        "known", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    return byte_bpe.tables_of(ranks), known
+
+
+def ids_of(tables, texts):
+    return [np.frombuffer(data, "<i4").tolist() for data in byte_bpe.encode_texts(tables, texts)]
+
+
+def test_every_token_is_its_own_encoding(vocabulary):
+    tables, _ = vocabulary
+    ranks = tables["ranks"]
+    assert set(tables["firsts"]) == set(ranks.values())  # merges make every token
+    assert all(byte_bpe.encode_piece(tables, token) == [rank] for token, rank in ranks.items())
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "-= ", "aeiou ", "\t\n ", "é漢字ï\U0001f600 ", "0123456789,.", "the cat's"])
+def test_random_texts(vocabulary, alphabet):
+    tables, known = vocabulary
+    draw = random.Random(alphabet)
+    texts = ["".join(draw.choices(alphabet, k=draw.randrange(90))) for _ in range(400)] + [None, ""]
+    assert ids_of(tables, texts) == [known.encode_ordinary(text or "") for text in texts]
+
+
+@functools.cache
+def first_tables():
+    return byte_bpe.tables_of(byte_bpe.read_ranks(public_tokenizers.path(FILES[0])))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60))
+def test_any_text(text):
+    tables, data = first_tables(), text.encode("utf-8", "surrogatepass")
+    if data:
+        assert byte_bpe.encode_piece(tables, data) == by_merging(tables["ranks"], data)
+
+
+def test_other_vocabularies():
+    """Random merges over two letters, each of a pair that the merges before leave side by side; and tokens that none make."""
+    draw = random.Random(5)
+    for _ in range(30):
+        ranks = {bytes([byte]): byte for byte in range(256)}
+        while len(ranks) < 270:
+            text = bytes(draw.choices(b"ab", k=30))
+            tokens = {rank: token for token, rank in ranks.items()}
+            ids = by_merging(ranks, text)
+            if len(ids) > 1:
+                at = draw.randrange(len(ids) - 1)
+                ranks.setdefault(tokens[ids[at]] + tokens[ids[at + 1]], len(ranks))
+        for token in (b"aabbaabbab", b"bababababb"):
+            if len(by_merging(ranks, token)) > 2:  # no two tokens give it, so no merge can
+                ranks.setdefault(token, len(ranks))
+        tables = byte_bpe.tables_of(ranks)
+        for _ in range(200):
+            piece = bytes(draw.choices(b"ab", k=draw.randrange(1, 25)))
+            expected = [ranks[piece]] if piece in ranks else by_merging(ranks, piece)
+            assert byte_bpe.encode_piece(tables, piece) == expected
+
+
+def test_refused_vocabularies():
+    with pytest.raises(ValueError, match="bytes are no tokens"):
+        byte_bpe.tables_of({b"a": 0})
+    ranks = {bytes([byte]): byte for byte in range(256)}
+    ranks |= {token: 256 + at for at, token in enumerate([b"ba", b"ab", b"abab", b"bab"])}
+    with pytest.raises(ValueError, match="higher ranks"):
+        byte_bpe.tables_of(ranks)
+
+
+def test_long_matches_take_linear_time(vocabulary):
+    tables, known = vocabulary
+    for text in ("xq" * 100_000, "-" * 200_000, " " * 100_000 + "x"):
+        assert ids_of(tables, [text]) == [known.encode_ordinary(text)]
+
+
+def test_forgetting_changes_nothing(vocabulary, monkeypatch):
+    tables, known = vocabulary
+    monkeypatch.setattr(byte_bpe, "KNOWN_PIECES", 3)
+    texts = [f"word{i} other words of number {i * i}" for i in range(50)]
+    assert ids_of({**tables, "pairs": {}, "pieces": byte_bpe.Pieces(tables)}, texts) == [known.encode_ordinary(t) for t in texts]
+
+
+def test_query_equals_tiktoken(spark):
+    ranks = byte_bpe.read_ranks(public_tokenizers.path(FILES[0]))
+    known = tiktoken.Encoding("known", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet'").fetchall()
+    expected = {}
+    for key, text in rows:
+        ids = known.encode_ordinary(text or "")
+        sha = [hashlib.sha256(data).hexdigest() for data in (" ".join(map(str, ids)).encode(), (text or "").encode())]
+        expected[key] = (len(ids), *sha)
+    found = QUERIES["op12_byte_bpe"](spark, SMALL).collect()
+    assert {row[0]: tuple(row[1:]) for row in found} == expected and len(found) == len(rows)
+
+
+def test_odd_rows(spark):
+    path = public_tokenizers.path(FILES[0])
+    rows = [("a", None, 1, "r"), (None, "null id", 1, "r"), ("b", "", 1, "r"), ("c", "twice", 1, "r"), ("c", "twice", 1, "r")]
+    frame = spark.createDataFrame(rows, "doc_id string, text string, ids int, row string")
+    encoded = byte_bpe.encode(frame, path, carry=frame.columns)
+    decoded = byte_bpe.decode(encoded, path).collect()
+    assert len(decoded) == 5
+    assert all(bytes(row["data"]).decode() == (row["row"]["text"] or "") for row in decoded)
+    assert byte_bpe.encode(frame.filter("false"), path).count() == 0
+    assert byte_bpe.encode(frame, path, carry=()).count() == 5
+    unknown = spark.createDataFrame([(1, [10**6])], "id long, ids array<int>")
+    with pytest.raises(Exception, match="1000000"):
+        byte_bpe.decode(unknown, path).collect()
+    nothing = spark.createDataFrame([(1, None)], "id long, ids array<int>")
+    assert bytes(byte_bpe.decode(nothing, path).first()["data"]) == b""

@@ -30,7 +30,7 @@ def result(spark, name, sf=SMALL, key="doc_id"):
 def test_query_equals_sql(spark, name):
     mine, theirs = QUERIES[name](spark, MEDIUM).toPandas(), oracle_frame(MEDIUM, ORACLE[name])
     assert sorted(mine.columns) == sorted(theirs.columns)
-    assert canonical(mine) == canonical(theirs)
+    assert canonical(mine.convert_dtypes()) == canonical(theirs.convert_dtypes())
 
 
 PATTERNS = {
