@@ -10,7 +10,8 @@ never entered again, so the work is linear in the bytes, and the ids are those t
 sequence of tokens whose neighbours all stay apart is unique.
 
 The tables are built once on the driver, which reads the rank file, and travel as a broadcast whose size is that of
-the vocabulary. A worker also remembers the ids of up to ``KNOWN_PIECES`` short matches; this changes no result.
+the vocabulary. A worker also remembers the ids of the short matches that it met last, between ``KNOWN_PIECES`` and twice as
+many; this changes no result.
 
 Defined cases: null and empty texts have no ids; a text that is one match of any length is encoded
 like others; a match that is itself a token is that token, even if no merges lead to it; rows that repeat are encoded one by
@@ -35,7 +36,8 @@ from shopmart.llm.packing import PATTERN
 
 by_value(__name__)
 
-KNOWN_PIECES = 1 << 19
+KNOWN_PIECES = 1 << 18
+KNOWN_PAIRS = 1 << 18
 LONGEST_KNOWN = 64
 #: Texts are given back in batches of about so many characters.
 BATCH_CHARS = 1 << 21
@@ -80,7 +82,7 @@ def _merged(ranks: dict[bytes, int], piece: bytes) -> list[bytes]:
 def tables_of(ranks: dict[bytes, int]) -> dict:
     """Tokens by rank, the two parts of each, its longest shorter prefix, and the automaton.
 
-    A byte is its own first and second part. Tokens that no merge makes are left out of the automaton. A token made
+    A byte is its own first and second part. Bytes and tokens that no merge makes are left out of the automaton. A token made
     from parts of higher ranks is an error: undoing merges by rank would not be undoing them by time.
     """
     import ahocorasick
@@ -107,11 +109,14 @@ def tables_of(ranks: dict[bytes, int]) -> dict:
             raise ValueError(f"token {rank} is made from tokens of higher ranks")
     for rank in firsts:
         token = tokens[rank]
-        automaton.add_word(token.decode("latin-1"), (rank, len(token)))
+        if len(token) > 1:
+            automaton.add_word(token.decode("latin-1"), (rank, len(token)))
         prefixes = (ranks.get(token[:size]) for size in range(len(token) - 1, 0, -1))
         shorter[rank] = next((prefix for prefix in prefixes if prefix in firsts), None)
     automaton.make_automaton()
-    return tables | {"automaton": automaton}
+    single = [ranks[bytes([byte])] for byte in range(256)]
+    sizes = {rank: len(token) for rank, token in tokens.items()}
+    return tables | {"automaton": automaton, "bytes": single, "sizes": sizes}
 
 
 def encode_piece(tables: dict, piece: bytes) -> list[int]:
@@ -119,52 +124,58 @@ def encode_piece(tables: dict, piece: bytes) -> list[int]:
     whole = tables["ranks"].get(piece)
     if whole is not None:
         return [whole]
-    tokens, shorter, pairs = tables["tokens"], tables["shorter"], tables["pairs"]
-    size = len(piece)
-    longest = [0] * size
+    sizes, shorter, pairs = tables["sizes"], tables["shorter"], tables["pairs"]
+    longest = list(map(tables["bytes"].__getitem__, piece))
     for end, (token, length) in tables["automaton"].iter(piece.decode("latin-1")):
         longest[end + 1 - length] = token  # ends only grow, so the last one seen at a place is the longest
+    size = len(piece)
     left_once = bytearray(size + 1)
     ids: list[int] = []
-    at, token = 0, longest[0]
+    at, token, before = 0, longest[0], None
     while at < size:
         while token is not None:
-            end = at + len(tokens[token])
+            end = at + sizes[token]
             if not left_once[end]:
-                if not ids:
+                if before is None:
                     break
-                pair = ids[-1], token
-                fits = pairs.get(pair)
-                if fits is None:
-                    if len(pairs) >= KNOWN_PIECES:
+                pair = before << 32 | token
+                if pair not in pairs:
+                    if len(pairs) >= KNOWN_PAIRS:
                         pairs.clear()
-                    fits = pairs[pair] = apart(tables, *pair)
-                if fits:
+                    pairs[pair] = apart(tables, before, token)
+                if pairs[pair]:
                     break
             token = shorter[token]
         if token is None:  # no token fits here: give the one before up for a shorter one
             left_once[at] = 1
             token = ids.pop()
-            at -= len(tokens[token])
+            at -= sizes[token]
+            before = ids[-1] if ids else None
         else:
             ids.append(token)
-            at = end
+            before, at = token, end
             token = longest[at] if at < size else None
     return ids
 
 
 class Pieces(dict):
-    """Ids of matches as little-endian 32-bit bytes, computed when asked for and remembered."""
+    """Ids of matches as little-endian 32-bit bytes, computed when asked for and remembered.
+
+    When the dictionary is full, what it holds becomes the older half of what is known.
+    """
 
     def __init__(self, tables: dict) -> None:
         super().__init__()
-        self.tables = tables
+        self.tables, self.older = tables, {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = encode_piece(self.tables, piece.encode("utf-8"))
-        data = struct.pack(f"<{len(ids)}i", *ids)
+        data = self.older.get(piece)
+        if data is None:
+            ids = encode_piece(self.tables, piece.encode("utf-8"))
+            data = struct.pack(f"<{len(ids)}i", *ids)
         if len(piece) <= LONGEST_KNOWN:
             if len(self) >= KNOWN_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = data
         return data
@@ -232,8 +243,9 @@ def decode(encoded: DataFrame, vocabulary: str, *, ids: str = "ids", to: str = "
             sizes = pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False)
             for start, stop in _slices(sizes):
                 part = batch.slice(start, stop - start)
-                get = tokens.value.__getitem__
-                data = [b"".join(map(get, row or ())) for row in part.column(names.index(ids)).to_pylist()]
+                parts = list(map(tokens.value.__getitem__, part.column(names.index(ids)).flatten().to_numpy().tolist()))
+                edges = np.concatenate([[0], np.cumsum(sizes[start:stop])]).tolist()
+                data = [b"".join(parts[first:last]) for first, last in zip(edges, edges[1:])]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(data, pa.binary())], [*names, to])
 
     return rows.mapInArrow(run, schema)
