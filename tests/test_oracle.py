@@ -1,5 +1,6 @@
 """Every registered query against its SQL, and the driver contract."""
 
+import shutil
 import subprocess
 import sys
 from pathlib import Path
@@ -86,3 +87,22 @@ def test_stand_in_model_travels_by_value():
         [sys.executable, "-c", code], input=cloudpickle.dumps(digest_model(("x",))), cwd="/", capture_output=True
     )
     assert b"('a', 'x')" in done.stdout, done.stderr
+
+
+@pytest.mark.parametrize("left", [(), ("corpus_pipeline.py",), ("corpus_pipeline.py", "shopmart/llm/__pycache__/x.pyc")])
+def test_contract_without_the_text_operators(tmp_path, left):
+    """The other queries import and run when the folder is gone, whether its pipeline or empty folders stay or not."""
+    root = Path(contract.__file__).parent
+    ignored = shutil.ignore_patterns("llm", "__pycache__", ".git", "tests", "corpus_pipeline.py")
+    shutil.copytree(root, tmp_path / "repo", ignore=ignored)
+    for name in left:
+        place = tmp_path / "repo" / name
+        place.parent.mkdir(parents=True, exist_ok=True)
+        place.write_bytes((root / name).read_bytes() if (root / name).exists() else b"")
+    code = (
+        "import __spark_entry__ as e; from shopmart.session import build_session;"
+        "names = set(e.queries()); assert names and not [n for n in names if n.startswith('op') or n == 'pipeline'];"
+        f"assert names == set(e.oracle_sql()); print(e.entry(build_session('t', 'local[2]')).count() if {not left} else 5)"
+    )
+    done = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path / "repo", capture_output=True, text=True)
+    assert done.stdout.split()[-1:] == ["5"], done.stderr[-2000:]
