@@ -29,7 +29,7 @@ def unlike_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per copy that the mix takes; the document at a source's cut comes with its first words only."""
+    """A row per copy that the mix takes, of whole documents."""
     return mixing.mixed_documents(docs)
 
 

@@ -21,8 +21,10 @@ full sets of 64-bit shingle hashes. First each node's best few candidates are co
 nearly every group together; then all candidates that still lead from one component to another.
 
 Defined cases: null, empty and blank texts have no shingles and link with nothing; a text with fewer
-words than a shingle has its whole sequence as one shingle; rows that repeat an id count as one
-document; a row without an id belongs only with documents of the same shingle set; an empty table gives no rows.
+words than a shingle has its whole sequence as one shingle; texts of any length are read whole; rows that repeat id and
+text count as one document, so all of them stay or go; rows that share an id but not the text are documents of their own, and so
+are rows without an id: their sets are nodes named by a hash instead of an id, and a component is named by the
+smallest id in it, or null if it has none; identifiers are whole numbers; other columns may have any names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -99,7 +101,7 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketches(documents: DataFrame, width: int) -> DataFrame:
-    """``id``, ``n`` (set size), ``ha`` and ``hb`` (128 bits that stand for the set) and ``sig`` of each document."""
+    """``id``, ``mark``, ``n`` (set size), ``ha`` and ``hb`` (128 bits that stand for the set) and ``sig`` of each document."""
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -109,13 +111,21 @@ def sketches(documents: DataFrame, width: int) -> DataFrame:
                 full = [s for s in sets if len(s)]
                 rows = iter(_signatures(full)) if full else iter(())
                 for s in sets:
+                    ha, hb = _set_digest(s)
                     sizes.append(len(s))
-                    first.append(int(mixed(s).sum(dtype=np.uint64).view(np.int64)))
-                    second.append(int(mixed(s + np.uint64(0xABCDEF)).sum(dtype=np.uint64).view(np.int64)))
+                    first.append(ha)
+                    second.append(hb)
                     signs.append(next(rows).tobytes() if len(s) else None)
-            yield pd.DataFrame({"id": batch["id"], "n": sizes, "ha": first, "hb": second, "sig": signs})
+            named = {"id": batch["id"], "mark": batch["mark"]}
+            yield pd.DataFrame({**named, "n": sizes, "ha": first, "hb": second, "sig": signs})
 
-    return documents.mapInPandas(sketch, "id long, n long, ha long, hb long, sig binary")
+    return documents.mapInPandas(sketch, "id long, mark string, n long, ha long, hb long, sig binary")
+
+
+def _set_digest(shingles: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit sums over a set."""
+    first = mixed(shingles).sum(dtype=np.uint64).view(np.int64)
+    return int(first), int(mixed(shingles + np.uint64(0xABCDEF)).sum(dtype=np.uint64).view(np.int64))
 
 
 def _tree_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -349,23 +359,76 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _full_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+def _hashed(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        done = 0
+        for group in _text_groups(batch["text"].tolist()):
+            sets = _shingles(group, width)
+            digests = np.array([(len(s), *_set_digest(s)) for s in sets], np.int64).reshape(-1, 3)
+            ids = batch["id"].iloc[done : done + len(group)].to_numpy()
+            yield pd.DataFrame(
+                {"id": ids, **dict(zip(SAME_SET, digests.T)), "grams": [s.view(np.int64) for s in sets]}
+            )
+            done += len(group)
+
+
+def _full_sets(texts: DataFrame, wanted: DataFrame, unclear: DataFrame | None, width: int) -> DataFrame:
     """The shingle sets of the wanted nodes."""
 
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            done = 0
-            for group in _text_groups(batch["text"].tolist()):
-                sets = [s.view(np.int64) for s in _shingles(group, width)]
-                yield pd.DataFrame({"id": batch["id"].iloc[done : done + len(group)].to_numpy(), "grams": sets})
-                done += len(group)
+    def hashed(picked: DataFrame) -> DataFrame:
+        schema = "id long, n long, ha long, hb long, grams array<long>"
+        return picked.mapInPandas(lambda batches: _hashed(batches, width), schema)
 
     few = wanted.count() <= BROADCAST_IDS
-    picked = texts.join(F.broadcast(wanted) if few else wanted, "id", "left_semi")
-    sets = picked.mapInPandas(hashed, "id long, grams array<long>")
+    wanted = F.broadcast(wanted) if few else wanted
+    sets = hashed(_others(texts, unclear).join(wanted, "id", "left_semi")).select("id", "grams")
+    if unclear is not None:
+        odd = hashed(_those(texts, unclear)).select(_hash_name().alias("id"), "grams")
+        sets = sets.unionAll(odd.join(wanted, "id", "left_semi"))
     return store(sets.groupBy("id").agg(F.max("grams").alias("grams")), "full-sets")
 
 
+SAME_SET = ["n", "ha", "hb"]
+
+
+def _hash_name() -> Column:
+    """The name of a set that no id stands for alone."""
+    return F.xxhash64(*SAME_SET)
+
+
+def _unclear_ids(filled: DataFrame) -> DataFrame | None:
+    """Ids that do not name one set: of rows with different sets, or null. None if all ids do."""
+    smallest = filled.groupBy(*SAME_SET).agg(F.min("id").alias("id"))
+    unclear = store(smallest.groupBy("id").count().filter("count > 1 OR id IS NULL").select(F.col("id").alias("unclear")), "unclear-ids")
+    found = unclear.count()
+    if not found:
+        discard(unclear)
+        return None
+    return F.broadcast(unclear) if found <= BROADCAST_IDS else unclear
+
+
+def _those(rows: DataFrame, unclear: DataFrame) -> DataFrame:
+    return rows.join(unclear, F.col("id").eqNullSafe(F.col("unclear")), "left_semi")
+
+
+def _others(rows: DataFrame, unclear: DataFrame | None) -> DataFrame:
+    return rows if unclear is None else rows.join(unclear, F.col("id").eqNullSafe(F.col("unclear")), "left_anti")
+
+
+def _with_node(sets: DataFrame, unclear: DataFrame | None) -> DataFrame:
+    """Sets with the name of their node: the smallest id, or a hash where that is no name."""
+    named = _others(sets, unclear).withColumn("node", F.col("id"))
+    return named if unclear is None else named.unionAll(_those(sets, unclear).withColumn("node", _hash_name()))
+
+
+def _by_smallest_id(sets: DataFrame, unclear: DataFrame) -> DataFrame:
+    """Sets whose component is named by its smallest id where a hash took part."""
+    opened = _those(sets, unclear).select("component").distinct()
+    names = sets.join(opened, "component").groupBy("component").agg(F.min("id").alias("name"), F.lit(True).alias("renamed"))
+    renamed = sets.join(names, "component", "left")
+    return renamed.withColumn("component", F.when(F.col("renamed"), F.col("name")).otherwise(F.col("component")))
+
+
 def _named(links: DataFrame, labels: DataFrame) -> DataFrame:
     """Links with the components ``of_a`` and ``of_b`` of their ends."""
     of = {end: labels.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}")) for end in ("a", "b")}
@@ -397,19 +460,27 @@ def near_duplicates(
     text: str = "text",
     width: int = SHINGLE_WORDS,
     percent: int = PERCENT,
+    mark: Column | None = None,
 ) -> DataFrame:
-    """One row per document: ``id``, ``n_shingles``, ``component`` (smallest id reachable by links) and ``kept``."""
+    """One row per document: ``id``, ``n_shingles``, ``component`` (smallest id reachable by links) and ``kept``.
+
+    ``mark`` is a text of each row that is given back as ``mark``.
+    """
     texts = documents.select(
-        F.col(identifier).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
+        F.col(identifier).cast("long").alias("id"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
+        (F.lit(None) if mark is None else mark).cast("string").alias("mark"),
     )
     sketched = store(sketches(texts, width), "sketches")
-    same_set = ["n", "ha", "hb"]
+    texts = texts.select("id", "text")
     filled = sketched.filter("n > 0")
-    nodes = filled.groupBy(*same_set).agg(F.min("id").alias("id"), F.max("sig").alias("sig")).filter("id IS NOT NULL")
-    pairs, members = candidates(nodes, percent)
+    unclear = _unclear_ids(filled)
+    sets_of = filled.groupBy(*SAME_SET)
+    nodes = _with_node(sets_of.agg(F.min("id").alias("id"), F.max("sig").alias("sig")), unclear)
+    pairs, members = candidates(nodes.select(F.col("node").alias("id"), "n", "sig"), percent)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     wanted = store(ends.unionAll(members.select("id")).distinct(), "candidate-ids")
-    sets = _full_sets(texts, wanted, width)
+    sets = _full_sets(texts, wanted, unclear, width)
 
     labels = components(_confirmed(_best_of_each(pairs), sets, percent))
     labels = _bridged(_confirmed(_crossing(pairs, labels), sets, percent), labels)
@@ -417,21 +488,34 @@ def near_duplicates(
         labels = _bridged(stray_links(members, labels, sets, percent), labels)
     discard(pairs, members, wanted, sets)
 
-    sets_of = filled.groupBy(*same_set).agg(F.min("id").alias("node")).join(labels, "node", "left")
-    named = sets_of.select(*same_set, F.coalesce("component", "node").alias("component"))
-    linked = filled.select("id", *same_set).join(named, same_set, "left").select("id", "n", "component")
-    alone = sketched.filter("n = 0").select("id", "n", F.col("id").alias("component"))
-    every = linked.unionAll(alone)
-    return every.select("id", F.col("n").alias("n_shingles"), "component", _same("id", "component").alias("kept"))
+    named = _with_node(sets_of.agg(F.min("id").alias("id")), unclear).join(labels, "node", "left")
+    named = named.select("id", *SAME_SET, F.coalesce("component", "node").alias("component"))
+    if unclear is not None:
+        named = _by_smallest_id(store(named, "named-sets"), unclear)
+    linked = filled.select("id", "mark", *SAME_SET).join(named.select(*SAME_SET, "component"), SAME_SET, "left")
+    alone = sketched.filter("n = 0").select("id", "mark", "n", F.col("id").alias("component"))
+    every = linked.select("id", "mark", "n", "component").unionAll(alone)
+    return every.select(
+        "id",
+        F.col("n").alias("n_shingles"),
+        "component",
+        _same("id", "component").alias("kept"),
+        *([] if mark is None else ["mark"]),
+    )
 
 
 def _same(left: str, right: str) -> Column:
     return F.col(left).eqNullSafe(F.col(right))
 
 
-def one_of_each(documents: DataFrame, *, identifier: str = "doc_id", **options) -> DataFrame:
-    """The documents without those that repeat another one's content nearly."""
-    found = near_duplicates(documents, identifier=identifier, **options)
-    dropped = store(found.filter("NOT kept").select(F.col("id").alias(identifier)).distinct(), "near-copies")
+def one_of_each(documents: DataFrame, *, identifier: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents without those that repeat another one's content nearly; a verdict holds for rows of one id and text."""
+    mark = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    found = near_duplicates(documents, identifier=identifier, text=text, mark=mark, **options)
+    dropped = store(found.filter("NOT kept").select("id", "mark").distinct(), "near-copies")
     few = dropped.count() <= BROADCAST_IDS
-    return documents.join(F.broadcast(dropped) if few else dropped, identifier, "left_anti")
+    at = {name: f"_{place}" for place, name in enumerate(documents.columns)}  # no names of ours among the columns
+    kept = documents.toDF(*at.values())
+    mark = F.md5(F.coalesce(F.col(at[text]), F.lit("")).cast("binary"))
+    same = F.col(at[identifier]).cast("long").eqNullSafe(F.col("id")) & (mark == F.col("mark"))
+    return kept.join(F.broadcast(dropped) if few else dropped, same, "left_anti").toDF(*documents.columns)

@@ -13,7 +13,8 @@ rerouting allows before a second one is opened, and so on (:func:`route`).
 The flow says how many words each pattern gives. Every document of the pattern gives as many whole
 copies as fit, and the rest comes from documents in a seeded order up to a cut, found by
 :func:`selection_cuts` from sums per digit of the order key; no pattern is ever sorted or gathered in
-one task. The document at the cut gives its first words only, so that a pattern gives exactly its flow.
+one task. In the table of words taken the document at the cut gives a part of its words, so that a pattern gives exactly
+its flow; the mix itself has whole documents only, and that one is in if at least half of it is taken.
 
 Defined cases: null or empty text has 0 words and gives 0; a document without sources gives 0;
 rows that share id and seed share their place in the order, and a tie at the cut shares the words
@@ -255,16 +256,11 @@ def mix(
 
 
 def mixed_documents(documents: DataFrame, *, text: str = "text", **options) -> DataFrame:
-    """The mix itself: a row per copy, the document at a cut with its first words only, columns as in ``documents``."""
-    copies = (
-        mix(documents, text=text, **options)
-        .filter("taken > 0")
-        .select("row", "size", "taken", F.explode(F.expr("sequence(0L, (taken - 1) div size)")).alias("copy"))
-        .select("row", "size", F.expr("least(size, taken - copy * size)").alias("words"))
-    )
-    first_words = F.expr(
-        r"regexp_extract(row.`%s`, concat(r'^(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){', words, '}+'), 0)" % text
-    )
-    whole = {name: F.col("row").getField(name) for name in documents.columns}
-    whole[text] = F.when(F.col("words") < F.col("size"), first_words).otherwise(whole[text])
-    return copies.select(*[value.alias(name) for name, value in whole.items()])
+    """The mix itself: a row per copy, columns as in ``documents``.
+
+    Documents come whole: the one at a source's cut is in if at least half of its words are taken.
+    """
+    copies = F.expr("(2 * taken + size) div (2 * size)")
+    mixed = mix(documents, text=text, **options).filter("2 * taken >= size AND size > 0")
+    rows = mixed.select("row", F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("copy"))
+    return rows.select(*[F.col("row").getField(name).alias(name) for name in documents.columns])

@@ -95,7 +95,7 @@ def test_defined_results(odd):
     assert copies[2, True]["group_size"] == 2  # null counts as empty
     near = {r["id"]: r for r in lsh_forest.near_duplicates(odd).collect()}
     assert [near[d]["n_shingles"] for d in (1, 2, 3, 4)] == [0, 0, 0, 1]
-    assert near[7]["component"] == 6 and near[None]["component"] is None and near[1]["component"] == 1
+    assert near[7]["component"] == 6 and near[None]["component"] == 6 and near[1]["component"] == 1
     taken = {r["row"]["doc_id"]: r for r in mixing.mix(odd).collect()}
     assert taken[1]["taken"] == 0 and taken[5]["size"] == 30_000
     packed = packing.pack(odd, vocabulary())

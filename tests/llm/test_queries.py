@@ -384,8 +384,8 @@ def test_overlapping_sources(spark):
     mixed = mixing.mix(frame, sources=F.col("tags"))
     total = mixed.agg(F.sum("taken"), F.sum("size"), F.max(F.col("taken") / F.col("size"))).first()
     assert abs(total[0] - 1.5 * total[1]) <= 2 and total[2] <= 2
-    repeated = mixing.mixed_documents(frame, sources=F.col("tags"))
-    assert repeated.select(F.sum(F.size(F.split("text", " ")))).first()[0] == total[0]
+    repeated = mixing.mixed_documents(frame, sources=F.col("tags")).select(F.sum(F.size(F.split("text", " "))))
+    assert abs(repeated.first()[0] - total[0]) <= 2 * 7  # whole documents: one of up to seven words at each cut
 
 
 def test_pipeline_equals_plain_stages(spark):
@@ -406,5 +406,10 @@ def test_pipeline_equals_plain_stages(spark):
     components = _components([(r["doc_id"], r["text"]) for r in second.collect()], 5)[1]
     assert sorted(r["doc_id"] for r in third.collect()) == sorted(set(components.values()))
     fourth = store(corpus_pipeline.mixed_documents(spark, third, SMALL), "t")
-    words = [sum(len(WORD.findall(r["text"])) for r in frame.collect()) for frame in (third, fourth)]
-    assert abs(words[1] - 1.5 * words[0]) <= 30
+    texts, sizes = {r["doc_id"]: r["text"] for r in third.collect()}, {}
+    assert all(r["text"] == texts[r["doc_id"]] for r in fourth.collect())  # whole documents
+    for frame, share in ((third, -1.5), (fourth, 1)):
+        for row in frame.collect():
+            sizes.setdefault(row["source"], []).append(share * len(WORD.findall(row["text"])))
+    longest = sum(max(map(abs, own)) for own in sizes.values())
+    assert abs(sum(map(sum, sizes.values()))) <= longest  # at most one document a source too many or too few

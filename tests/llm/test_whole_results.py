@@ -5,7 +5,7 @@ import json
 import numpy as np
 import pytest
 
-from shopmart.llm import licenses, lsh_forest, pii, quality_rules
+from shopmart.llm import licenses, lsh_forest, mixing, pii, quality_rules
 from shopmart.llm.wrapper import Wrapper, extract, induce
 
 
@@ -78,3 +78,64 @@ def test_wrapped_and_joined_notices(spark):
     families = {r["id"]: r["families"] for r in found}
     assert [families[i] for i in (1, 2, 3, 5, 6)] == ["GPL", "BSD", "Apache-2.0,MIT", "", "GPL"]
     assert families[4] == "proprietary" and families[7] == "Apache-2.0,MIT"
+
+
+def _story(seed, words=60):
+    draw = np.random.default_rng(seed)
+    return [f"w{number}" for number in draw.integers(0, 10_000, words)]
+
+
+def test_one_of_each_judges_rows_not_ids(spark):
+    """An id that two texts share, copies without an id, and a near copy that only such rows tie together."""
+    first, other = _story(1), _story(2)
+    near = [*first[:-1], "end"]
+    nearer = ["start", *near[1:]]
+    rows = [(1, first), (2, near), (2, other), (None, first), (None, other[::-1]), (3, _story(3)), (3, _story(3)), (None, nearer)]
+    texts = [(key, " ".join(words), "x", 1) for key, words in rows] + [(5, "", "x", 1), (5, None, "x", 1)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string, mark string, id int")
+    kept = lsh_forest.one_of_each(frame)
+    assert kept.columns == frame.columns
+    found = sorted(((row["doc_id"], row["text"]) for row in kept.collect()), key=repr)
+    wanted = [texts[place][:2] for place in (0, 2, 4, 5, 6, 8, 9)]
+    assert found == sorted(wanted, key=repr)
+    named = {(row["id"], row["n_shingles"], row["component"]) for row in lsh_forest.near_duplicates(frame).collect()}
+    assert (2, 56, 1) in named and (2, 56, 2) in named and (None, 56, 1) in named and (None, 56, None) in named
+
+
+@pytest.mark.parametrize("broadcast", [500_000, -1])
+def test_components_of_shared_ids_equal_all_pairs(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(lsh_forest, "BROADCAST_IDS", broadcast)
+    draw = np.random.default_rng(9)
+    rows = []
+    for group in range(30):
+        words = _story(100 + group, 50)
+        for _ in range(int(draw.integers(1, 5))):
+            copy = list(words)
+            copy[int(draw.integers(0, 50))] = "changed"
+            rows.append((int(draw.integers(0, 25)) if draw.random() > 0.2 else None, " ".join(copy)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [frozenset(tuple(t.split()[i : i + 5]) for i in range(46)) for _, t in rows]
+    group_of = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and group_of[a] != group_of[b]:
+                group_of = [group_of[b] if g == group_of[a] else g for g in group_of]
+    smallest = {g: min((rows[i][0] for i in range(len(rows)) if group_of[i] == g and rows[i][0] is not None), default=None) for g in group_of}
+    expected = sorted(((rows[i][0], smallest[group_of[i]]) for i in range(len(rows))), key=repr)
+    found = lsh_forest.near_duplicates(frame)
+    assert sorted(((r["id"], r["component"]) for r in found.collect()), key=repr) == expected
+
+
+def test_the_mix_takes_whole_documents(spark):
+    rows = [(i, f"document {i} " + "word " * (i % 37), "abc"[i % 3], 1) for i in range(200)] + [(900, None, "a", 1), (901, "", None, 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")
+    texts = {key: text for key, text, *_ in rows}
+    mixed = mixing.mixed_documents(frame)
+    assert mixed.columns == frame.columns
+    taken = {}
+    for row in mixed.collect():
+        assert row["text"] == texts[row["doc_id"]]
+        taken[row["source"]] = taken.get(row["source"], 0) + len(row["text"].split())
+    longest = 40
+    for row in mixing.mix(frame).select("row.source", "target").distinct().collect():
+        assert abs(taken.get(row["source"], 0) - row["target"]) <= longest
