@@ -242,9 +242,8 @@ def test_main_text(spark):
 
 def test_wrapper_drops_template_text():
     """Text that all pages of a host share goes, even inside the main region; named regions go as well."""
-    from shopmart.llm.wrapper import Wrapper, extract, induce
-    import json
-
+    from shopmart.llm.wrapper import extract, induce
+    
     def page(n):
         return (
             f"<div class='top'>Site name</div><div id=page><p>Story {n} begins here and goes on for long.</p>"
@@ -252,7 +251,7 @@ def test_wrapper_drops_template_text():
             f"<div class='sidebar'>Other {n}</div>"
         )
 
-    wrapper = Wrapper(json.loads(induce([page(n) for n in range(6)])))
+    wrapper = induce([page(n) for n in range(6)])
     assert extract(page(9), wrapper) == "Story 9 begins here and goes on for long. It ends with 63."
 
 

@@ -1,12 +1,11 @@
 """Inputs on which an earlier form of an operator lost rows, text or verdicts."""
 
-import json
 
 import numpy as np
 import pytest
 
 from shopmart.llm import licenses, lsh_forest, mixing, pii, quality_rules
-from shopmart.llm.wrapper import Wrapper, extract, induce
+from shopmart.llm.wrapper import extract, induce
 
 
 def test_template_text_keeps_varying_kids():
@@ -19,7 +18,7 @@ def test_template_text_keeps_varying_kids():
             f"<div>Read on<p>It ends with {n * 7}.</p></div><p>Share <b>this</b></p></article>"
         )
 
-    wrapper = Wrapper(json.loads(induce([page(n) for n in range(6)])))
+    wrapper = induce([page(n) for n in range(6)])
     wanted = "9: The storm Jane Doe 9 Story 9 begins here and goes on for long. 9.50 It ends with 63."
     assert extract(page(9), wrapper) == wanted
 
