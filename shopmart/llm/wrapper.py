@@ -53,8 +53,12 @@ MAIN_SHARE = 0.8
 MAX_DEPTH = 40
 FAN = 32
 CELLS = 40_000
+#: Up to so many bytes of templates or wrappers are broadcast; beyond, parts of about so many pages of a host meet its own.
+BROADCAST_BYTES, PART_PAGES = 32 << 20, 500
 #: A template keeps at most so many slots, those of the most pages; rarer ones could not hold template text.
 MAX_SLOTS = 20_000
+#: Alignments that a task remembers for a host.
+KNOWN_FORMS = 1000
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp noembed noframes plaintext".split())
@@ -79,10 +83,10 @@ NEUTRAL_WORDS = set(
 )
 NAMED_ROLES = set("navigation banner contentinfo complementary search form menu dialog alert".split())
 
+_PLAIN_TAG = re.compile("<(/?)([a-zA-Z][^\\s/<>\"']*)([^\"'<>]*)>")
 _TAG_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _QUOTE_OR_END = re.compile("[\"'>]")
-_SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
 _PARTS = re.compile(r"[a-z]+")
 _ENDED_BY_ITSELF = ("li", "dt", "dd", "tr", "td", "th", "option")
@@ -124,6 +128,9 @@ class _Reader:
         self.blocks = [0]  # places of open nodes that are not inline
         self.places: dict[str, list[int]] = {}  # places of open nodes by tag
         self.quotes = True
+        self.chars = self.articles = 0  # of text, and elements, read so far
+        self.before: dict[int, tuple[int, int]] = {}  # what was read when an open node named by a word began
+        self.by_word: list[tuple[Node, int, int]] = []  # closed ones with the text and articles they hold
 
     def tag_end(self, at: int) -> int:
         """Where a tag that starts before ``at`` ends: the next > outside of quotes, if there is one."""
@@ -143,10 +150,18 @@ class _Reader:
     def cut(self, place: int) -> None:
         """Close all nodes from a place on."""
         while len(self.open) > place:
-            self.places[self.open.pop().tag].pop()
+            node = self.open.pop()
+            self.places[node.tag].pop()
+            if node.by_word:
+                self._weigh(node)
         while self.blocks[-1] >= place:
             self.blocks.pop()
 
+    def _weigh(self, node: Node) -> None:
+        """A class or id does not name a region that holds most of the text; see :meth:`read` for articles elsewhere."""
+        chars, articles = self.before.pop(id(node))
+        self.by_word.append((node, self.chars - chars, self.articles - articles))
+
     def end(self, tag: str) -> None:
         at = self.places.get(tag)
         if at and (tag not in INLINE or at[-1] > self.blocks[-1]):
@@ -160,13 +175,21 @@ class _Reader:
                 self.cut(block)
         node = Node(tag, attributes)
         self.open[-1].kids.append(node)
-        if tag not in VOID and tag not in RAW and not attributes.endswith("/"):
+        opens = tag not in VOID and tag not in RAW and not attributes.endswith("/")
+        if opens:
+            if node.by_word:
+                self.before[id(node)] = self.chars, self.articles
             self.places.setdefault(tag, []).append(len(self.open))
             if tag not in INLINE:
                 self.blocks.append(len(self.open))
             self.open.append(node)
+        self.articles += tag in ("article", "main")
         return node
 
+    def text(self, text: str) -> None:
+        self.open[-1].kids.append(text)
+        self.chars += len(text.strip())
+
     def read(self) -> Node:
         html, at, end = self.html, 0, len(self.html)
         last_close = html.rfind(">")
@@ -175,10 +198,14 @@ class _Reader:
             if start < 0:
                 start = end
             if start > at:
-                self.open[-1].kids.append(html[at:start])
+                self.text(html[at:start])
             at = start
             if start == end:
                 break
+            plain = _PLAIN_TAG.match(html, start)
+            if plain:
+                at = self.tag(*plain.groups(), plain.end())
+                continue
             if html.startswith("<!--", start):
                 stop = html.find("--", start + 4)
                 while 0 <= stop < end and not html.startswith((">", "!>"), stop + 2):
@@ -191,26 +218,33 @@ class _Reader:
             found = _TAG_NAME.match(html, start + 1)
             stop = self.tag_end(found.end()) if found and start < last_close else -1
             if stop < 0:  # a sign, not a tag
-                self.open[-1].kids.append("<")
+                self.text("<")
                 at = start + 1
-                continue
-            at, tag = stop + 1, found.group(2).lower()
-            if found.group(1):
-                self.end(tag)
-                continue
-            node = self.start(tag, html[found.end() : stop])
-            if tag in RAW:
-                close = re.compile(rf"</{tag}\b", re.I).search(html, at)
-                node.kids.append(html[at : close.start() if close else end])
-                at = end if not close else (html.find(">", close.end()) + 1 or end)
+            else:
+                at = self.tag(*found.groups(), html[found.end() : stop], stop + 1)
+        self.cut(1)
+        for node, chars, articles in self.by_word:
+            if 2 * chars > self.chars and articles == self.articles:
+                node.named = False
         return self.root
 
+    def tag(self, closing: str, tag: str, attributes: str, at: int) -> int:
+        """Take a tag that ends before ``at``; returns where to read on."""
+        tag = tag.lower()
+        if closing:
+            self.end(tag)
+            return at
+        node = self.start(tag, attributes)
+        if tag not in RAW:
+            return at
+        close = re.compile(rf"</{tag}\b", re.I).search(self.html, at)
+        node.kids.append(self.html[at : close.start() if close else None])
+        return len(self.html) if not close else (self.html.find(">", close.end()) + 1 or len(self.html))
+
 
 def parse(html: str) -> Node:
     """The tree of a page: kids are nodes and strings in page order."""
-    root = _Reader(html).read()
-    _settle_names(root)
-    return root
+    return _Reader(html).read()
 
 
 def _walk(root: Node) -> list[Node]:
@@ -223,23 +257,6 @@ def _walk(root: Node) -> list[Node]:
     return found
 
 
-def _settle_names(root: Node) -> None:
-    """A class or id does not name a region that holds most of the text, unless an article stands elsewhere."""
-    nodes = _walk(root)
-    if not any(node.by_word for node in nodes):
-        return
-    chars: dict[int, int] = {}
-    articles: dict[int, int] = {}
-    for node in reversed(nodes):
-        kids = [k for k in node.kids if not isinstance(k, str) and id(k) in chars]
-        own = sum(len(k.strip()) for k in node.kids if isinstance(k, str))
-        chars[id(node)] = own + sum(chars[id(k)] for k in kids)
-        articles[id(node)] = (node.tag in ("article", "main")) + sum(articles[id(k)] for k in kids)
-    for node in nodes:
-        if node.by_word and 2 * chars[id(node)] > chars[id(root)] and articles[id(node)] == articles[id(root)]:
-            node.named = False
-
-
 def text_of(node: Node, left_out: set[int] = frozenset()) -> str:
     """Text of a node in page order: blocks apart by one space, white space as one space; own strings of some nodes left out."""
     parts: list[str] = []
@@ -257,12 +274,12 @@ def text_of(node: Node, left_out: set[int] = frozenset()) -> str:
                 waiting.extend(" " if isinstance(k, str) else k for k in reversed(item.kids))
             else:
                 waiting.extend(reversed(item.kids))
-    return _SPACE.sub(" ", "".join(parts)).strip()
+    return " ".join("".join(parts).split())
 
 
 def _own_text(node: Node) -> str:
     own = "".join(k if isinstance(k, str) else " " for k in node.kids)
-    return _SPACE.sub(" ", unescape(own) if "&" in own else own).strip()
+    return " ".join((unescape(own) if "&" in own else own).split())
 
 
 class Slot:
@@ -448,15 +465,32 @@ def _with_pages(slot: Slot, least: int) -> Slot:
     return Slot(slot.label, [_with_pages(kid, least) for kid in slot.kids if kid.pages >= least], (), slot.pages)
 
 
-def aligned(tree: Slot, template: Slot) -> list[tuple[Slot, list[Node]]]:
-    """The slots that a folded page has, each with its nodes."""
-    matcher, found = Matcher(), []
-    waiting = [(template, tree)]
-    while waiting:
-        slot, own = waiting.pop()
-        found.append((slot, own.nodes))
-        waiting.extend(matcher.match(slot, own)[1])
-    return found
+class Template:
+    """The slots of a host by number, and the alignments of the shapes of pages met last."""
+
+    def __init__(self, root: Slot) -> None:
+        self.root, self.known = root, {}
+        _slots(root)
+
+    def align(self, tree: Slot) -> Iterator[tuple[int, list[Node]]]:
+        """The numbers of the slots that a folded page has, each with its nodes."""
+        own, form, waiting = [], [], [tree]
+        while waiting:
+            slot = waiting.pop()
+            own.append(slot)
+            form.append((slot.label, len(slot.kids)))
+            waiting.extend(reversed(slot.kids))
+        key = tuple(form)  # labels and numbers of kids, parents first, tell a tree
+        if key not in self.known:
+            if len(self.known) >= KNOWN_FORMS:
+                self.known.clear()
+            matcher, numbers, waiting = Matcher(), {}, [(self.root, tree)]
+            while waiting:
+                slot, mine = waiting.pop()
+                numbers[id(mine)] = slot.number
+                waiting.extend(matcher.match(slot, mine)[1])
+            self.known[key] = [(place, numbers[id(slot)]) for place, slot in enumerate(own) if id(slot) in numbers]
+        return ((number, own[place].nodes) for place, number in self.known[key])
 
 
 def text_key(text: str) -> int:
@@ -476,7 +510,7 @@ def slot_texts(tree: Slot) -> dict[int, int]:
     return found
 
 
-def page_texts(html: str, template: Slot, frequent: set[int]) -> Iterator[tuple[int, int | None, int | None, int]]:
+def page_texts(html: str, template: Template, frequent: set[int]) -> Iterator[tuple[int, int | None, int | None, int]]:
     """(slot, text, content, characters) of a page, and (slot, None, content, 1) for each slot it has.
 
     The content is null if too little of the page is its own; ``frequent`` are the texts on many pages of the host.
@@ -484,13 +518,13 @@ def page_texts(html: str, template: Slot, frequent: set[int]) -> Iterator[tuple[
     texts: dict[tuple[int, int], int] = {}
     lengths: dict[int, int] = {}
     slots = []
-    for slot, nodes in aligned(fold(parse(html)), template):
-        slots.append(slot.number)
+    for number, nodes in template.align(fold(parse(html))):
+        slots.append(number)
         for node in nodes:
             own = _own_text(node)
             if own:
                 key = text_key(own)
-                texts[slot.number, key] = texts.get((slot.number, key), 0) + len(own)
+                texts[number, key] = texts.get((number, key), 0) + len(own)
                 lengths[key] = len(own)
     rare = sorted((key for key in lengths if key not in frequent), key=lambda key: (-lengths[key], key))
     if sum(lengths[key] for key in rare) < OWN_SHARE * sum(lengths.values()):
@@ -508,8 +542,10 @@ class Wrapper:
     __slots__ = ("template", "constants", "weights")
 
     def __init__(self, template: Slot, constants: Iterable[tuple[int, int]], weights: dict[int, float]) -> None:
-        self.template, self.constants, self.weights = template, set(constants), weights
-        _slots(template)
+        self.template, self.weights = Template(template), weights
+        self.constants: dict[int, set[int]] = {}
+        for slot, text in constants:
+            self.constants.setdefault(slot, set()).add(text)
 
 
 def least_contents(of_slot: int, of_host: int) -> float:
@@ -528,8 +564,7 @@ def induce(pages: Iterable[str]) -> Wrapper:
     trees = [fold(parse(page)) for page in pages]
     known = Counter(key for tree in trees for key in slot_texts(tree))
     frequent = {key for key, number in known.items() if number >= frequent_on(len(pages))}
-    template = merged(trees)
-    _slots(template)
+    template = Template(merged(trees))
     seen: dict[tuple, set] = {}
     sizes: Counter = Counter()
     for page in pages:
@@ -542,7 +577,7 @@ def induce(pages: Iterable[str]) -> Wrapper:
             constants.add((slot, text))
         elif text is not None and of_host >= MIN_PAGES:
             chars[slot] += sizes[slot, text]
-    return Wrapper(template, constants, {slot: size / sizes[slot, None] for slot, size in chars.items()})
+    return Wrapper(template.root, constants, {slot: size / sizes[slot, None] for slot, size in chars.items()})
 
 
 def _main(tree: Node, weights: dict[int, float]) -> Node | None:
@@ -579,11 +614,11 @@ def extract(html: str, wrapper: Wrapper | None) -> str:
     main, left_out = None, set()
     if wrapper:
         weights = {}
-        for slot, nodes in aligned(fold(tree), wrapper.template):
+        for number, nodes in wrapper.template.align(fold(tree)):
             for node in nodes:
-                weights[id(node)] = wrapper.weights.get(slot.number, 0) / len(nodes)
-                if wrapper.constants and (slot.number, text_key(_own_text(node))) in wrapper.constants:
-                    left_out.add(id(node))
+                weights[id(node)] = wrapper.weights.get(number, 0) / len(nodes)
+            constants = wrapper.constants.get(number, ())
+            left_out.update(id(node) for node in nodes if constants and text_key(_own_text(node)) in constants)
         main = _main(tree, weights)
     return text_of(main or _named_main(tree), left_out)
 
@@ -604,23 +639,19 @@ def host_of(url: Column) -> Column:
 
 
 class _Held(dict):
-    """Templates or wrappers of the hosts that a task met last."""
+    """What a task has read for the hosts that it met last."""
 
-    def __init__(self, make: Callable[[str], object], most: int = 100) -> None:
-        super().__init__()
-        self.make, self.most = make, most
+    def of(self, host: str, read: Callable[[str], object], known: dict[str, str]) -> object:
+        if host not in self:
+            if len(self) >= 200:
+                self.clear()
+            self[host] = read(known[host])
+        return self[host]
 
-    def __missing__(self, text: str) -> object:
-        if len(self) >= self.most:
-            self.clear()
-        self[text] = self.make(text)
-        return self[text]
 
-
-def _numbered(text: str) -> Slot:
-    template = unpacked(json.loads(text))
-    _slots(template)
-    return template
+def _read_template(text: str) -> tuple[Template, set[int]]:
+    template, frequent = json.loads(text)
+    return Template(unpacked(template)), set(frequent)
 
 
 def _read_wrapper(text: str) -> Wrapper:
@@ -685,28 +716,49 @@ def templates(trees: DataFrame) -> DataFrame:
             discard(before)
 
 
-def _with_dimension(pages: DataFrame, known: DataFrame) -> DataFrame:
-    """Pages with what is known of their host, broadcast if its texts are few enough."""
-    size = known.agg(F.sum(sum(F.length(F.to_json(F.struct(name))) for name in known.columns))).first()[0] or 0
-    return dimension_join(pages, known, ["host"], dimension_bytes=size)
+def _page_by_page(pages: DataFrame, known: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """``work(pages, known)`` over batches of pages, with what is known of their hosts (host, known) by host.
+
+    Up to ``BROADCAST_BYTES`` (measured) all that is known is broadcast; beyond, parts of a host's pages meet it in a
+    shuffle, so that it travels once a part and not once a page.
+    """
+    size = known.agg(F.sum(F.octet_length("known") + F.octet_length("host"))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        shared = pages.sparkSession.sparkContext.broadcast({row["host"]: row["known"] for row in known.collect()})
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            held = _Held()
+            for batch in batches:
+                yield work(batch, held, shared.value)
+
+        return pages.mapInPandas(run, schema)
+
+    parts = pages.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / PART_PAGES).alias("parts"))
+    salted = dimension_join(pages, parts, ["host"]).withColumn("part", F.pmod(F.xxhash64(*pages.columns), "parts"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    # Both sides come from one table; new aliases keep their columns apart.
+    dealt = parts.join(known, "host").select(F.col("host").alias("host"), F.col("known").alias("known"), every)
+
+    def meet(batch: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        return work(batch, _Held(), dict(zip(own["host"], own["known"])))
+
+    return salted.groupBy("host", "part").cogroup(dealt.groupBy("host", "part")).applyInPandas(meet, schema)
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """One wrapper per host from all its pages; pages: host, html."""
+    """One wrapper per host from all its pages; pages: id, host, html."""
     trees, frequent = learned_pages(pages)
-    known = store(templates(trees).select("host", "tree").join(frequent, "host", "left"), "templates")
-
-    def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = _Held(_numbered)
-        for batch in batches:
-            seen: dict[tuple, int] = {}
-            for host, html, tree, often in batch[["host", "html", "tree", "texts"]].itertuples(index=False):
-                if html:
-                    few = set() if often is None else set(often.tolist())
-                    for slot, text, content, chars in page_texts(html, held[tree], few):
-                        key = host, slot, text, content
-                        seen[key] = seen.get(key, 0) + chars
-            yield _rows(seen, ["host", "slot", "text", "content", "chars"])
+    often = F.coalesce(F.col("texts"), F.array().cast("array<long>"))
+    listing = F.concat(F.lit("["), "tree", F.lit(", "), F.to_json(often), F.lit("]")).alias("known")
+    known = store(templates(trees).join(frequent, "host", "left").select("host", "tree", listing), "templates")
+
+    def texts(batch: pd.DataFrame, held: _Held, of_hosts: dict[str, str]) -> pd.DataFrame:
+        seen: dict[tuple, int] = {}
+        for host, html in zip(batch["host"], batch["html"], strict=True):
+            for slot, text, content, chars in page_texts(html, *held.of(host, _read_template, of_hosts)):
+                key = host, slot, text, content
+                seen[key] = seen.get(key, 0) + chars
+        return _rows(seen, ["host", "slot", "text", "content", "chars"])
 
     def listed(group: pd.DataFrame) -> pd.DataFrame:
         constants = group[group["text"].notna()]
@@ -716,10 +768,14 @@ def wrappers(pages: DataFrame) -> DataFrame:
             sorted(zip(constants["slot"].tolist(), map(int, constants["text"].tolist()))),
             sorted(zip(weights["slot"].tolist(), weights["weight"].tolist())),
         ]
-        return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [json.dumps(value)]})
+        return pd.DataFrame({"host": [group["host"].iloc[0]], "known": [json.dumps(value)]})
 
-    met = _with_dimension(pages, known).select("host", "html", "tree", "texts")
-    each = met.mapInPandas(texts, "host string, slot int, text long, content long, chars long")
+    each = _page_by_page(
+        pages.filter("html <> ''"),
+        known.select("host", "known"),
+        texts,
+        "host string, slot int, text long, content long, chars long",
+    )
     contents = each.groupBy("host", "slot", "text", "content").agg(F.sum("chars").alias("chars"))
     counted = store(
         contents.groupBy("host", "slot", "text").agg(F.count("content").alias("contents"), F.sum("chars").alias("chars")),
@@ -746,8 +802,8 @@ def wrappers(pages: DataFrame) -> DataFrame:
     rows = weights.unionAll(constants.select("host", "slot", "text", F.lit(0.0)))
     root = known.select("host", F.lit(0), F.lit(None).cast("long"), F.lit(0.0))  # each host has a wrapper
     listing = rows.unionAll(root).withColumn("text", F.col("text").cast("string"))  # a nullable long would turn to a float
-    found = listing.join(known, "host").groupBy("host").applyInPandas(listed, "host string, wrapper string")
-    learned = store(found, "wrappers")
+    found = listing.join(known.select("host", "tree"), "host").groupBy("host")
+    learned = store(found.applyInPandas(listed, "host string, known string"), "wrappers")
     discard(counted, slots, constants)
     return learned
 
@@ -760,14 +816,13 @@ def main_texts(documents: DataFrame, *, identifier: str = "page_id", url: str =
         host_of(F.col(url)).alias("host"),
         F.coalesce(F.col(html), F.lit("")).alias("html"),
     )
-    known = wrappers(pages.select("host", "html"))
-    found = _with_dimension(pages.filter("html <> ''"), known).select("id", "url", "html", "wrapper")
+    known = wrappers(pages.select("id", "host", "html"))
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = _Held(_read_wrapper)
-        for batch in batches:
-            texts = [extract(page, held[packed]) for page, packed in zip(batch["html"], batch["wrapper"], strict=True)]
-            yield pd.DataFrame({"id": batch["id"], "url": batch["url"], "text": texts})
+    def read(batch: pd.DataFrame, held: _Held, of_hosts: dict[str, str]) -> pd.DataFrame:
+        found = zip(batch["host"], batch["html"], strict=True)
+        texts = [extract(html, held.of(host, _read_wrapper, of_hosts)) for host, html in found]
+        return pd.DataFrame({"id": batch["id"], "url": batch["url"], "text": texts})
 
+    filled = pages.filter("html <> ''").select("id", "url", "host", "html")
     empty = pages.filter("html = ''").select("id", "url", F.lit("").alias("text"))
-    return found.mapInPandas(read, "id long, url string, text string").unionAll(empty)
+    return _page_by_page(filled, known, read, "id long, url string, text string").unionAll(empty)

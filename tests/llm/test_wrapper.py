@@ -86,9 +86,12 @@ def shop_text(number, layout="a"):
     return f"{'Day' if layout == 'a' else 'Night'} {number} {story}"
 
 
-@pytest.mark.parametrize("layouts", ["a", "b", "ab"])
-def test_wrapper_alone_finds_the_text(spark, layouts):
-    """Every layout of a host is learned from all its pages, by the local form and by Spark."""
+@pytest.mark.parametrize("layouts, limit", [("a", 1 << 20), ("b", 1 << 20), ("ab", -1)])
+def test_wrapper_alone_finds_the_text(spark, monkeypatch, layouts, limit):
+    """Every layout of a host is learned from all its pages, by the local form and by Spark, with and without broadcast."""
+    monkeypatch.setattr(wr, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(wr, "PART_PAGES", 5)
+    monkeypatch.setattr(wr, "FAN", 2)
     pages = [(i, layouts[i % len(layouts)]) for i in range(24)]
     found = wr.induce([shop_page(*page) for page in pages])
     assert [wr.extract(shop_page(*page), found) for page in pages] == [shop_text(*page) for page in pages]
