@@ -11,8 +11,9 @@ from shopmart.session import scratch_path
 # A dimension whose values take at most this many bytes is sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# This many of the most frequent keys are joined apart when the dimension is larger.
+# This many of the most frequent keys are dealt over so many parts when the dimension is larger.
 HOT_KEYS = 1_000
+SALTS = 32
 
 
 def row_bytes(frame: DataFrame) -> Column:
@@ -62,24 +63,21 @@ def dimension_join(
     """Inner or left semi join that does not depend on how the keys are spread.
 
     Up to ``broadcast_bytes`` the dimension is broadcast and the facts are not shuffled; its
-    size is measured first unless the caller knows it. A larger dimension is joined in two
-    parts: facts with one of the most frequent keys meet only the dimension rows of these
-    keys, which are again measured and broadcast, and the rest is shuffled on the key. No
-    key of the shuffled part holds more than one in ``HOT_KEYS`` rows. A semi join needs each
-    frequent key once. Should an inner join find too many dimension rows for the frequent
-    keys alone, their part is shuffled as well and adaptive execution splits it.
+    size is measured first unless the caller knows it. With a larger dimension both sides are shuffled once, on the
+    key and a salt: a fact with one of the most frequent keys gets one of ``SALTS`` salts by a hash of its
+    columns, so that a repeated task salts it alike, and a dimension row with such a key is repeated for each. All
+    others have salt 0, and none of their keys holds more than one in ``HOT_KEYS`` rows. The facts are
+    read once for the frequent keys, of the key columns only, and once for the join.
     """
     if how not in ("inner", "left_semi"):
         raise ValueError(f"unsupported join {how!r}")
     if (value_bytes(dimension) if dimension_bytes is None else dimension_bytes) <= broadcast_bytes:
         return facts.join(F.broadcast(dimension), keys, how)
-    hot = F.broadcast(hot_keys(facts, keys))  # at most HOT_KEYS rows
-    hot_dimension = dimension.join(hot, keys, "left_semi")
+    hot = F.broadcast(hot_keys(facts, keys).withColumn("_hot", F.lit(True)))  # at most HOT_KEYS rows
+    one_salt = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in facts.columns]), F.lit(SALTS)).cast("int")
+    salted = facts.join(hot, keys, "left").withColumn("_salt", F.when(F.col("_hot"), one_salt).otherwise(0)).drop("_hot")
+    every_salt = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     if how == "left_semi":
-        hot_dimension = hot_dimension.select(*keys).distinct()
-    if value_bytes(hot_dimension) <= broadcast_bytes:
-        frequent = facts.join(F.broadcast(hot_dimension), keys, how)
-    else:
-        frequent = facts.join(hot, keys, "left_semi").join(hot_dimension, keys, how)
-    others = facts.join(hot, keys, "left_anti").join(dimension, keys, how)
-    return frequent.unionByName(others)
+        dimension = dimension.select(*keys).distinct()
+    repeated = dimension.join(hot, keys, "left").withColumn("_salt", F.explode(every_salt)).drop("_hot")
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -84,3 +84,20 @@ def test_value_bytes(spark):
     frame = spark.createDataFrame([("ab", 1), ("é", None), (None, 2)], "k string, n long")
     assert joins.value_bytes(frame) == 3 * 16 + 3 * 8 + 4
     assert joins.value_bytes(frame.limit(0)) == 0
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi"])
+def test_large_dimension_join_reads_the_facts_once(spark, tmp_path, monkeypatch, plan, how):
+    """Besides the count of the frequent keys; no branch leaves them together, and their facts are dealt over many salts."""
+    monkeypatch.setattr(joins.hot_keys, "__defaults__", (2,))
+    number = F.col("id")
+    spark.range(4000).select(F.when(number % 3 == 0, "hot").otherwise(F.concat(F.lit("b"), number % 500)).alias("k"), number.alias("n")).write.parquet(str(tmp_path / "facts"))
+    spark.createDataFrame([("hot", 1), ("hot", 2), ("b1", 3), ("b7", 4)], "k string, d int").write.parquet(str(tmp_path / "dimension"))
+    facts, dimension = (spark.read.parquet(str(tmp_path / name)) for name in ("facts", "dimension"))
+    joined = joins.dimension_join(facts, dimension, ["k"], how, broadcast_bytes=0)
+    text = plan(joined)
+    assert text.count("/facts]") == 1 and "Union" not in text and "_salt" in text
+    expected = facts.join(dimension, "k", how)
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, expected.collect()))
+    salt = F.pmod(F.xxhash64("k", "n"), F.lit(joins.SALTS))
+    assert facts.filter("k = 'hot'").select(salt).distinct().count() == joins.SALTS
