@@ -211,6 +211,17 @@ SELECT dataset_key, count(*) AS rows_read, count(*) - count(brand) AS deleted_nu
 FROM shop_events GROUP BY dataset_key""",
         "shop_events",
     ),
+    "built_many_datasets": _query(
+        """
+SELECT CAST(day(event_time) AS VARCHAR) AS dataset_key, count(*) AS rows_read,
+  count(*) - count(brand) AS deleted_null_brand,
+  count(brand) - count(CASE WHEN brand IS NOT NULL THEN category_code END) AS deleted_null_category,
+  count(DISTINCT CASE WHEN category_code IS NOT NULL THEN brand END) AS dataset_brands,
+  count(DISTINCT CASE WHEN brand IS NOT NULL THEN category_code END) AS dataset_categories
+FROM shop_events GROUP BY ALL""",
+        "shop_events",
+    ),
+    "reload_empty": _query(_STORED_EVENTS + "cleaned WHERE dataset_key <> '2'", "cleaned"),
     "incremental_load": _query(_STORED_EVENTS + "shop_events", "shop_events"),
     "null_tokens": _query(
         f"""
@@ -302,6 +313,14 @@ SELECT (SELECT count(*) FROM final_table WHERE event_type = 'purchase') AS overa
     "built_unique_categories": _query("SELECT DISTINCT category_code FROM cleaned", "cleaned"),
     "built_mapping": _query("SELECT brand, category_index FROM mapping", "mapping"),
     "built_final_mapping": _query(_EXPANDED, "cleaned", "mapping"),
+    "built_model_mapping": _query(
+        """
+SELECT brand, CASE WHEN substr(md5(brand), 1, 1) > '3' THEN category_index ELSE 'no such code' END AS category_index,
+  substr(md5(brand), 1, 1) > '3' AS allowed
+FROM digest_codes""",
+        "digest_codes",
+    ),
+    "incremental_insert": _query(_STORED_EVENTS + "final_table", "final_table", built=True),
     "built_final_table": _query(_STORED_EVENTS + "final_table", "final_table", built=True),
     "built_holiday_conversion": _query(_HOLIDAY_CONVERSION, "converted", built=True),
     "built_category_conversion": _query(_CATEGORY_CONVERSION, "final_table", built=True),

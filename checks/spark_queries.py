@@ -18,7 +18,7 @@ from shopmart.plans import jobs, marts
 from shopmart.schemas import EVENT_COLUMNS, NULL_TOKENS
 from shopmart.session import scratch_path
 from shopmart.sources.event_files import infer_types, read_raw_events
-from shopmart.sources.registry import Dataset, registry_rows
+from shopmart.sources.registry import FIELDS, Dataset, registry_rows
 from shopmart.sources.tables import DETAIL, MART, Tables
 from shopmart.streaming.incremental import incremental_load
 
@@ -91,6 +91,89 @@ def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def daily_datasets(spark: SparkSession, sf_dir: str) -> list[Dataset]:
+    """The events as one gzip CSV file set per day of the month: some thirty datasets."""
+
+    def write(path: str) -> None:
+        events = views.shop_events(spark, sf_dir).withColumn("dataset_key", F.dayofmonth("event_time").cast("string"))
+        texts = events.withColumn("event_time", F.concat(F.col("event_time").cast("string"), F.lit(" UTC")))
+        dealt = texts.select(*STORED_COLUMNS).hint("rebalance", "dataset_key")
+        dealt.write.partitionBy("dataset_key").options(header=True, compression="gzip", escape='"').csv(path)
+
+    root = views.stored(spark, sf_dir, "daily-landing", write)
+    days = views.shop_events(spark, sf_dir).select(F.dayofmonth("event_time").alias("day")).distinct().collect()
+    return [Dataset(str(d), f"{root}/dataset_key={d}", f"e_{d}", f"b_{d}", f"c_{d}") for d in sorted(r.day for r in days)]
+
+
+def built_many_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days loaded in one call: what was counted, and the brands and categories stored for each."""
+    tables = Tables(spark, scratch_path(spark, "warehouse"))
+    datasets = daily_datasets(spark, sf_dir)
+    jobs.load_all(tables, {dataset.key: dataset for dataset in datasets})
+    counted = tables.read(DETAIL, jobs.METRICS).select(
+        "dataset_key", F.col("rows").alias("rows_read"), "deleted_null_brand", "deleted_null_category"
+    )
+    for column, name in jobs.DIMENSIONS.items():
+        stored = tables.read(DETAIL, name, f"{column} string, dataset_key string")
+        counted = counted.join(stored.groupBy("dataset_key").agg(F.count("*").alias(name)), "dataset_key", "left")
+    return counted.fillna(0, list(jobs.DIMENSIONS.values()))
+
+
+def reload_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged events after the second dataset has been loaded again from a file with nothing but its header."""
+    tables = Tables(spark, scratch_path(spark, "warehouse"))
+    datasets = landed_datasets(landing(spark, sf_dir))
+    jobs.load_datasets(tables, datasets)
+    header = scratch_path(spark, "header")
+    read_raw_events(spark, datasets[1].dataset_url).limit(0).coalesce(1).write.options(header=True).csv(header)
+    jobs.load_dataset(tables, Dataset("2", header, *[getattr(datasets[1], f) for f in FIELDS[1:]]))
+    return jobs.staging_events(tables)
+
+
+def incremental_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The final table after two datasets, then the third, have been loaded, mapped and inserted."""
+    tables = Tables(spark, scratch_path(spark, "warehouse"))
+    datasets = landed_datasets(landing(spark, sf_dir))
+    inserted = []
+    for known in (datasets[:2], datasets, datasets):
+        jobs.load_all(tables, {dataset.key: dataset for dataset in known})
+        jobs.map_brands(tables, views.dictionary(spark, sf_dir), codes=CODES)
+        jobs.expand_mapping(tables)
+        inserted.append(jobs.insert_cleaned(tables))
+    # Datasets that hold newly observed pairs are inserted again; a run with nothing new touches none.
+    assert inserted[0] == ["1", "2"] and "3" in inserted[1] and inserted[2] == [], inserted
+    return tables.read(DETAIL, jobs.FINAL, jobs.STORED_EVENT_SCHEMA)
+
+
+def noisy_model(codes: Sequence[str]) -> Callable[[str], str]:
+    """The stand-in model with every pair twice, a brand that nobody asked for, and a code that is not allowed for some brands."""
+    answer = digest_model(codes)
+
+    def noisy(prompt: str) -> str:
+        rows = re.findall(r"\(('(?:[^']|'')*'), ('(?:[^']|'')*')\)", answer(prompt))
+        listed = []
+        for name, code in rows:
+            digest = hashlib.md5(name[1:-1].replace("''", "'").encode()).hexdigest()
+            listed.append(f"({name}, {code if digest[0] > '3' else NOT_ALLOWED})")
+        values = ",\n".join([*listed, f"('a stranger', '{codes[0]}')", *listed])
+        return f"```sql\nINSERT INTO brand_category_mapping VALUES\n{values};\n```"
+
+    return noisy
+
+
+NOT_ALLOWED = "'no such code'"
+
+
+def built_model_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping by a model that repeats itself, names foreign brands and gives codes that are refused."""
+    tables = Tables(spark, scratch_path(spark, "warehouse"))
+    jobs.load_all(tables, {dataset.key: dataset for dataset in landed_datasets(landing(spark, sf_dir))})
+    jobs.map_brands(tables, answer=noisy_model(CODES), codes=CODES, size=PAGE_SIZE, parallel=4)
+    accepted = tables.read(DETAIL, jobs.MAPPING).withColumn("allowed", F.lit(True))
+    refused = tables.read(DETAIL, jobs.REJECTS).drop("run").withColumn("allowed", F.lit(False))
+    return accepted.unionByName(refused)
+
+
 def streamed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = incremental_load(
         spark,
@@ -381,6 +464,7 @@ QUERIES: dict[str, Query] = {
     "load_events": load_events,
     "load_metrics": load_metrics,
     "incremental_load": streamed_load,
+    "reload_empty": reload_empty,
     "null_tokens": null_tokens,
     "infer_types": infer_column_types,
     "clean_events": clean_events,
@@ -418,6 +502,9 @@ QUERIES: dict[str, Query] = {
     "category_conversion": category_conversion,
     "daily_purchases": daily_purchases,
     "black_friday_sales": black_friday_sales,
+    "incremental_insert": incremental_insert,
+    "built_many_datasets": built_many_datasets,
+    "built_model_mapping": built_model_mapping,
     "built_unique_brands": built(DETAIL, jobs.UNIQUE["brand"]),
     "built_unique_categories": built(DETAIL, jobs.UNIQUE["category_code"]),
     "built_mapping": built(DETAIL, jobs.MAPPING),

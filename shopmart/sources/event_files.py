@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.readwriter import DataFrameReader
@@ -58,16 +60,45 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], multi_line: bool =
 UNSPLITTABLE = (".gz", ".gzip", ".zst", ".deflate", ".lz4", ".snappy")
 
 
-def spread(frame: DataFrame) -> DataFrame:
+NO_HOST = "^([a-zA-Z][a-zA-Z0-9+.-]*:)//(?=/)"
+
+
+def spread(frame: DataFrame, *keys: str, multi_line: bool = False) -> DataFrame:
     """Even out a scan of files that cannot be split.
 
-    Such a file is read by one task however large it is. The rebalance hint lets adaptive
-    execution cut the output into partitions of the advisory size. Plain files are not shuffled;
-    a frame that does not tell its files, as a streamed batch, is.
+    Such a file is read by one task however large it is; with ``multi_line`` plain files are read so, too. The
+    rebalance hint lets adaptive execution cut the output into partitions of the advisory size, and ``keys``
+    keep rows of one key together as far as that size allows. Plain files are not shuffled; a frame that does not tell its
+    files, as a streamed batch, is.
     """
     files = frame.inputFiles()
-    splittable = files and not any(name.lower().endswith(UNSPLITTABLE) for name in files)
-    return frame if splittable else frame.hint("rebalance")
+    splittable = files and not multi_line and not any(name.lower().endswith(UNSPLITTABLE) for name in files)
+    return frame if splittable else frame.hint("rebalance", *keys)
+
+
+def read_dataset_events(spark: SparkSession, urls: Mapping[str, str], multi_line: bool = False) -> DataFrame:
+    """Raw events of several datasets (key -> file, folder or pattern) with ``dataset_key``, out of one scan.
+
+    The files are listed once per dataset, and each row gets its dataset by the path of its file, so that the plan is the
+    same for any number of datasets. A file that belongs to two datasets gives its rows to both.
+    """
+    # The two listings write a path without a host with three slashes and with one.
+    files = {
+        key: [re.sub(NO_HOST, r"\1", name) for name in read_raw_events(spark, url, multi_line).inputFiles()]
+        for key, url in urls.items()
+    }
+    paths = list(dict.fromkeys(urls.values()))
+    listed = {url: files[key] for key, url in urls.items()}
+    every = [name for names in listed.values() for name in names]
+    if len(set(every)) < len(every):  # patterns that overlap would read a file twice
+        paths = sorted(map(unquote, set(every)))
+    owners = spark.createDataFrame(
+        [(name, key) for key, names in files.items() for name in names], "_file string, dataset_key string"
+    )
+    place = F.regexp_replace(F.col("_metadata.file_path"), NO_HOST, "$1")
+    raw = read_raw_events(spark, paths, multi_line).withColumn("_file", place)
+    # The listing is on the driver already: a row per file.
+    return raw.join(F.broadcast(owners), "_file").drop("_file")
 
 
 def typed_events(
@@ -98,7 +129,7 @@ def typed_events(
 
 def read_events(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> DataFrame:
     """Typed events of one or more files."""
-    return typed_events(spread(read_raw_events(spark, path, multi_line)))
+    return typed_events(spread(read_raw_events(spark, path, multi_line), multi_line=multi_line))
 
 
 # Number formats that count as numeric when types are inferred.
@@ -170,4 +201,4 @@ def inferred_schema(raw: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> T.St
 def read_inferred(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> DataFrame:
     """Typed rows of CSV files without a declared schema, from a pass for the types and one for the rows."""
     raw = read_raw(spark, path, multi_line)
-    return typed_events(spread(raw), inferred_schema(raw))
+    return typed_events(spread(raw, multi_line=multi_line), inferred_schema(raw))

@@ -29,9 +29,10 @@ class Tables:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(self.path(layer, name))
 
-    def exists(self, layer: str, name: str) -> bool:
+    def exists(self, layer: str, name: str, part: str = "") -> bool:
+        """Whether a table, or a ``part`` of it such as ``/dataset_key=1``, has been written."""
         try:
-            self.read(layer, name)
+            self.spark.read.parquet(self.path(layer, name) + part)
         except AnalysisException as error:
             if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return False
@@ -85,7 +86,7 @@ class Tables:
             .parquet(self.path(layer, name))
         )
 
-    def empty_partition(self, layer: str, name: str, schema: T.StructType, key: str, value: str) -> None:
+    def empty_partition(self, layer: str, name: str, schema: T.StructType | str, key: str, value: str) -> None:
         """Leave a partition without rows; ``schema`` is that of the table without the key."""
         empty = self.spark.createDataFrame([], schema)
         empty.write.mode("overwrite").parquet(f"{self.path(layer, name)}/{key}={value}")
@@ -103,6 +104,14 @@ class Tables:
         if keys:
             self.spark.sql(f"ALTER TABLE {target} RECOVER PARTITIONS")
 
+    def register_part(self, layer: str, name: str, whole: str, columns: str, key: str) -> None:
+        """Make the part of one dataset of a registered table known to SQL as ``layer.name``."""
+        value = key.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {layer}.`{name.lower()}` AS "
+            f"SELECT {columns} FROM {layer}.{whole} WHERE dataset_key = '{value}'"
+        )
+
 
 def read_jdbc(
     spark: SparkSession,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -35,7 +36,7 @@ def start_incremental_load(
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        events = typed_events(spread(batch)).withColumn("load_id", F.lit(batch_id).cast("long"))
+        events = typed_events(spread(batch, "dataset_key")).withColumn("load_id", F.lit(batch_id).cast("long"))
         (
             (clean_events(events) if clean else events)
             .write.mode("overwrite")
@@ -54,7 +55,12 @@ def start_incremental_load(
 
 
 def incremental_load(spark: SparkSession, landing: str, target: str, checkpoint: str, **options) -> DataFrame:
-    """Run the load to its end and return the stored table."""
+    """Run the load to its end and return the stored table, which is empty as long as no file has come."""
     query = start_incremental_load(spark, landing, target, checkpoint, **options)
     query.awaitTermination()
-    return spark.read.schema(LOADED_SCHEMA).parquet(target)
+    try:
+        return spark.read.schema(LOADED_SCHEMA).parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LOADED_SCHEMA)

@@ -1,5 +1,6 @@
 import datetime
 import gzip
+import time
 from pathlib import Path
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from shopmart.plans import jobs
 from shopmart.schemas import EVENT_COLUMNS, HOLIDAY_SCHEMA, STORED_EVENT_SCHEMA
 from shopmart.session import scratch_path, scratch_root
+from shopmart.sources import event_files
 from shopmart.sources.registry import Dataset, monthly_registry
 from shopmart.sources.tables import DETAIL, MART, Tables
 from shopmart.streaming.incremental import incremental_load
@@ -132,9 +134,9 @@ def test_existing_dimensions_can_be_kept(store, rows):
     write = Dataset("1", november.dataset_url, *[getattr(october, n) for n in ("table_name", "brands_table_name", "categories_table_name")])
     jobs.load_dataset(tables, write)
     jobs.extract_dimensions(tables, write, keep_existing=True)
-    assert rows(tables.read(DETAIL, october.brands_table_name)) == [("acme",)]
+    assert rows(jobs.dimension(tables, "brand", october)) == [("acme",)]
     jobs.extract_dimensions(tables, write)
-    assert tables.read(DETAIL, october.brands_table_name).count() == 2
+    assert jobs.dimension(tables, "brand", october).count() == 2
 
 
 def test_one_dataset_at_a_time(store, dictionary):
@@ -203,7 +205,7 @@ def test_only_answers_for_asked_brands_are_stored(store, rows):
     reply = "```sql\nVALUES ('acme', 'kids'), ('acme', 'kids'), ('stranger', 'kids'), ('o''neil', 'cars');```"
     report = jobs.map_brands(tables, answer=lambda prompt: reply, size=1)
     assert rows(tables.read(DETAIL, "brand_category_mapping")) == [("acme", "kids")]
-    assert rows(tables.read(DETAIL, "brand_mapping_rejects")) == [("o'neil", "cars")]
+    assert rows(tables.read(DETAIL, "brand_mapping_rejects").drop("run")) == [("o'neil", "cars")]
     assert report == jobs.MappingReport(brands=2, accepted_pairs=1, rejected_pairs=1, unmapped_brands=1)
 
 
@@ -281,3 +283,175 @@ def test_staging_prunes_partitions(store, plan):
     jobs.load_all(tables, registry)
     text = plan(jobs.staging_events(tables, "1").select(F.count("*")))
     assert "PartitionFilters: [isnotnull(dataset_key" in text
+
+
+def files_of(tables, layer, name):
+    return {str(path): path.stat().st_mtime_ns for path in Path(tables.path(layer, name)).rglob("*.parquet")}
+
+
+def many_datasets(tmp_path, count, rows=lambda number: [("2019-10-01 08:00:00", "cart", 1, "auto.tyre", f"b{number}", "s")]):
+    registry = {}
+    for number in range(count):
+        path = write_events(tmp_path / "many" / f"day {number}.csv.gz", rows(number))
+        registry[str(number)] = Dataset(str(number), path, f"e{number}", f"b{number}", f"c{number}")
+    return registry
+
+
+def test_many_files_are_one_scan(spark, tmp_path, plan):
+    """The plan does not grow with the datasets, nor does the time in proportion."""
+    registry = many_datasets(tmp_path, 120)
+    seconds, plans = [], []
+    for count in (4, 4, 120):
+        tables = Tables(spark, str(tmp_path / f"warehouse{count}{len(seconds)}"))
+        chosen = dict(list(registry.items())[:count])
+        urls = {key: dataset.dataset_url for key, dataset in chosen.items()}
+        plans.append(plan(event_files.read_dataset_events(spark, urls)))
+        started = time.perf_counter()
+        metrics = jobs.load_all(tables, chosen)
+        seconds.append(time.perf_counter() - started)
+        assert metrics == {key: jobs.LoadMetrics(1) for key in chosen}
+        assert jobs.staging_events(tables).select("dataset_key").distinct().count() == count
+        assert tables.read(DETAIL, "unique_brands").count() == count
+    assert plans[2].count("\n(1) Scan csv") == 1 and plans[2].count("Scan csv") == 2 and "Union" not in plans[2]
+    assert len(plans[2].splitlines()) == len(plans[0].splitlines())
+    assert seconds[2] < 6 * seconds[1]
+
+
+def test_rows_get_the_dataset_of_their_file(spark, tmp_path, rows):
+    """Folders, patterns, odd names, and a file that two datasets share."""
+    for name in ("in a/x 1.csv.gz", "in a/y%20.csv.gz", "b/z[1].csv.gz", "b/w.csv.gz"):
+        write_events(tmp_path / name, [("2019-10-01 08:00:00", "cart", 1, "auto.tyre", name[-8:-7], "s")])
+    urls = {"folder": f"{tmp_path}/in a", "pattern": f"{tmp_path}/b/*.csv.gz", "same": f"{tmp_path}/b/*.csv.gz", "one": f"{tmp_path}/b/w.csv.gz"}
+    found = event_files.read_dataset_events(spark, dict(list(urls.items())[:3])).groupBy("dataset_key").count()
+    assert sorted(rows(found)) == [("folder", 2), ("pattern", 2), ("same", 2)]
+    overlapping = {key: urls[key] for key in ("folder", "one")}
+    found = event_files.read_dataset_events(spark, overlapping).groupBy("dataset_key").count()
+    assert sorted(rows(found)) == [("folder", 2), ("one", 1)]
+
+
+def test_a_bad_file_among_many_costs_few_loads(spark, tmp_path, monkeypatch):
+    bad = [("no time", "cart", 1, "auto.tyre", "x", "s")]
+    good = [("2019-10-01 08:00:00", "cart", 1, "auto.tyre", "x", "s")]
+    registry = many_datasets(tmp_path, 16, lambda number: bad if number == 5 else good)
+    tables, loads = Tables(spark, str(tmp_path / "warehouse")), []
+    load = jobs.load_datasets
+    monkeypatch.setattr(jobs, "load_datasets", lambda tables, datasets: loads.append(len(datasets)) or load(tables, datasets))
+    with pytest.raises(ValueError, match="not loaded: 5"):
+        jobs.load_all(tables, registry)
+    assert len(loads) == 9 and jobs.staging_events(tables).count() == 15
+    assert tables.read(DETAIL, "load_metrics").count() == 15
+
+
+def test_insert_touches_only_what_changed(store, tmp_path, dictionary, rows):
+    tables, registry = store
+    jobs.load_all(tables, registry)
+    jobs.map_brands(tables, dictionary)
+    jobs.expand_mapping(tables)
+    assert jobs.insert_cleaned(tables) == ["1", "2"]
+    before = files_of(tables, DETAIL, "final_table")
+    assert jobs.insert_cleaned(tables) == [] and files_of(tables, DETAIL, "final_table") == before
+
+    december = [("2019-12-01 08:00:00", "cart", 5, "kids.game", "o'neil", "s9"), ("2019-12-01 08:00:00", "cart", 5, "sport.ball", "new", "s9")]
+    registry["3"] = Dataset("3", write_events(tmp_path / "dec.csv.gz", december), "e_dec", "b_dec", "c_dec")
+    jobs.load_all(tables, registry)
+    jobs.expand_mapping(tables)
+    assert ("o'neil", "kids.game") in rows(tables.read(DETAIL, "brand_category_mapping_final"))
+    assert jobs.insert_cleaned(tables) == ["3"]
+    now = files_of(tables, DETAIL, "final_table")
+    assert all("dataset_key=3" in path for path in set(now) - set(before))
+    assert {path: now[path] for path in before} == before
+
+    # A brand that is mapped later touches the datasets that hold it and no others.
+    jobs.map_brands(tables, tables.spark.createDataFrame([("new", "sport")], "brand string, category_index string"), codes=["sport"])
+    jobs.expand_mapping(tables)
+    assert jobs.insert_cleaned(tables) == ["3"]
+    assert tables.read(DETAIL, "final_table", STORED_EVENT_SCHEMA).count() == 7
+    # So does a dataset that is loaded anew.
+    write_events(tmp_path / "nov.csv.gz", NOVEMBER[:2])
+    jobs.load_dataset(tables, registry["2"])
+    assert jobs.insert_cleaned(tables) == ["2"]
+    assert tables.read(DETAIL, "final_table", STORED_EVENT_SCHEMA).count() == 6
+    assert jobs.insert_cleaned(tables, rebuild=True) == ["1", "2", "3"]
+    assert tables.read(DETAIL, "final_table", STORED_EVENT_SCHEMA).count() == 6
+
+
+def test_expansion_reads_no_events(store, dictionary, plan, rows):
+    tables, registry = store
+    jobs.load_all(tables, registry)
+    jobs.map_brands(tables, dictionary)
+    text = plan(jobs.mappings.expand_mapping(tables.read(DETAIL, "brand_category_mapping"), jobs.staged_pairs(tables)))
+    assert "dataset_pairs" in text and "dds_stg" not in text
+    for rebuild in (False, False, True):
+        jobs.expand_mapping(tables, rebuild)
+        assert sorted(rows(tables.read(DETAIL, "brand_category_mapping_final"))) == [("acme", "auto.tyre"), ("o'neil", "kids.toy")]
+
+
+def test_dimensions_follow_their_dataset(spark, store, tmp_path, holidays, dictionary, rows):
+    """An emptied dataset has no brands left, and the names of the registry are known to SQL."""
+    tables, registry = store
+    jobs.build_all(tables, registry, holidays, dictionary)
+    jobs.register_all(tables, registry)
+    assert sorted(row[0] for row in spark.sql("SELECT brand FROM dds.b_nov").collect()) == ["acme", "o'neil"]
+    assert sorted(row[0] for row in spark.sql("SELECT category_code FROM dds.c_oct").collect()) == ["auto.tyre", "kids.toy"]
+    assert spark.table("dds_stg.e_oct").count() == 3
+    write_events(tmp_path / "nov.csv.gz", [])
+    jobs.load_dataset(tables, registry["2"])
+    jobs.extract_dimensions(tables, list(registry.values()))
+    assert rows(jobs.dimension(tables, "brand", registry["2"])) == []
+    assert rows(jobs.dimension(tables, "brand", registry["1"])) == [("acme",)]
+
+
+def test_a_crash_after_the_replies_asks_nothing_twice(store, rows, monkeypatch, tmp_path):
+    tables, registry = store
+    jobs.load_all(tables, registry)
+    asked = tmp_path / "asked"
+
+    def answer(prompt):
+        with open(asked, "a") as file:
+            file.write("x")
+        return "```sql\nVALUES " + ("('acme', 'auto'), ('acme', 'cars')" if "'acme'" in prompt else "('o''neil', 'cars')") + ";```"
+
+    append = Tables.append
+
+    def fail(self, frame, layer, name):
+        if name == "brand_category_mapping":
+            raise OSError("lost")
+        append(self, frame, layer, name)
+
+    monkeypatch.setattr(Tables, "append", fail)
+    with pytest.raises(OSError, match="lost"):
+        jobs.map_brands(tables, answer=answer, size=1)
+    monkeypatch.setattr(Tables, "append", append)
+    assert asked.read_text() == "xx"
+    report = jobs.map_brands(tables, answer=answer, size=1)
+    assert asked.read_text() == "xx" and report.accepted_pairs == 1 and report.unmapped_brands == 1
+    assert rows(tables.read(DETAIL, "brand_category_mapping")) == [("acme", "auto")]
+    # The refused brand is asked for again, and what was refused before stays on record.
+    jobs.map_brands(tables, answer=answer, size=1)
+    assert asked.read_text() == "xxx"
+    rejects = tables.read(DETAIL, "brand_mapping_rejects")
+    assert {row.brand for row in rejects.collect()} == {"acme", "o'neil"} and rejects.select("run").distinct().count() == 3
+    assert tables.read(DETAIL, "brand_mapping_replies").count() == 3
+
+
+def test_replies_come_in_waves(store, monkeypatch):
+    tables, registry = store
+    jobs.load_all(tables, registry)
+    monkeypatch.setattr(jobs, "WAVE", 1)
+    jobs.map_brands(tables, answer=lambda prompt: "```sql\nVALUES ('acme', 'auto'), ('o''neil', 'kids');```", size=1)
+    assert tables.read(DETAIL, "brand_category_mapping").count() == 2
+    assert tables.read(DETAIL, "brand_mapping_replies").select("batch_id").distinct().count() == 2
+
+
+def test_a_stream_without_files_is_empty(spark, tmp_path):
+    (tmp_path / "landing" / "dataset_key=1").mkdir(parents=True)
+    paths = str(tmp_path / "landing"), str(tmp_path / "target"), str(tmp_path / "checkpoint")
+    assert incremental_load(spark, *paths).count() == 0
+
+
+def test_multi_line_files_are_spread(spark, tmp_path):
+    path = tmp_path / "plain.csv"
+    path.write_text("a,b\n1,2\n")
+    frame = event_files.read_raw(spark, str(path), multi_line=True)
+    assert event_files.spread(frame) is frame
+    assert "Rebalance" in event_files.spread(frame, multi_line=True)._jdf.queryExecution().toString()
