@@ -11,7 +11,7 @@ Guards: a histogram is compared only from a minimum number of words on, and only
 ``MIN_LANGUAGE_WORDS`` words, whatever the rest of the corpus holds; fewer make no reference, and the documents of such a
 language are judged by the base rule. The languages are counted: up to ``BROADCAST_LANGUAGES``
 references are broadcast, beyond they are dealt in ``SALTS`` copies, so a frequent language stays spread.
-Common words are sought among the words of at most ``COMMON_CHARS`` characters, as function words are short.
+Common words may have any length.
 
 Everything is a JVM expression; arrays that a lambda reads more than once are bound to a lambda
 variable first (:func:`bound`), or they would be computed again for each element.
@@ -33,7 +33,6 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 COMMON_WORDS = 32
-COMMON_CHARS = 5
 #: A common word holds 1 in 2000 words: with fewer, a word that stands once would be common.
 MIN_LANGUAGE_WORDS = 2000
 BROADCAST_LANGUAGES, SALTS = 500, 32
@@ -173,8 +172,7 @@ def references(texts: DataFrame) -> DataFrame:
     few = large.count() <= BROADCAST_LANGUAGES
 
     words = texts.select("language", F.explode(F.split("text", WHITE_RUN)).alias("word"))
-    short = words.filter(F.length("word").between(1, COMMON_CHARS))
-    counts = short.groupBy("language", "word").count()
+    counts = words.filter(F.col("word") != "").groupBy("language", "word").count()
     # A word holds at least 1 in 2000 words to be common, so at most 2000 a language are ranked.
     frequent = (
         _with_language(counts, large.withColumnRenamed("language", "of"), few, "inner", F.xxhash64("word"))

@@ -147,7 +147,7 @@ def test_divergence_equals_plain_python(spark):
             checked += 1
         if row["word_distance"] is not None:
             n = sum(words[lang].values())
-            common = [w for w in words[lang] if len(w) <= 5 and re.search(r"[^\W\d_]", w) and words[lang][w] * 2000 >= n]
+            common = [w for w in words[lang] if re.search(r"[^\W\d_]", w) and words[lang][w] * 2000 >= n]
             common = sorted(common, key=lambda w: (-words[lang][w], w.encode()))[:32]
             own = collections.Counter(WORD.findall(text))
             p = [own[w] / sum(own.values()) for w in common]
