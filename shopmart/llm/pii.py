@@ -2,25 +2,26 @@
 
 Base spans are e-mail addresses, IP addresses, payment cards and phone numbers found by pattern and
 checked (parts, Luhn digits, number of digits). Their values are the protected entities. A term that
-stands next to an entity discloses it as far as the corpus says so:
+stands next to an entity discloses it by the information that is left about the entity once the term is known:
 
-    disclosure = pmi(entity; term) / ic(entity)
-    pmi = log(p(entity | term) / p(entity)),  ic = -log p(entity)
+    left = ic(entity) - pmi(entity; term) = -log2 p(entity | term)
+    pmi = log2(p(entity | term) / p(entity)),  ic = -log2 p(entity),  disclosure = 2 ** -left
 
-1 means that the term always stands next to the entity. Both chances count occurrences in all documents, copies
-included: ``p(entity)`` is the entity's share of the words of the corpus, ``p(entity | term)`` the
-share of the term's occurrences that stand next to the entity. A context is the words around a span; copies of a
-passage have equal contexts. Terms with at least ``MIN_CONTEXTS`` different contexts are
-removed from ``REMOVE_AT`` on and generalised (to the kind of the entity) from ``GENERALISE_AT`` on,
-wherever they stand in any document.
+1 means that the term always stands next to the entity and nothing is left. The chance of the entity cancels, so unrelated
+text changes no disclosure. ``p(entity | term)`` is the share of the term's occurrences, in all documents and copies
+included, that stand next to the entity; an occurrence between two spans of one entity counts once.
+A context is the words around a span; copies of a passage have equal contexts. Terms with at least ``MIN_CONTEXTS``
+different contexts are removed from ``REMOVE_AT`` on (0.07 bits left) and generalised (to the kind of the entity) from
+``GENERALISE_AT`` on (half a bit left), wherever they stand in any document.
 
 Positions without Python: the pieces between the matches of a pattern and the matches
 themselves have lengths in code points, whose running sums are the spans. Patterns are written with
 possessive quantifiers and guarded starts: they match what the plain ones match, without
 backtracking over long runs and without recursion. ``\\G`` lets a match begin where the one before ended.
 
-Defined cases: null text is empty and has no spans; rows with the same id are treated one by
-one; documents without entities still get the spans of disclosing terms; an empty table gives no rows.
+Defined cases: null text is empty and has no spans; texts of any length are read whole; rows with the same id are treated one by
+one; identifiers have any type and other columns any names; terms of equal disclosure of several kinds are generalised to the last kind by
+name; documents without entities still get the spans of disclosing terms; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +30,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shopmart.llm.quality_rules import bound
 from shopmart.llm.storage import store
-from shopmart.llm.words import n_words
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -43,12 +43,12 @@ PATTERNS = {
 _HINTS = {"email": "@", "ip": ".", "phone": "+"}
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 #: A term is a run of letters and digits with a letter in it, read in lower case.
-_NO_TERM = r"[^\p{L}\p{N}]+"
+_NO_TERM, _TERM = r"[^\p{L}\p{N}]+", r"[\p{L}\p{N}]+"
 CONTEXT_WORDS = 4
 CONTEXT_CHARS = 120
 MIN_CONTEXTS = 3
-GENERALISE_AT = 0.9
-REMOVE_AT = 0.98
+GENERALISE_AT = 0.7
+REMOVE_AT = 0.95
 
 
 _SPAN = "struct<start:int,rank:int,kind:string,end:int,value:string,instead:string>"
@@ -132,24 +132,22 @@ def terms_of(text: Column) -> Column:
 
 
 def _context(text: Column, span: Column) -> Column:
-    """The terms next to a span, nearest first on each side."""
+    """The terms next to a span, nearest first on each side: array of (term, at), where they start in the text."""
     reach = F.least(span["start"], F.lit(CONTEXT_CHARS))
-    before = terms_of(F.substring(text, span["start"] - reach + 1, reach))
-    after = terms_of(F.substring(text, span["end"] + 1, F.lit(CONTEXT_CHARS)))
-    near = [F.slice(F.filter(side, lambda t: t != ""), 1, CONTEXT_WORDS) for side in (F.reverse(before), after)]
-    return F.filter(F.concat(*near), lambda t: t.rlike(r"\p{L}") & (F.length(t) > 1))
 
+    def side(start: Column, length: Column) -> Column:
+        found = _spans(F.substring(text, start + 1, length), F.lit(_TERM))
+        return F.transform(found, lambda s: F.struct(F.lower(s["value"]).alias("term"), (start + s["start"]).alias("at")))
 
-def _with_counts(context: Column) -> Column:
-    """The different terms of a context, each with how often it stands there."""
-    return F.transform(
-        F.array_distinct(context),
-        lambda t: F.struct(t.alias("term"), (F.size(context) - F.size(F.array_remove(context, t))).alias("n")),
-    )
+    before, after = side(span["start"] - reach, reach), side(span["end"], F.lit(CONTEXT_CHARS))
+    near = F.concat(F.slice(F.reverse(before), 1, CONTEXT_WORDS), F.slice(after, 1, CONTEXT_WORDS))
+    return F.filter(near, lambda t: t["term"].rlike(r"\p{L}") & (F.length(t["term"]) > 1))
 
 
 #: Up to so many terms (their number is measured) are broadcast; beyond, both sides are shuffled.
 BROADCAST_TERMS = 200_000
+#: Up to so many bytes of found terms are broadcast to the texts.
+BROADCAST_FOUND = 64 << 20
 
 
 def _checked(terms: DataFrame, rows: int) -> DataFrame:
@@ -159,18 +157,34 @@ def _checked(terms: DataFrame, rows: int) -> DataFrame:
 def disclosing_terms(rows: DataFrame, spans: DataFrame) -> DataFrame:
     """Terms that give an entity away: term, kind, disclosure (the strongest one).
 
-    ``rows`` has the column text, ``spans`` one row per base span: kind, value and context.
+    ``rows`` has the column text, ``spans`` an array column of (kind, value, context) per document.
     """
-    contexts = spans.groupBy("kind", "value", "context").agg(F.count(F.lit(1)).alias("copies"))
-    entities = contexts.groupBy("kind", "value").agg(F.sum("copies").alias("spans"))
-    pairs = (
-        contexts.select("kind", "value", "copies", F.explode(_with_counts(F.col("context"))).alias("one"))
-        .groupBy("kind", "value", F.col("one.term").alias("term"))
-        .agg(F.count(F.lit(1)).alias("contexts"), F.sum(F.col("copies") * F.col("one.n")).alias("together"))
+    each = spans.select(F.explode("spans").alias("span")).select("span.*")
+    terms = F.array_distinct(F.transform("context", lambda t: t["term"]))
+    contexts = (
+        each.select("kind", "value", F.transform("context", lambda t: t["term"]).alias("words"), terms.alias("terms"))
+        .groupBy("kind", "value", "words")
+        .agg(F.first("terms").alias("terms"))
+        .select("kind", "value", F.explode("terms").alias("term"))
+        .groupBy("kind", "value", "term")
+        .agg(F.count(F.lit(1)).alias("contexts"))
         .filter(F.col("contexts") >= MIN_CONTEXTS)
-        .join(entities, ["kind", "value"])
     )
-    pairs = store(pairs, "pii-pairs")
+    met = F.flatten(
+        F.transform(
+            "spans",
+            lambda s: F.transform(
+                s["context"],
+                lambda t: F.struct(s["kind"].alias("kind"), s["value"].alias("value"), t["term"].alias("term"), t["at"].alias("at")),
+            ),
+        )
+    )
+    together = (
+        spans.select(F.explode(F.array_distinct(met)).alias("one"))
+        .groupBy("one.kind", "one.value", "one.term")
+        .agg(F.count(F.lit(1)).alias("together"))
+    )
+    pairs = store(contexts.join(together, ["kind", "value", "term"]), "pii-pairs")
     candidates = pairs.select("term").distinct()
     n_candidates = candidates.count()
     if not n_candidates:
@@ -181,12 +195,10 @@ def disclosing_terms(rows: DataFrame, spans: DataFrame) -> DataFrame:
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("occurrences"))
     )
-    total = rows.agg(F.sum(n_words(F.col("text")))).first()[0]
-    given = F.least(F.lit(1.0), F.col("together") / F.col("occurrences"))
-    prior = F.least(F.lit(0.5), F.col("spans") / F.lit(float(total)))
-    scored = pairs.join(counts, "term").select("term", "kind", (F.log(given / prior) / -F.log(prior)).alias("score"))
-    strongest = scored.groupBy("term").agg(F.max(F.struct("score", "kind")).alias("best"))
-    return strongest.select("term", "best.kind", F.col("best.score").alias("disclosure")).filter(
+    given = (F.col("together") / F.col("occurrences")).alias("score")
+    strongest = pairs.join(counts, "term").select("term", "kind", given).groupBy("term")
+    found = strongest.agg(F.max(F.struct("score", "kind")).alias("best"))
+    return found.select("term", "best.kind", F.col("best.score").alias("disclosure")).filter(
         F.col("disclosure") >= GENERALISE_AT
     )
 
@@ -224,8 +236,10 @@ def find_spans(documents: DataFrame, *, identifier: str = "doc_id", text: str =
         ),
         "pii-base",
     )
-    spans = base.filter(F.size("base") > 0).select(F.explode(F.arrays_zip("base", "contexts")).alias("one"))
-    spans = spans.select("one.base.kind", "one.base.value", F.col("one.contexts").alias("context"))
+    zipped = F.zip_with(
+        "base", "contexts", lambda s, c: F.struct(s["kind"].alias("kind"), s["value"].alias("value"), c.alias("context"))
+    )
+    spans = base.filter(F.size("base") > 0).select(zipped.alias("spans"))
     terms = store(disclosing_terms(rows, spans), "pii-terms")
     n_terms = terms.count()
     nothing = F.array().cast(f"array<{_SPAN}>")
@@ -234,23 +248,21 @@ def find_spans(documents: DataFrame, *, identifier: str = "doc_id", text: str =
 
     instead = F.when(F.col("disclosure") >= REMOVE_AT, "").otherwise(F.concat(F.lit("<near "), "kind", F.lit(">")))
     keyed = rows.select("id", F.xxhash64("text").alias("key"), "text")
-    owned = (
+    owned = store(
         keyed.select("id", "key", F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term"))
         .join(_checked(terms.select("term", instead.alias("instead")), n_terms), "term")
         .groupBy("id", "key")
         .agg(F.collect_set(F.struct("term", "instead")).alias("found"))
-        .withColumnsRenamed({"id": "own_id", "key": "own_key"})
+        .withColumnsRenamed({"id": "own_id", "key": "own_key"}),
+        "pii-owned",
     )
+    # Texts stay where they are; only what was found in them moves, unless that is too much to broadcast.
+    size = owned.agg(F.sum(F.length(F.to_json("found")) + 32)).first()[0] or 0
     same = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("key") == F.col("own_key"))
-    # Rows that repeat id and text have the same spans: one of them is enough.
-    with_terms = keyed.join(owned, same).groupBy("own_id", "own_key").agg(
-        F.first("text").alias("text"), F.first("found").alias("found")
-    )
-    placed = with_terms.select(
-        "own_id", "own_key", _term_spans(F.col("text"), F.col("found"), base_spans(F.col("text"))).alias("terms")
-    )
-    joined = base.join(placed, same, "left")
-    return joined.select("id", "key", "base", F.coalesce("terms", nothing).alias("terms")), terms
+    joined = keyed.join(F.broadcast(owned) if size <= BROADCAST_FOUND else owned, same, "left")
+    spanned = joined.select("id", "key", "text", "found", base_spans(F.col("text")).alias("base"))
+    placed = F.when(F.col("found").isNull(), nothing).otherwise(_term_spans(F.col("text"), F.col("found"), F.col("base")))
+    return spanned.select("id", "key", "base", placed.alias("terms")), terms
 
 
 def span_list(spans: Column) -> Column:

@@ -1,6 +1,8 @@
 """Inputs on which an earlier form of an operator lost rows, text or verdicts."""
 
 
+import re
+
 import numpy as np
 import pytest
 
@@ -138,3 +140,49 @@ def test_the_mix_takes_whole_documents(spark):
     longest = 40
     for row in mixing.mix(frame).select("row.source", "target").distinct().collect():
         assert abs(taken.get(row["source"], 0) - row["target"]) <= longest
+
+
+def _personal_rows():
+    rows = [(i, f"note{i} from Zaphod a.b@c.org about {i * 7} sales") for i in range(6)]
+    rows += [(10 + i, f"our sales of part{i} went well") for i in range(6)]
+    return rows + [(20 + i, f"a.b@c.org Trillian a.b@c.org day{i}") for i in range(4)] + [(30, "Trillian alone Trillian")]
+
+
+def _terms(spark, rows):
+    found = pii.find_spans(spark.createDataFrame(rows, "doc_id long, text string"))[1].collect()
+    return {row["term"]: round(row["disclosure"], 6) for row in found}
+
+
+def test_disclosure_does_not_move_with_unrelated_text(spark):
+    """Half of the term's occurrences stand elsewhere; more text about other things does not make it disclose more."""
+    rows = _personal_rows()
+    unrelated = [(1000 + i, " ".join(f"u{i}x{j}" for j in range(20))) for i in range(5000)]
+    assert _terms(spark, rows) == _terms(spark, rows + unrelated)
+    assert "sales" not in _terms(spark, rows + unrelated)
+
+
+def test_an_occurrence_counts_once(spark, monkeypatch):
+    """Between two spans of one entity a term is one occurrence: 4 of 6 are next to it, not 8."""
+    monkeypatch.setattr(pii, "GENERALISE_AT", 0.1)
+    found = _terms(spark, _personal_rows())
+    assert found["trillian"] == pytest.approx(4 / 6, abs=1e-6) and found["zaphod"] == 1
+    assert found["sales"] == 0.5
+
+
+@pytest.mark.parametrize("limit", [64 << 20, -1])
+def test_spans_of_terms_equal_plain_search(spark, monkeypatch, limit):
+    monkeypatch.setattr(pii, "BROADCAST_FOUND", limit)
+    monkeypatch.setattr(pii, "GENERALISE_AT", 0.5)  # row 42 holds the name without the address
+    rows = _personal_rows() + [(40, None), (41, ""), (42, "ZAPHOD, zaphod-x xzaphod Zaphod2"), (42, "ZAPHOD, zaphod-x xzaphod Zaphod2")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    spans, terms = pii.find_spans(frame)
+    known = {row["term"] for row in terms.collect()}
+    assert "zaphod" in known
+    expected = []
+    for key, text in rows:
+        words = [(m.start(), m.end()) for m in re.finditer(r"[^\W_]+", text or "") if m.group().lower() in known]
+        inside = [(m.start(), m.end()) for m in re.finditer(r"a\.b@c\.org", text or "")]
+        words = [w for w in words if not any(w[0] < e and s < w[1] for s, e in inside)]
+        expected.append((key, tuple(sorted(words))))
+    found = [(row["id"], tuple(sorted((s["start"], s["end"]) for s in row["terms"]))) for row in spans.collect()]
+    assert sorted(found) == sorted(expected)
