@@ -26,7 +26,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shopmart.llm.storage import store
+from shopmart.llm.storage import discard, store
 from shopmart.llm.words import WHITE, WHITE_RUN, n_words, words_of
 
 WINDOW = 8
@@ -161,18 +161,15 @@ def references(texts: DataFrame) -> DataFrame:
 
     ``texts`` has the columns language and text.
     """
+    words = texts.select("language", F.explode(F.split("text", WHITE_RUN)).alias("word"))
+    counts = store(words.filter(F.col("word") != "").groupBy("language", "word").count(), "word-counts")
+    totals = counts.groupBy(F.col("language").alias("of")).agg(F.sum("count").alias("n_words"))
     sums = [F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(len(CLASSES) + 1)]
-    languages = store(
-        texts.select("language", class_counts(F.col("text")).alias("classes"), n_words(F.col("text")).alias("n"))
-        .groupBy("language")
-        .agg(F.sum("n").alias("n_words"), *sums),
-        "languages",
-    )
+    classed = texts.select("language", class_counts(F.col("text")).alias("classes")).groupBy("language").agg(*sums)
+    languages = store(classed.join(totals, F.col("language").eqNullSafe(F.col("of"))).drop("of"), "languages")
     large = languages.filter(F.col("n_words") >= MIN_LANGUAGE_WORDS)
     few = large.count() <= BROADCAST_LANGUAGES
 
-    words = texts.select("language", F.explode(F.split("text", WHITE_RUN)).alias("word"))
-    counts = words.filter(F.col("word") != "").groupBy("language", "word").count()
     # A word holds at least 1 in 2000 words to be common, so at most 2000 a language are ranked.
     frequent = (
         _with_language(counts, large.withColumnRenamed("language", "of"), few, "inner", F.xxhash64("word"))
@@ -190,7 +187,9 @@ def references(texts: DataFrame) -> DataFrame:
     found = large.join(common, F.col("language").eqNullSafe(F.col("of")), "left").select(
         F.col("language").alias("of"), shares(classes).alias("class_reference"), "common"
     )
-    return store(found, "language-references")
+    known = store(found, "language-references")
+    discard(counts, languages)
+    return known
 
 
 def assess(
