@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from py4j.java_gateway import JavaObject
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
 
@@ -16,14 +17,33 @@ MART = "dm"
 
 @dataclass(frozen=True)
 class Tables:
-    """Named Parquet tables in the layers ``dds_stg``, ``dds`` and ``dm`` below ``root``."""
+    """Named Parquet tables in the layers ``dds_stg``, ``dds`` and ``dm`` below ``root``.
+
+    A table is the folder of its name until it is replaced as a whole. From then on it is the folder that its
+    newest version file names: ``<name>__versions/<number>-<folder>`` is an empty file, put there once the
+    folder holds all rows. Creating it is the only step that readers see, on object stores too.
+    """
 
     spark: SparkSession
     root: str
 
-    def path(self, layer: str, name: str) -> str:
+    def _base(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name.lower()}"
 
+    def _hadoop(self, path: str) -> tuple[JavaObject, JavaObject]:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), place
+
+    def versions(self, layer: str, name: str) -> list[str]:
+        """Names of the version files, oldest first; a table that was never replaced has none."""
+        files, place = self._hadoop(f"{self._base(layer, name)}__versions")
+        return sorted(entry.getPath().getName() for entry in files.listStatus(place)) if files.exists(place) else []
+
+    def path(self, layer: str, name: str) -> str:
+        """The folder that holds the table now."""
+        base, versions = self._base(layer, name), self.versions(layer, name)
+        return f"{base}__{versions[-1].split('-')[1]}" if versions else base
+
     def read(self, layer: str, name: str, schema: T.StructType | None = None) -> DataFrame:
         """A table; a schema fixes the type of partition columns, which are inferred otherwise."""
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
@@ -53,19 +73,34 @@ class Tables:
         frame.write.mode("errorifexists").parquet(self.path(layer, name))
 
     def replace(self, frame: DataFrame, layer: str, name: str) -> None:
-        """Write the table anew beside the old one and then put it in its place.
+        """Write a new version of the table beside the old one, then make it the current one.
 
-        A write that fails leaves the old table as it was, and ``frame`` may read the table it replaces.
+        Whatever fails, and wherever it stops, the table is either the old one or the new one, whole. ``frame`` may
+        read the table it replaces. The version before stays for readers that have begun with it; older ones
+        go. Of two replacements at the same time one wins as a whole.
         """
-        jvm, target = self.spark._jvm, self.path(layer, name)
-        beside = f"{target}__new_{uuid.uuid4().hex}"
-        frame.write.parquet(beside)
-        old, new = jvm.org.apache.hadoop.fs.Path(target), jvm.org.apache.hadoop.fs.Path(beside)
-        files = new.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        files.delete(old, True)
-        if not files.rename(new, old):
-            raise OSError(f"{beside} could not be renamed to {target}")
-        self.spark.catalog.refreshByPath(target)
+        base, folder = self._base(layer, name), uuid.uuid4().hex
+        try:
+            frame.write.parquet(f"{base}__{folder}")
+            versions = self.versions(layer, name)
+            number = int(versions[-1].split("-")[0]) + 1 if versions else 1
+            files, mark = self._hadoop(f"{base}__versions/{number:010d}-{folder}")
+            files.create(mark, False).close()
+        except BaseException:
+            if folder not in {version.split("-")[1] for version in self.versions(layer, name)}:
+                self._drop(f"{base}__{folder}")
+            raise
+        for version in versions[:-1]:
+            self._drop(f"{base}__versions/{version}")
+            self._drop(f"{base}__{version.split('-')[1]}")
+        if versions:
+            self._drop(base)
+        if self.spark.catalog.tableExists(f"{layer}.{name.lower()}"):
+            self.register(layer, name)
+
+    def _drop(self, path: str) -> None:
+        files, place = self._hadoop(path)
+        files.delete(place, True)
 
     def append(self, frame: DataFrame, layer: str, name: str) -> None:
         frame.write.mode("append").parquet(self.path(layer, name))

@@ -198,6 +198,59 @@ def test_sinks(tables, rows):
     assert rows(tables.read(DETAIL, "parts").select("k", "v")) == [("a", "new"), ("b", "b")]
 
 
+@pytest.mark.parametrize("times", [0, 1, 2])
+@pytest.mark.parametrize("step", ["write", "mark", "drop"])
+def test_a_replacement_that_breaks_leaves_a_whole_table(tables, rows, monkeypatch, step, times):
+    """Whatever step fails, readers see all old rows or, once the version is marked, all new ones."""
+    frames = [tables.spark.range(n * 10, n * 10 + 3).selectExpr("cast(id AS string) AS k") for n in range(5)]
+    tables.save_new(frames[0], DETAIL, "broken")
+    for n in range(times):
+        tables.replace(frames[n + 1], DETAIL, "broken")
+    old, new = rows(tables.read(DETAIL, "broken")), frames[4]
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        if step == "write":
+            new = new.withColumn("k", F.raise_error(F.lit("lost")).cast("string"))
+        elif step == "mark":
+            patch.setattr(Tables, "versions", lambda *_: patch.undo() or fail())
+        else:
+            patch.setattr(Tables, "_drop", fail)
+        if step == "drop" and not times:  # nothing to drop at the first replacement
+            tables.replace(new, DETAIL, "broken")
+        else:
+            with pytest.raises(Exception, match="lost"):
+                tables.replace(new, DETAIL, "broken")
+    marked = step == "drop"
+    assert rows(tables.read(DETAIL, "broken")) == (rows(frames[4]) if marked else old)
+    tables.replace(frames[3], DETAIL, "broken")
+    assert rows(tables.read(DETAIL, "broken")) == rows(frames[3])
+
+
+def test_readers_keep_the_version_they_began_with(tables, rows):
+    """A table read before a replacement still gives its rows after it; only the last two versions are kept."""
+    frames = [tables.spark.createDataFrame([(str(n),)], "k string") for n in range(4)]
+    for n, frame in enumerate(frames):
+        before = tables.read(DETAIL, "read") if n else None
+        tables.replace(frame, DETAIL, "read")
+        assert before is None or rows(before) == [(str(n - 1),)]
+        assert len(tables.versions(DETAIL, "read")) == min(n + 1, 2)
+    own = tables.read(DETAIL, "read").selectExpr("concat(k, '!') AS k")
+    tables.replace(own, DETAIL, "read")
+    tables.append(frames[0], DETAIL, "read")
+    assert rows(tables.read(DETAIL, "read")) == [("0",), ("3!",)]
+
+
+def test_sql_reads_the_new_version(tables):
+    tables.save_new(tables.spark.range(2), DETAIL, "named")
+    tables.register(DETAIL, "named")
+    tables.replace(tables.spark.range(5), DETAIL, "named")
+    assert tables.spark.sql(f"SELECT count(*) AS n FROM {DETAIL}.named").first().n == 5
+    tables.spark.sql(f"DROP TABLE {DETAIL}.named")
+
+
 def test_create_if_absent(tables):
     assert not tables.exists(DETAIL, "unique_brands")
     tables.create_if_absent(DETAIL, "unique_brands", "brand string")
