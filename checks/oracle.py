@@ -321,6 +321,7 @@ FROM digest_codes""",
         "digest_codes",
     ),
     "incremental_insert": _query(_STORED_EVENTS + "final_table", "final_table", built=True),
+    "streamed_final_table": _query(_STORED_EVENTS + "final_table", "final_table", built=True),
     "built_final_table": _query(_STORED_EVENTS + "final_table", "final_table", built=True),
     "built_holiday_conversion": _query(_HOLIDAY_CONVERSION, "converted", built=True),
     "built_category_conversion": _query(_CATEGORY_CONVERSION, "final_table", built=True),

@@ -20,7 +20,7 @@ from shopmart.session import scratch_path
 from shopmart.sources.event_files import infer_types, read_raw_events
 from shopmart.sources.registry import FIELDS, Dataset, registry_rows
 from shopmart.sources.tables import DETAIL, MART, Tables
-from shopmart.streaming.incremental import incremental_load
+from shopmart.streaming.incremental import incremental_load, load_into_staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 STORED_COLUMNS = [*EVENT_COLUMNS, "dataset_key"]
@@ -184,6 +184,19 @@ def streamed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.drop("load_id")
 
 
+def streamed_final_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The final table, stored by time, when all files come as a stream, in two batches or more, and nothing comes afterwards."""
+    tables = Tables(spark, scratch_path(spark, "warehouse"))
+    checkpoint = scratch_path(spark, "stream-checkpoint")
+    for _ in range(2):
+        load_into_staging(tables, landing(spark, sf_dir), checkpoint, files_per_trigger=8)
+        jobs.map_brands(tables, views.dictionary(spark, sf_dir), codes=CODES)
+        jobs.expand_mapping(tables)
+        inserted = jobs.insert_cleaned(tables, by_time=True)
+    assert inserted == [], inserted
+    return tables.read(DETAIL, jobs.FINAL, jobs.STORED_EVENT_SCHEMA)
+
+
 def dataset_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One registry text per dataset of the events, read back into rows."""
     keys = views.shop_events(spark, sf_dir).select("dataset_key").distinct()
@@ -464,6 +477,7 @@ QUERIES: dict[str, Query] = {
     "load_events": load_events,
     "load_metrics": load_metrics,
     "incremental_load": streamed_load,
+    "streamed_final_table": streamed_final_table,
     "reload_empty": reload_empty,
     "null_tokens": null_tokens,
     "infer_types": infer_column_types,

@@ -32,7 +32,7 @@ from shopmart.schemas import (
 )
 from shopmart.session import scratch_path
 from shopmart.sources.event_files import read_dataset_events, spread, typed_events
-from shopmart.sources.registry import Dataset, check_names, lookup
+from shopmart.sources.registry import FIELDS, Dataset, check_names, lookup
 from shopmart.sources.tables import DETAIL, MART, STAGING, Tables
 
 log = logging.getLogger(__name__)
@@ -168,6 +168,22 @@ def load_dataset(tables: Tables, dataset: Dataset, clean: bool = True, multi_lin
     return load_datasets(tables, [dataset], clean, multi_line)[dataset.key]
 
 
+def stage_loaded(tables: Tables, events: DataFrame, keys: Sequence[str]) -> None:
+    """Stage some datasets from rows that are stored elsewhere, all their rows included, and add their keys to the unique sets."""
+    chosen = events.filter(F.col("dataset_key").isin(list(keys)))
+    store_events(tables, clean_events(chosen), STAGING, EVENTS, keys)
+    stage(tables, keys)
+    publish(tables, [Dataset(key, *[""] * len(FIELDS)) for key in keys])
+
+
+def publish(tables: Tables, datasets: Sequence[Dataset]) -> None:
+    """Dimensions of newly staged datasets, and their keys in the unique sets; the ledger then has them as loaded."""
+    extract_dimensions(tables, datasets)
+    for column in UNIQUE:
+        merge_unique(tables, datasets, column)
+    finish(tables, "load", [dataset.key for dataset in datasets])
+
+
 def clean_dataset(tables: Tables, key: str) -> LoadMetrics:
     """Copy a dataset from ``events_raw`` to ``events`` without the rows that lack brand or category."""
     seen = Observation()
@@ -323,13 +339,16 @@ def insert_states(tables: Tables) -> dict[str, str]:
     return {key: f"{version}:{marks.get(key, '0:0')}" for key, version in versions(tables, "stage").items()}
 
 
-def insert_cleaned(tables: Tables, key: str | None = None, rebuild: bool = False) -> list[str]:
+def insert_cleaned(
+    tables: Tables, key: str | None = None, rebuild: bool = False, by_time: bool = False
+) -> list[str]:
     """Put the mapped events of one dataset into the final table, or of all that need it; returns their keys.
 
     Without a key those datasets are inserted whose events or mapped pairs have changed since they were, or all with
     ``rebuild``. Staging files hold one dataset each. A broadcast mapping leaves the rows where they are,
     so every task writes to few partitions; a mapping that is too large for that mixes the
-    datasets, and their rows are gathered again before writing.
+    datasets, and their rows are gathered again before writing. ``by_time`` shuffles the rows into ranges of time,
+    so that each file of a dataset holds its own span and a query of some days opens only theirs.
     """
     states, done = insert_states(tables), versions(tables, "insert")
     keys = [key] if key is not None else sorted(k for k in states if rebuild or states[k] != done.get(k))
@@ -339,7 +358,11 @@ def insert_cleaned(tables: Tables, key: str | None = None, rebuild: bool = False
     size = value_bytes(pairs)
     events = staging_events(tables).filter(F.col("dataset_key").isin(keys))
     kept = curation.insert_cleaned(events, pairs, dimension_bytes=size)
-    store_events(tables, kept, DETAIL, FINAL, keys, gather=key is None and size > BROADCAST_BYTES)
+    if by_time:
+        # Rows of one moment may be very many, so a hash of the row is part of the ranges.
+        ranges = ("dataset_key", "event_time", F.xxhash64(*kept.columns))
+        kept = kept.repartitionByRange(*ranges).sortWithinPartitions("dataset_key", "event_time")
+    store_events(tables, kept, DETAIL, FINAL, keys, gather=not by_time and key is None and size > BROADCAST_BYTES)
     finish(tables, "insert", {k: states.get(k, "") for k in keys})
     return keys
 
@@ -428,10 +451,9 @@ def load_all(tables: Tables, registry: Mapping[str, Dataset]) -> dict[str, LoadM
     metrics, failed = _load_halves(tables, datasets)
     datasets = [dataset for dataset in datasets if dataset.key in metrics]
     if any(metrics[dataset.key].rows for dataset in datasets):
-        extract_dimensions(tables, datasets)
-        for column in UNIQUE:
-            merge_unique(tables, datasets, column)
-    finish(tables, "load", [dataset.key for dataset in datasets])
+        publish(tables, datasets)
+    else:
+        finish(tables, "load", [dataset.key for dataset in datasets])
     if failed:
         raise ValueError(f"datasets not loaded: {', '.join(sorted(failed))}") from next(iter(failed.values()))
     return metrics

@@ -11,8 +11,8 @@ from shopmart.schemas import EVENT_COLUMNS, HOLIDAY_SCHEMA, STORED_EVENT_SCHEMA
 from shopmart.session import scratch_path, scratch_root
 from shopmart.sources import event_files
 from shopmart.sources.registry import Dataset, monthly_registry
-from shopmart.sources.tables import DETAIL, MART, Tables
-from shopmart.streaming.incremental import incremental_load
+from shopmart.sources.tables import DETAIL, MART, STAGING, Tables
+from shopmart.streaming.incremental import incremental_load, load_into_staging
 
 
 def write_events(path, rows):
@@ -270,6 +270,76 @@ def test_repeated_batch_is_stored_once(spark, tmp_path):
     assert again.count() == 5
 
 
+@pytest.mark.parametrize("step", ["stage", "extract_dimensions", "merge_unique", "finish"])
+def test_stream_into_staging_breaks_off_and_goes_on(spark, tmp_path, rows, monkeypatch, step):
+    """A batch that fails after any step is repeated: no row, pair, key or unique key is doubled or lost."""
+    landing, checkpoint = tmp_path / "landing", str(tmp_path / "checkpoint")
+    tables = Tables(spark, str(tmp_path / "warehouse"))
+    write_events(landing / "dataset_key=1" / "a.csv.gz", OCTOBER)
+    assert load_into_staging(tables, str(landing), checkpoint) == ["1"]
+    assert load_into_staging(tables, str(landing), checkpoint) == []
+    write_events(landing / "dataset_key=1" / "b.csv.gz", OCTOBER[:1])
+    write_events(landing / "dataset_key=2" / "a.csv.gz", NOVEMBER)
+    whole = getattr(jobs, step)
+
+    def breaks(*args, **options):
+        whole(*args, **options)
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, step, breaks)
+        with pytest.raises(Exception, match="lost"):
+            load_into_staging(tables, str(landing), checkpoint)
+    assert load_into_staging(tables, str(landing), checkpoint) == ["1", "2"]
+
+    plain = Tables(spark, str(tmp_path / "plain"))
+    registry = {k: Dataset(k, str(landing / f"dataset_key={k}"), f"t{k}", f"b{k}", f"c{k}") for k in ("1", "2")}
+    jobs.load_all(plain, registry)
+    for key in registry:
+        for column in jobs.DIMENSIONS:
+            found, wanted = (jobs.dimension(t, column, registry[key]) for t in (tables, plain))
+            assert rows(found) == rows(wanted)
+        assert rows(jobs.staging_events(tables, key)) == rows(jobs.staging_events(plain, key))
+    assert rows(jobs.staged_pairs(tables)) == rows(jobs.staged_pairs(plain))
+    for column, name in jobs.UNIQUE.items():
+        assert rows(tables.read(DETAIL, name)) == rows(plain.read(DETAIL, name))
+    assert jobs.load_all(tables, registry) == {}  # the ledger has them
+
+
+def test_no_file_yet_stages_nothing(spark, tmp_path):
+    (tmp_path / "landing").mkdir()
+    tables = Tables(spark, str(tmp_path / "warehouse"))
+    assert load_into_staging(tables, str(tmp_path / "landing"), str(tmp_path / "checkpoint")) == []
+
+
+def test_files_of_a_dataset_hold_spans_of_time(spark, tmp_path):
+    """Stored by time, the events of a few days lie in the files of these days, also if one moment has most rows."""
+    tables = Tables(spark, str(tmp_path / "warehouse"))
+    events = spark.range(20_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN timestamp_ntz'2019-11-29 00:00:00'"
+        " ELSE timestampadd(MINUTE, CAST(id % 40000 AS INT), timestamp_ntz'2019-11-01 00:00:00') END AS event_time",
+        "'view' AS event_type", "id AS product_id", "id AS category_id", "'a.b' AS category_code", "'x' AS brand",
+        "CAST(1 AS double) AS price", "id AS user_id", "CAST(id AS string) AS user_session", "'1' AS dataset_key",
+    )
+    wanted = [F.col(f.name).cast(f.dataType).alias(f.name) for f in jobs.STORED_EVENT_SCHEMA]
+    jobs.store_events(tables, events.select(*wanted).repartition(4), STAGING, jobs.EVENTS, ["1"])
+    jobs.stage(tables, ["1"])
+    tables.save_new(spark.createDataFrame([("x", "a.b")], jobs.PAIR_SCHEMA), DETAIL, jobs.FINAL_MAPPING)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert jobs.insert_cleaned(tables, by_time=True) == ["1"]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    final = tables.read(DETAIL, jobs.FINAL, jobs.STORED_EVENT_SCHEMA)
+    assert final.count() == 20_000
+    spans = final.groupBy(F.input_file_name().alias("file")).agg(
+        F.min("event_time").alias("first"), F.max("event_time").alias("last"), F.count("*").alias("rows")
+    )
+    spans = sorted((r["first"], r["last"], r["rows"]) for r in spans.collect())
+    assert len(spans) > 3 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert max(r for *_, r in spans) < 8_000  # the moment with a third of all rows is cut as well
+
+
 def test_scratch_folder(spark):
     root = scratch_root(spark)
     configured = spark.conf.get("spark.checkpoint.dir", None)
