@@ -254,6 +254,12 @@ SELECT (SELECT count(*) FROM shop_events WHERE brand IS NULL) AS deleted_null_br
     "merge_unique_categories": _query("SELECT DISTINCT category_code FROM cleaned", "cleaned"),
     "merge_metrics": _query(_merge_metrics("brand") + "\nUNION ALL" + _merge_metrics("category_code"), "cleaned"),
     "brand_page": _query(f"SELECT brand FROM brands ORDER BY brand LIMIT {PAGE_SIZE} OFFSET {PAGE_SIZE}", "brands"),
+    "brand_pages_sought": _query(
+        "SELECT b.brand, p.page, s.sought_by FROM batches AS b"
+        " JOIN (SELECT unnest([0, max(batch_id) // 2, max(batch_id)]) AS page FROM batches) AS p ON b.batch_id = p.page"
+        " CROSS JOIN (VALUES ('number'), ('key')) AS s(sought_by)",
+        "batches",
+    ),
     "brand_batches": _query("SELECT brand, batch_id FROM batches", "batches"),
     "quoted_brands": _query("SELECT batch_id, brand_list FROM brand_lists", "brand_lists"),
     "batch_prompt": _query(_PROMPT, "brand_lists"),

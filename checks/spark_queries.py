@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -331,6 +332,20 @@ def brand_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.page(views.brands(spark, sf_dir), "brand", PAGE_SIZE, PAGE_SIZE)
 
 
+def brand_pages_sought(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first, the middle and the last page, each sought in one stored index, by number and by the key before it."""
+    index = paging.store_pages(views.brands(spark, sf_dir), "brand")
+    last = (index.rows() - 1) // PAGE_SIZE
+    found = []
+    for number in (0, last // 2, last):
+        wanted = index.page(PAGE_SIZE, number * PAGE_SIZE)
+        found.append(wanted.withColumns({"page": F.lit(number).cast("long"), "sought_by": F.lit("number")}))
+        before = index.page(1, number * PAGE_SIZE - 1).first() if number else None
+        wanted = index.after(before["brand"] if before else "", PAGE_SIZE)
+        found.append(wanted.withColumns({"page": F.lit(number).cast("long"), "sought_by": F.lit("key")}))
+    return reduce(DataFrame.unionByName, found)
+
+
 def brand_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.number_batches(views.brands(spark, sf_dir), "brand", PAGE_SIZE)
 
@@ -493,6 +508,7 @@ QUERIES: dict[str, Query] = {
     "merge_unique_categories": merged("category_code"),
     "merge_metrics": merge_metrics,
     "brand_page": brand_page,
+    "brand_pages_sought": brand_pages_sought,
     "brand_batches": brand_batches,
     "quoted_brands": quoted_brands,
     "batch_prompt": batch_prompt,

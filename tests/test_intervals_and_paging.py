@@ -1,5 +1,6 @@
 import datetime
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,3 +143,32 @@ def test_the_size_bound_holds(spark, monkeypatch, options):
     calendar = spark.createDataFrame(spans, "holiday string, start_date date, end_date date")
     interval_join(spark.createDataFrame(times, "n int, event_time timestamp_ntz"), calendar, **options)
     assert 0 < seen["actual"] <= seen["dimension_bytes"]
+
+
+def test_pages_are_sought_in_few_ranges(spark, monkeypatch):
+    """Pages by number and by key equal slices of the sorted keys, write nothing and open only the ranges they lie in."""
+    keys = shuffled_keys(spark, 1000)
+    names = sorted(row.brand for row in keys.collect())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index = paging.store_pages(keys, "brand")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ranges = {r["range"]: (r["start"], r["start"] + r["rows"]) for r in index.ranges().collect()}
+    assert index.rows() == 1000 and len(ranges) > 2
+    files = {str(path) for path in Path(index.place.removeprefix("file:")).rglob("*")}
+    again = paging.PageIndex(spark, index.place, "brand", keys.schema)
+    for offset in (0, 1, 130, 499, 985, 999, 1000, 5000):
+        found = again.page(20, offset)
+        assert [row.brand for row in found.collect()] == names[offset : offset + 20]
+        opened = {int(name.split("_range=")[1].split("/")[0]) for name in found.inputFiles()}
+        assert opened == {n for n, (start, end) in ranges.items() if start < offset + 20 and end > offset}
+    for value in ("", names[0], names[130], names[130] + "!", names[984], names[999], "zzz"):
+        later = [name for name in names if name > value][:20]
+        assert [row.brand for row in again.after(value, 20).collect()] == later
+    assert {str(path) for path in Path(index.place.removeprefix("file:")).rglob("*")} == files
+
+
+def test_pages_of_no_keys(spark):
+    index = paging.store_pages(spark.createDataFrame([], "brand string"), "brand")
+    assert index.rows() == 0 and index.page().isEmpty() and index.after("").isEmpty()
