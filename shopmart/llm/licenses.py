@@ -1,10 +1,11 @@
 """Licence scans: a trained paragraph classifier whose verdicts a template comparison confirms.
 
 A paragraph is a line with a word. Sparse word n-grams feed a multinomial logistic regression with one class per licence
-family and an unknown class. The family classes learn from the notices below, cut, joined and mixed with other words; the
-unknown class learns from the last paragraph, where notices stand, and a window of words anywhere in it, of a sample of
-about ``PARAGRAPHS`` documents of the corpus, as far as they share little with any notice (a documented bound). The unknown class is calibrated: a paragraph counts as a family only
-above the probability that keeps ``UNKNOWN_KEPT`` of held-back unknown paragraphs unknown. A family is confirmed if the
+family and an unknown class. The family classes learn from the notices below, cut and mixed with n-grams drawn as often as all texts have them; the
+unknown class learns from every paragraph of every document, in runs of as many words as the largest window, as far as it shares
+little with any notice. Together these runs weigh no more than ``UNKNOWN_WEIGHT`` examples, so that a large corpus does not drown the families. The
+unknown class is calibrated: a paragraph counts as a family only above the probability that keeps ``UNKNOWN_KEPT`` of all
+held-back runs (a quarter) unknown. The fit makes a pass over a table of all n-gram sets for each of its steps. A family is confirmed if the
 paragraph aligns with one of its notices: words in order, where missing words and strange words in between (``GAP`` each)
 cost no more than ``1 - CONFIRM_AT`` of the notice. Identifier lines (``SPDX-License-Identifier: ...``) are notices too.
 
@@ -24,7 +25,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,17 +34,21 @@ from pyspark.sql import DataFrame, functions as F
 
 from shopmart.llm import by_value
 from shopmart.llm.features import indicators, word_grams
-from shopmart.llm.storage import store
+from shopmart.llm.softmax import BITS, PACKED, chances, fit, packed, summed
+from shopmart.llm.storage import discard, store
 
 by_value(__name__)
 
 UNKNOWN = "unknown"
-PARAGRAPHS = 2000
+#: All unknown paragraphs weigh no more together than so many variants of notices.
+UNKNOWN_WEIGHT = 6000
 VARIANTS = 20
-BITS = 16
-PASSES, RATE, DECAY = 12, 0.5, 1e-5
+LIKELY = 1000
 UNKNOWN_KEPT = 0.999
+#: Steps of the limit between 0.5 and 1.
+LIMITS = 1 << 16
 CONFIRM_AT = 0.8
+KNOWN_AT = 0.5
 GAP = 0.25
 
 #: Usual notices of licence families.
@@ -116,15 +122,15 @@ def notices_of(family: str) -> list[str]:
 TEMPLATES = [(family, words_in(notice)) for family in NOTICES for notice in notices_of(family)]
 
 
-def _marks() -> list[str]:
+def _marks(share: float = CONFIRM_AT) -> list[str]:
     """Words of which every paragraph that a template confirms holds one.
 
-    A confirmed paragraph lacks at most ``len - ceil(CONFIRM_AT * len)`` words of the notice, so it has one of
+    A confirmed paragraph lacks at most ``len - ceil(share * len)`` words of the notice, so it has one of
     any larger number of them; the longest ones are the rarest.
     """
     found = set()
     for _, words in TEMPLATES:
-        lacking = len(words) - math.ceil(CONFIRM_AT * len(words) - 1e-9)
+        lacking = len(words) - math.ceil(share * len(words) - 1e-9)
         found.update(sorted(words, key=lambda w: (-len(w), w))[: lacking + 1])
     return sorted(found)
 
@@ -168,6 +174,9 @@ def similarity(paragraph: list[str], template: list[str]) -> float:
 #: Sizes of windows, half overlapping: the largest holds every run of 33 words, the longest notice has 29.
 SIZES = (8, 16, 32, 64)
 MARKS = set(_marks())
+_HALF_MARKS = frozenset(_marks(KNOWN_AT))
+_ONLY_PLAIN = bytes(c if chr(c).isascii() and chr(c).isalnum() else 32 for c in range(256))
+_ANY_MARK = re.compile("|".join(_marks()), re.I)
 _BLANK = re.compile(r"\n[^\S\n]*\n")
 OWN_WORDS = {
     family: {w for own, words in TEMPLATES if own == family for w in words}
@@ -176,6 +185,14 @@ OWN_WORDS = {
 }
 
 
+def holds_mark(content: str) -> bool:
+    """Whether a mark stands anywhere in a text, in any case; a plain search rules most texts out."""
+    low = content.lower()
+    if not low.isascii():  # letters that the pattern takes for s and i
+        low = low.replace("\u017f", "s").replace("\u0131", "i").replace("\u0307", "")
+    return any(mark in low for mark in MARKS) and _ANY_MARK.search(content) is not None
+
+
 def windows(content: str) -> Iterator[tuple[int, int, list[str], str]]:
     """Windows of a text in which a template is found: where the notice starts and ends, the window's words, the family."""
     edges = [0, *[m.end() for m in _BLANK.finditer(content)], len(content)]
@@ -203,75 +220,162 @@ def confirmed(paragraph: list[str], family: str) -> bool:
     return any(similarity(paragraph, words) >= CONFIRM_AT for own, words in TEMPLATES if own == family)
 
 
-def _variants(filler: list[str]) -> tuple[list[str], list[int]]:
-    """Training paragraphs of the families: notices with words around them, dropped words, and joined notices."""
+def runs(content: str) -> Iterator[str]:
+    """Paragraphs of a text in runs of words no larger than the largest window, but for those that share much with a notice."""
+    # Bytes outside of ASCII end a word here, so no word that counts is missed.
+    plain = not _half_held(set(content.lower().encode().translate(_ONLY_PLAIN).decode().split()))
+    for line in content.split("\n"):
+        if plain and len(line) < 2 * SIZES[-1]:
+            yield line
+            continue
+        words = line.split()
+        for first in range(0, len(words), SIZES[-1]):
+            last = first + SIZES[-1]
+            run = " ".join(words[first:last])
+            if not plain:
+                own = words_in(run)
+                # A notice may begin in the run before or end in the next one.
+                before = words_in(" ".join(words[max(0, first - SIZES[-2]) : first]))
+                behind = words_in(" ".join(words[last : last + SIZES[-2]]))
+                if _resembles(own, 0, len(own)) or (
+                    (before or behind) and _resembles(before + own + behind, len(before), len(own))
+                ):
+                    continue
+            yield run
+
+
+def _half_held(held: set[str]) -> list[list[str]]:
+    """Templates of which half the words are among some words."""
+    if _HALF_MARKS.isdisjoint(held):
+        return []
+    return [words for _, words in TEMPLATES if sum(map(held.__contains__, words)) >= KNOWN_AT * len(words)]
+
+
+def _resembles(words: list[str], first: int, size: int) -> bool:
+    """Whether half of a notice stands in the words, some of it among ``size`` ones from the first."""
+    for template in _half_held(set(words)):
+        score, begin, end = alignment(words, template)
+        if score >= KNOWN_AT and begin < first + size and end > first:
+            return True
+    return False
+
+
+def unknown_sets(texts: DataFrame) -> DataFrame:
+    """N-gram sets, packed, of all runs of all paragraphs that share little with a notice; a quarter is ``held`` back.
+
+    What a run says decides whether it is held back, so copies go together. Each task adds a row with ``counts`` instead:
+    how often each n-gram came in its runs.
+    """
+
+    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(1 << BITS, np.int64)
+
+        def counted(found: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+            grams = word_grams(found)
+            for hashes, _ in grams:
+                np.add(counts, np.bincount((hashes >> np.uint64(64 - BITS)).astype(np.intp), minlength=1 << BITS), out=counts)
+            return grams
+
+        for batch in batches:
+            found: list[str] = []
+            for number, content in enumerate(batch["text"], 1):
+                found.extend(runs(content))
+                if found and (len(found) >= 4000 or number == len(batch)):
+                    held = np.array([zlib.crc32(run.encode()) % 4 == 0 for run in found])
+                    for first, starts, numbers in indicators(found, counted, BITS):
+                        sizes, out = np.diff(starts), held[first : first + len(starts) - 1]
+                        # A run without words has an empty set and is none.
+                        rows = [
+                            {"held": part, **packed(numbers[np.repeat(chosen, sizes)], np.cumsum([0, *sizes[chosen]]))}
+                            for part in (False, True)
+                            if (chosen := (out == part) & (sizes > 0)).any()
+                        ]
+                        yield pd.DataFrame(rows, columns=["held", "n", "sizes", "low", "high"]).assign(counts=None)
+                    found = []
+        if counts.any():
+            yield pd.DataFrame({"held": [None], "n": None, "sizes": None, "low": None, "high": None, "counts": [counts]})
+
+    return texts.select("text").mapInPandas(made, f"held boolean, {PACKED}, counts array<long>")
+
+
+def _sets(texts: list[str], grams: Callable = word_grams) -> list[np.ndarray]:
+    return [n[a:b] for _, starts, n in indicators(texts, grams, BITS) for a, b in zip(starts, starts[1:], strict=False)]
+
+
+def _variants(counts: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
+    """Training sets of the families: notices with dropped words, among n-grams drawn as often as all texts have them."""
     draw = np.random.default_rng(11)
-    texts, labels = [], []
+    upto = np.cumsum(counts)
+    texts, around, labels = [], [], []
     for label, notices in enumerate(map(notices_of, NOTICES)):
         for number in range(VARIANTS * len(notices)):
             words = words_in(notices[number % len(notices)])
-            kept = [w for w in words if number < 2 * len(notices) or draw.random() > 0.06]
-            if filler and number >= len(notices):
-                size = int(draw.integers(0, 12))
-                around = [filler[i] for i in draw.integers(0, len(filler), 2 * size)]
-                kept = around[:size] + kept + around[size:]
-            texts.append(" ".join(kept))
+            texts.append(" ".join(w for w in words if number < 2 * len(notices) or draw.random() > 0.06))
+            # Up to 11 words before and behind; each has about four n-grams.
+            size = 8 * int(draw.integers(0, 12)) if upto[-1] and number >= len(notices) else 0
+            around.append(np.searchsorted(upto, draw.integers(0, upto[-1], size), side="right") if size else [])
             labels.append(label)
-    return texts, labels
+    return [np.union1d(own, other).astype(np.intp) for own, other in zip(_sets(texts), around, strict=True)], labels
 
 
-def _sets(texts: list[str]) -> list[np.ndarray]:
-    return [n[a:b] for _, starts, n in indicators(texts, word_grams, BITS) for a, b in zip(starts, starts[1:], strict=False)]
+def _likely(counts: np.ndarray, rows: int) -> list[np.ndarray]:
+    """Sets of n-grams drawn as often as all texts have them: a start for the fit, which then sees the texts' own sets."""
+    draw, upto = np.random.default_rng(7), np.cumsum(counts)
+    if not rows:
+        return []
+    sizes = draw.integers(1, max(2, 2 * int(upto[-1]) * 3 // (4 * rows)), LIKELY)
+    return [np.unique(np.searchsorted(upto, draw.integers(0, upto[-1], size), side="right")) for size in sizes]
 
 
 class Model:
-    """Multinomial logistic regression over n-gram sets, of unit length each."""
+    """Multinomial logistic regression over n-gram sets, of unit length each; the last class is the unknown one."""
 
-    def __init__(self, classes: int) -> None:
-        self.weights = np.zeros((1 << BITS, classes), np.float32)
-        self.limit = 0.5
+    def __init__(self, weights: np.ndarray, limit: float) -> None:
+        self.weights, self.limit = weights, limit
 
     def chances(self, numbers: np.ndarray) -> np.ndarray:
         margin = self.weights[numbers].sum(axis=0) / np.sqrt(max(1, len(numbers)))
         grown = np.exp(margin - margin.max())
         return grown / grown.sum()
 
-    def fit(self, sets: list[np.ndarray], labels: list[int]) -> None:
-        """Stochastic gradient descent with a falling rate and weights pulled to zero."""
-        draw, steps = np.random.default_rng(3), 0
-        for _ in range(PASSES):
-            for i in draw.permutation(len(sets)):
-                rate = RATE / (1 + steps / (10 * len(sets)))
-                gradient = self.chances(sets[i])
-                gradient[labels[i]] -= 1
-                own = self.weights[sets[i]]
-                self.weights[sets[i]] = own - rate * (gradient / np.sqrt(max(1, len(sets[i]))) + DECAY * own)
-                steps += 1
-
     def family(self, numbers: np.ndarray) -> tuple[int, float]:
         chance = self.chances(numbers)
         best = int(chance[:-1].argmax())
         return best, float(chance[best])
 
 
-def train(paragraphs: list[str]) -> Model:
-    """A model for the families and the unknown class, which is the last one, from unlabelled paragraphs."""
-    split = [words_in(p) for p in paragraphs]
-    unknown = [w for w in split if max(similarity(w, t) for _, t in TEMPLATES) < 0.5]
-    filler = [w for words in unknown[:200] for w in words[:50]]
-    texts, labels = _variants(filler)
-    held = unknown[::4]
-    others = [" ".join(w) for i, w in enumerate(unknown) if i % 4]
+def train(texts: DataFrame) -> Model:
+    """A model for the families and the unknown class, which is the last one, from all paragraphs of all texts."""
+    sets = store(unknown_sets(texts), "paragraph-sets", compression="zstd")
+    learned = sets.filter("NOT held")
+
+    rows, counts = learned.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], np.zeros(1 << BITS, np.int64)
+    by_gram = sets.select(F.posexplode("counts").alias("gram", "n")).groupBy("gram").agg(F.sum("n").alias("n"))
+    for row in by_gram.collect():
+        counts[row["gram"]] = row["n"]
+    own, labels = _variants(counts)
     # Paragraphs of a few notice words that no notice holds: hard cases for the unknown class.
     draw = np.random.default_rng(5)
     vocabulary = sorted({w for _, words in TEMPLATES for w in words})
     loose = [" ".join(vocabulary[i] for i in draw.integers(0, len(vocabulary), 6)) for _ in range(VARIANTS * 10)]
-    model = Model(len(NOTICES) + 1)
-    model.fit(_sets(texts + others + loose), labels + [len(NOTICES)] * (len(others) + len(loose)))
-    chances = sorted(model.family(s)[1] for s in _sets([" ".join(w) for w in held]))
-    if chances:
-        model.limit = max(0.5, chances[min(len(chances) - 1, int(UNKNOWN_KEPT * len(chances)))])
-    return model
+    unknown = len(NOTICES)
+    own, labels = own + _sets(loose), labels + [unknown] * len(loose)
+    likely = _likely(counts, rows)
+    weights = fit(learned, rows, UNKNOWN_WEIGHT, unknown, own, labels, unknown + 1, likely).astype(np.float32)
+    sent = texts.sparkSession.sparkContext.broadcast(weights)
+
+    def rank(total: np.ndarray, numbers: np.ndarray, starts: np.ndarray) -> None:
+        best = chances(sent.value, numbers, starts)[:-1].max(axis=0)
+        place = np.clip((2 * best - 1) * LIMITS, 0, LIMITS).astype(np.int64)
+        total += np.bincount(place, minlength=len(total))
+
+    # How many held-back paragraphs reach each limit from 0.5 to 1; limits below do not count.
+    below = np.cumsum(summed(sets.filter("held"), LIMITS + 1, rank))
+    sent.unpersist()
+    discard(sets)
+    reached = int(np.searchsorted(below, UNKNOWN_KEPT * below[-1]))
+    limit = min(1.0, 0.5 + (reached + 1) / LIMITS / 2) if reached else 0.5
+    return Model(np.ascontiguousarray(weights.T), limit)
 
 
 def scan(documents: DataFrame, *, identifier: str = "doc_id", text: str = "text") -> DataFrame:
@@ -280,35 +384,20 @@ def scan(documents: DataFrame, *, identifier: str = "doc_id", text: str = "text"
     ``n_rejected`` counts paragraphs that the model took for a family and no template confirmed.
     """
     texts = documents.select(F.col(identifier).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = texts.count()
-    chance = min(1.0, 2 * PARAGRAPHS / max(1, rows))
-    drawn = texts.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < chance * (1 << 40))
-    words = F.filter(F.split("text", r"[\s]+"), lambda x: x != "")
-    place = F.pmod(F.xxhash64("id", F.lit("window")), F.greatest(F.size("words"), F.lit(1))).cast("int") + 1
-    last = F.try_element_at(F.filter(F.split("text", "\n"), lambda x: x != ""), F.lit(-1))
-    tail = F.filter(F.split(last, r"[\s]+"), lambda x: x != "")
-    # No paragraph is larger than the largest window: of a longer last one its last words count.
-    tail = F.slice(tail, F.greatest(F.size(tail) - SIZES[-1] + 1, F.lit(1)), SIZES[-1])
-    parts = F.array(tail, F.slice("words", place, SIZES[-1]))
-    chosen = drawn.withColumn("words", words).select("id", F.explode(parts).alias("part"))
-    chosen = chosen.select("id", F.array_join("part", " ").alias("line"))
-    sample = store(chosen.filter("line <> ''").distinct(), "paragraphs")
-    model_of = train([row["line"] for row in sample.orderBy("id", "line").limit(4 * PARAGRAPHS).collect()])
+    model_of = train(texts)
     model = documents.sparkSession.sparkContext.broadcast((model_of.weights, model_of.limit))
-    marks = re.compile("|".join(_marks()), re.I)
     names = list(NOTICES)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Model(len(names) + 1)
-        own.weights, own.limit = model.value
+        own = Model(*model.value)
         for batch in batches:
             hits, parts = [], []
             for number, content in enumerate(batch["text"]):
-                if marks.search(content):
+                if holds_mark(content):
                     at = 0
                     parts.extend((number, *part) for part in windows(content))
                     for paragraph in content.split("\n"):
-                        if marks.search(paragraph):
+                        if holds_mark(paragraph):
                             hits.append((number, at, paragraph))
                         at += len(paragraph) + 1
             spans: list[list[tuple[int, int, str]]] = [[] for _ in range(len(batch))]

@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame
 from shopmart.session import scratch_path
 
 
-def store(frame: DataFrame, name: str) -> DataFrame:
+def store(frame: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a frame as Parquet and read it back, so that its lineage ends at files that outlive an executor."""
     spark = frame.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     stored = spark.read.schema(frame.schema).parquet(path)
     stored._stored_at = path
     return stored

@@ -1,9 +1,11 @@
 """Alignment with gap costs against all chains of matches, identifier lines, and sentences that only hold a notice's words."""
 
+import zlib
+
 import numpy as np
 import pytest
 
-from shopmart.llm import licenses
+from shopmart.llm import licenses, softmax
 
 
 def _chains(paragraph, template):
@@ -68,3 +70,67 @@ def test_two_identifiers_of_a_line(spark):
     rows = [(1, line)] + [(n, f"tale number {n} of the sea and its ships") for n in range(2, 200)]
     (found,) = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).filter("id = 1").collect()
     assert found["families"] == "Apache-2.0,MIT"
+
+
+def test_every_paragraph_teaches_the_unknown_class(spark):
+    """All paragraphs are learned from or held back, also those deep in long texts and in copies."""
+    hard = "general license public"
+    story = [" ".join(f"tale{(11 * i + 5 * k) % 997}" for k in range(50)) for i in range(60)]
+    rows = [(n, "\n".join([*story[n % 20 :], f"{hard} {n}", *story[: n % 20 + 20]])) for n in range(80)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = licenses.unknown_sets(texts).filter("n IS NOT NULL").groupBy("held").sum("n")
+    found = {row["held"]: row["sum(n)"] for row in sets.collect()}
+    runs = [line for _, text in rows for line in text.split("\n")]
+    assert found[True] + found[False] == len(runs)
+    tokens = sum(n for row in licenses.unknown_sets(texts).filter("counts IS NOT NULL").collect() for n in row["counts"])
+    grams = [licenses.word_grams([run]) for run in runs]
+    assert tokens == sum(len(hashes) for parts in grams for hashes, _ in parts)
+    assert found[True] == sum(zlib.crc32(run.encode()) % 4 == 0 for run in runs)
+
+
+def test_runs_hold_all_words_but_notices():
+    words = [f"word{n}" for n in range(300)]
+    notice = "Licensed under the \u201cMIT\u201d License"
+    cut = list(licenses.runs("\n".join([" ".join(words), "a short line", " ".join(words[:60]) + f" {notice}, " + words[0]])))
+    # The notice lies across a cut, so neither run beside it counts.
+    assert cut == [" ".join(words[k : k + 64]) for k in range(0, 300, 64)] + ["a short line"]
+    assert list(licenses.runs(notice)) == [] and list(licenses.runs("the license of the cat")) == ["the license of the cat"]
+
+
+def test_marks_in_any_case():
+    draw = np.random.default_rng(6)
+    letters = list("liceLICEnsNS \u017f\u0131\u0130\u212a\u0307x")
+    for _ in range(5000):
+        content = "".join(letters[i] for i in draw.integers(0, len(letters), 6)) + "license"[: int(draw.integers(0, 8))]
+        assert licenses.holds_mark(content) == (licenses._ANY_MARK.search(content) is not None)
+    for content in ("L\u0131CEN\u017fE", "PERM\u0130\u017fSION", "no mark"):
+        assert licenses.holds_mark(content) == (licenses._ANY_MARK.search(content) is not None)
+
+
+def test_summed_gradient_equals_a_plain_one(spark):
+    draw = np.random.default_rng(8)
+    sets = [np.unique(draw.integers(0, 1 << softmax.BITS, size)) for size in draw.integers(1, 40, 300)]
+    numbers, starts = softmax.flat(sets)
+    cuts = [0, 1, 90, 91, 200, 300]
+    parts = [
+        softmax.packed(numbers[starts[a] : starts[b]], starts[a : b + 1] - starts[a])
+        for a, b in zip(cuts, cuts[1:], strict=False)
+    ]
+    back = [softmax.unpacked(part["sizes"], part["low"], part["high"]) for part in parts]
+    assert np.concatenate([x for x, _ in back]).tolist() == numbers.tolist()
+    assert [n for _, x in back for n in np.diff(x)] == [len(own) for own in sets]
+    weights = draw.normal(size=(3, 1 << softmax.BITS))
+    wanted, loss = np.zeros_like(weights), 0.0
+    for own in sets:
+        margin = weights[:, own].sum(axis=1) / np.sqrt(len(own))
+        chance = np.exp(margin) / np.exp(margin).sum()
+        loss -= np.log(chance[1])
+        for label in range(3):
+            wanted[label, own] += (chance[label] - (label == 1)) / np.sqrt(len(own))
+
+    def add(total, numbers, starts):
+        softmax.add_gradient(total, weights, numbers, starts, np.ones(len(starts) - 1, int))
+
+    rows = spark.createDataFrame([tuple(part.values()) for part in parts], softmax.PACKED).repartition(3)
+    total = softmax.summed(rows, weights.size + 1, add)
+    assert total[-1] == pytest.approx(loss) and np.allclose(total[:-1].reshape(3, -1), wanted)
